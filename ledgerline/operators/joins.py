@@ -18,7 +18,7 @@ def text_bytes(df: DataFrame) -> int:
 
 
 def hot_keys(df: DataFrame, key: str) -> list:
-    """Keys that hold at least 1/HOT_SHARE of the rows.
+    """Keys, null among them, that hold at least 1/HOT_SHARE of the rows.
 
     A frequent-items sketch per task, merged to one row, finds the candidates: no shuffle of the
     keys. Only the choice of join strategy rests on it, never the result.
@@ -29,7 +29,7 @@ def hot_keys(df: DataFrame, key: str) -> list:
             F.count(F.lit(1)).alias("n"),
         )
     ).first()
-    return [r["item"] for r in found["top"] if r["item"] is not None and r["count"] * HOT_SHARE >= found["n"]]
+    return [entry["item"] for entry in found["top"] if entry["count"] * HOT_SHARE >= found["n"]]
 
 
 def keyed_join(
@@ -42,18 +42,22 @@ def keyed_join(
     """Join on ``key``, which is unique in ``right``; ``how`` is left, left_anti or left_semi.
 
     A small right side (measured) is broadcast. Beyond that both sides are shuffled on the key, but
-    rows of a hot key, or of none, stay where they are: the right side has at most HOT_SHARE rows
-    for them, so that part is always small enough to broadcast.
+    rows of a hot key stay where they are: the right side has at most HOT_SHARE rows for them, so
+    that part is always small enough to broadcast.
     """
     if text_bytes(right) <= broadcast_bytes:
         return left.join(F.broadcast(right), key, how)
     hot = hot_keys(left, key)
-    stays = _stays(F.col(key), hot)
-    hot_right = right.where(F.col(key).isin(hot)) if hot else right.limit(0)
-    in_place = left.where(stays).join(F.broadcast(hot_right), key, how)
+    if not hot:
+        return left.join(right.hint("shuffle_merge"), key, how)
+    stays = _one_of(F.col(key), hot)
+    in_place = left.where(stays).join(F.broadcast(right.where(stays)), key, how)
     shuffled = left.where(~stays).join(right.hint("shuffle_merge"), key, how)
     return in_place.unionByName(shuffled)
 
 
-def _stays(key: Column, hot: list) -> Column:
-    return key.isNull() | F.coalesce(key.isin(hot), F.lit(False)) if hot else key.isNull()
+def _one_of(key: Column, values: list) -> Column:
+    """Never null, also for a null key."""
+    named = [v for v in values if v is not None]
+    among = F.coalesce(key.isin(named), F.lit(False)) if named else F.lit(False)
+    return among | key.isNull() if None in values else among

@@ -8,12 +8,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ledgerline.operators.lookup import lookup_exists
-from ledgerline.operators.messages import decode_messages
-from ledgerline.operators.records import REASON, parse_lines
+from ledgerline.operators.messages import decode_messages, parse_messages, to_messages
+from ledgerline.operators.records import REASON, parse_lines, parse_records
 from ledgerline.operators.summary import run_summary
 from ledgerline.schemas import CATALOG_EMPLOYEE
 from ledgerline.session import resolve_option
-from ledgerline.sources.delimited import read_delimited, write_delimited
+from ledgerline.sources.delimited import read_delimited, read_lines, write_delimited
 from ledgerline.sources.extract import jdbc_extract
 
 USAGE = "Usage: jobs <jdbcUrl> <jdbcUser> <jdbcPassword> <jdbcQuery> <outputPath> [lookupTablePath]"
@@ -41,6 +41,31 @@ def land(
     return lookup_exists(read_delimited(spark, output, schema), lookup, key)
 
 
+def publish_files(
+    spark: SparkSession,
+    paths: str | list[str],
+    output: str,
+    schema: T.StructType,
+    on_error: str = "reject",
+    compat: bool = False,
+) -> DataFrame:
+    """Turn the records of the given files into messages at ``output``; returns how many there are."""
+    lines = read_lines(spark, paths, position=on_error == "stop_file")
+    to_messages(parse_records(lines, schema, on_error, compat)).write.mode("overwrite").text(output)
+    return run_summary(spark.read.text(output))
+
+
+def process_messages(
+    messages: DataFrame,
+    schema: T.StructType,
+    key: str,
+    lookup: DataFrame | None,
+    compat: bool = False,
+) -> DataFrame:
+    """The records of the good messages, checked; without a lookup table every one exists."""
+    return lookup_exists(parse_messages(messages, schema, compat=compat), lookup, key, enabled=lookup is not None)
+
+
 def trace_lines(
     lines: DataFrame,
     line: Column,

@@ -80,14 +80,17 @@ ORACLES: dict[str, str] = {
     "message_roundtrip": RECORDS,
     "message_field": f"SELECT event_id, {PROP} AS k FROM events",
     "message_rejects": """
-        SELECT CASE event_id % 50 WHEN 1 THEN 'unknown_field' WHEN 0 THEN 'bad_json' WHEN 2 THEN 'bad_json'
-               ELSE 'none' END AS reject_reason, count(*) AS records
-        FROM events GROUP BY 1
+        SELECT event_id, CASE event_id % 50 WHEN 1 THEN 'unknown_field' ELSE 'bad_json' END AS reject_reason
+        FROM events WHERE event_id % 50 IN (0, 1, 2)
     """,
+    "message_accepts": f"SELECT event_id, {PROP} AS k FROM events WHERE event_id % 50 NOT IN (0, 1, 2)",
     "published_result": """
         SELECT 'Published ' || count(*) || ' messages' AS result
         FROM orders WHERE o_orderkey % 50 NOT IN (2, 5, 6, 7)
     """,
+    "processed_result": """
+        SELECT count(*) AS records, count(s_suppkey) AS matched FROM orders LEFT JOIN supplier ON o_orderkey = s_suppkey
+    """,
     "lookup_exists": """
         SELECT c_custkey, c_name, s_suppkey IS NOT NULL AS "exists", s_suppkey, s_name, s_nationkey
         FROM customer LEFT JOIN supplier ON c_custkey = s_suppkey
@@ -109,6 +112,14 @@ ORACLES: dict[str, str] = {
                    WHEN 3 THEN '{{"exists": false}}' ELSE '{{"exists": true}}' END AS log_line
         FROM customer
     """,
+    "lookup_external": """
+        SELECT c_custkey, c_nationkey, c_nationkey < 10 AS "exists",
+               CASE WHEN c_nationkey < 15 THEN 200 WHEN c_nationkey < 20 THEN 404 END AS status,
+               CASE WHEN c_nationkey < 10 THEN '{"exists": true}'
+                    WHEN c_nationkey < 20 THEN '{"exists": false}' END AS answer,
+               CASE WHEN c_nationkey >= 20 THEN 'no answer' END AS error
+        FROM customer
+    """,
     "lookup_request_count": """
         SELECT 'extract' AS stage, count(*) AS records FROM orders
         UNION ALL
@@ -156,6 +167,7 @@ ORACLES: dict[str, str] = {
     """,
     "catalog_table": RECORDS,
     "stream_files": PARSED,
+    "stream_publish": PARSED,
     "stream_files_stop_file": STOPPED,
     "stream_messages": f"""
         SELECT 'none' AS reject_reason, {PROP} AS k, count(*) AS records

@@ -10,12 +10,12 @@ from ledgerline.functions.answers import answer_line, exists_by_field, exists_by
 from ledgerline.functions.text import split_lines
 from ledgerline.operators.contract import contract_check
 from ledgerline.operators.files import path_filter, unseen
-from ledgerline.operators.lookup import lookup_exists
+from ledgerline.operators.lookup import Call, lookup_exists, lookup_external
 from ledgerline.operators.messages import message_rejects, parse_messages, to_messages
 from ledgerline.operators.numbering import message_batches
 from ledgerline.operators.records import REASON, parse_records, parse_rejects
 from ledgerline.operators.summary import result_line, run_summary
-from ledgerline.plans.jobs import land, trace_lines
+from ledgerline.plans.jobs import land, process_messages, publish_files, trace_lines
 from ledgerline.plans.views import (
     clean_line,
     faulty_line,
@@ -30,7 +30,7 @@ from ledgerline.session import scratch_path
 from ledgerline.sources.catalog import catalog_table, create_table, reload_table
 from ledgerline.sources.delimited import read_delimited, read_lines, write_delimited
 from ledgerline.sources.extract import distinct_values, sql_extract, top_n
-from ledgerline.streaming.files import read_parsed, stream_files
+from ledgerline.streaming.files import read_parsed, stream_files, stream_publish
 from ledgerline.streaming.messages import arriving_messages, read_messages, stream_lookup, stream_messages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -138,16 +138,25 @@ def damaged_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", value.alias("value"))
 
 
-def message_rejects_by_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = damaged_props(spark, sf_dir)
-    bad = run_summary(message_rejects(messages, PROPS, strict_fields=True), REASON)
-    good = run_summary(parse_messages(messages, PROPS, strict_fields=True))
-    return bad.unionByName(good.select(F.lit("none").alias(REASON), "records"))
+def rejected_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return message_rejects(damaged_props(spark, sf_dir), PROPS, strict_fields=True).drop("value")
+
+
+def accepted_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse_messages(damaged_props(spark, sf_dir), PROPS, strict_fields=True)
 
 
 def published_result(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = to_messages(parse_records(read_lines(spark, land_faulty_lines(spark, sf_dir)), ORDER_RECORD))
-    return result_line(run_summary(messages), "Published")
+    published = publish_files(spark, land_faulty_lines(spark, sf_dir), scratch_path(spark, "sent"), ORDER_RECORD)
+    return result_line(published, "Published")
+
+
+def processed_result(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sent = scratch_path(spark, "to-process")
+    to_messages(order_records(spark, sf_dir)).write.text(sent)
+    lookup = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("rec_id"))
+    checked = process_messages(spark.read.text(sent), ORDER_RECORD, "rec_id", lookup)
+    return run_summary(checked, counts={"matched": F.col("exists")})
 
 
 def customer_lookup(spark: SparkSession, sf_dir: str, **options: object) -> DataFrame:
@@ -203,6 +212,22 @@ def lookup_answer_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def nation_caller() -> Call:
+    """Stands in for a service: some nations exist, some are not found, some calls fail."""
+
+    def call(key: object) -> tuple[int, str]:
+        if key >= 20:
+            raise TimeoutError("no answer")
+        return (404 if key >= 15 else 200), '{"exists": %s}' % ("true" if key < 10 else "false")
+
+    return call
+
+
+def lookup_by_call(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    return lookup_external(customers, "c_nationkey", nation_caller, tasks=8)
+
+
 def lookup_request_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = order_records(spark, sf_dir)
     lines = records.select(faulty_line().alias("line"))
@@ -291,6 +316,15 @@ def stream_files_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(read_parsed(spark, out, ORDER_RECORD)[0])
 
 
+def stream_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files in, messages out, read back."""
+    out, checkpoint = scratch_path(spark, "published"), scratch_path(spark, "published-log")
+    stream_publish(
+        spark, land_faulty_lines(spark, sf_dir), out, checkpoint, ORDER_RECORD, trigger=ONCE
+    ).awaitTermination()
+    return plain(parse_messages(spark.read.text(out), ORDER_RECORD))
+
+
 def stream_files_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, checkpoint = scratch_path(spark, "stopped"), scratch_path(spark, "stopped-log")
     stream_files(
@@ -411,13 +445,16 @@ QUERIES: dict[str, Query] = {
     "parse_records_stop_file": parse_stop_file,
     "message_roundtrip": message_roundtrip,
     "message_field": message_field,
-    "message_rejects": message_rejects_by_reason,
+    "message_rejects": rejected_messages,
+    "message_accepts": accepted_messages,
     "published_result": published_result,
+    "processed_result": processed_result,
     "lookup_exists": lookup_with_answer,
     "lookup_disabled": lookup_disabled,
     "lookup_large_table": lookup_large_table,
     "lookup_status": lookup_status,
     "lookup_answer_text": lookup_answer_text,
+    "lookup_external": lookup_by_call,
     "lookup_request_count": lookup_request_count,
     "distinct_values": distinct_segments,
     "first_record": first_record,
@@ -431,6 +468,7 @@ QUERIES: dict[str, Query] = {
     "reload_table_copies": number_repeated_rows,
     "catalog_table": catalog_records,
     "stream_files": stream_files_records,
+    "stream_publish": stream_published,
     "stream_files_stop_file": stream_files_stop,
     "stream_messages": stream_messages_summary,
     "stream_lookup": stream_lookup_customers,

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ledgerline.operators.numbering import sort_rows
+from ledgerline.session import materialize
 
 log = logging.getLogger(__name__)
 
@@ -54,8 +55,11 @@ def write_delimited(
 
     ``order_by`` sorts globally: file names in order hold the rows in order. ``single_file`` puts
     everything in one file if the result has at most ``single_file_rows`` rows; a larger one is
-    written whole as sorted part files, since one task could not write it.
+    written whole as sorted part files, since one task could not write it. The rows are counted on a
+    written copy, so that the source is read once.
     """
+    if single_file:
+        df = materialize(df, "single-file")
     one_file = single_file and df.count() <= single_file_rows
     if single_file and not one_file:
         log.warning("more than %d rows: writing sorted part files to %s", single_file_rows, path)

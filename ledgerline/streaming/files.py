@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ledgerline.operators.messages import to_messages
 from ledgerline.operators.records import REASON, parse_lines, parse_records
 from ledgerline.sources.delimited import LINE_OPTIONS, add_sequence, file_columns
 
@@ -65,6 +66,24 @@ def stream_files(
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
+def stream_publish(
+    spark: SparkSession,
+    path: str,
+    out: str,
+    checkpoint: str,
+    schema: T.StructType,
+    compat: bool = False,
+    glob: str = "*.csv",
+    max_files_per_trigger: int = 1000,
+    trigger: Mapping[str, object] = POLL,
+) -> StreamingQuery:
+    """Turn each record of each new file into one JSON message, a line of text at ``out``."""
+    lines = arriving_lines(spark, path, glob, max_files_per_trigger=max_files_per_trigger)
+    messages = to_messages(parse_records(lines, schema, compat=compat))
+    writer = messages.writeStream.format("text").option("path", out).option("checkpointLocation", checkpoint)
+    return writer.trigger(**trigger).start()
+
+
 def read_parsed(spark: SparkSession, out: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """The records and the rejected lines that a ``reject`` stream has written so far."""
     table = spark.read.parquet(out)

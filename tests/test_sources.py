@@ -1,0 +1,235 @@
+from __future__ import annotations
+
+import datetime
+import glob
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F, types as T
+
+from ledgerline.operators.contract import contract_check
+from ledgerline.operators.summary import result_line, run_summary, watch
+from ledgerline.plans import jobs
+from ledgerline.plans.jobs import land, process_messages, publish_files
+from ledgerline.schemas import CATALOG_EMPLOYEE, EMPLOYEE
+from ledgerline.session import materialize, resolve_option, scratch_path
+from ledgerline.sources.catalog import catalog_table, create_table, describe_table, reload_table
+from ledgerline.sources.delimited import read_delimited, write_delimited
+from ledgerline.sources.extract import count_rows, distinct_values, jdbc_extract, jdbc_options, sql_extract, top_n
+
+# The five seed records.
+SEED = [
+    (1, "Alice Johnson", "Engineering", "95000.00", "2022-03-15"),
+    (2, "Bob Smith", "Marketing", "72000.00", "2021-07-01"),
+    (3, "Carol Davis", "Finance", "88000.00", "2023-01-10"),
+    (4, "Dave Wilson", "Engineering", "105000.00", "2020-11-20"),
+    (5, "Eve Martin", "HR", "65000.00", "2024-02-28"),
+]
+
+
+@pytest.fixture
+def emp(spark):
+    rows = [(i, n, d, Decimal(s), datetime.date.fromisoformat(h)) for i, n, d, s, h in SEED]
+    return spark.createDataFrame(rows, EMPLOYEE)
+
+
+def test_landed_files(spark, emp, tmp_path):
+    """Header, pipes, five known records, all text without a schema."""
+    out = str(tmp_path / "out")
+    write_delimited(emp, out, order_by=["emp_id"], unique_order=True, single_file=True)
+    (part,) = glob.glob(f"{out}/part-*")
+    with open(part) as f:
+        assert f.read().splitlines() == ["|".join(EMPLOYEE.names)] + ["|".join(map(str, r)) for r in SEED]
+    back = read_delimited(spark, out)
+    assert {f.dataType.simpleString() for f in back.schema} == {"string"}
+    assert [tuple(r) for r in read_delimited(spark, out, EMPLOYEE).orderBy("emp_id").collect()] == [
+        tuple(r) for r in emp.orderBy("emp_id").collect()
+    ]
+    assert {r.emp_name for r in distinct_values(back, "emp_name").collect()} == {r[1] for r in SEED}
+    assert top_n(back, ["emp_id"]).first().emp_name == "Alice Johnson"
+    assert count_rows(back).first()["records"] == 5
+
+
+def test_too_many_rows_for_one_file(spark, conf, tmp_path):
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    out = str(tmp_path / "out")
+    write_delimited(spark.range(1000), out, order_by=["id"], single_file=True, single_file_rows=999)
+    parts = sorted(glob.glob(f"{out}/part-*"))
+    assert len(parts) > 1
+    rows = [int(x) for p in parts for x in open(p).read().splitlines()[1:]]
+    assert rows == list(range(1000))
+
+
+def test_awkward_values_survive(spark, tmp_path):
+    values = ["a|b", 'q"q', '"', "\\", "x|y\\", "  pad  ", "two\nlines", "cr\r\nlf", "", None, "é", "#", "'", "\t", '\\"|']
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    out = str(tmp_path / "out")
+    write_delimited(df, out, null_value="\\N", max_records_per_file=4)
+    back = read_delimited(spark, out, df.schema, null_value="\\N", multiline=True)
+    assert {r.i: r.v for r in back.collect()} == dict(enumerate(values))
+
+
+def test_empty_result_has_a_header(spark, emp, tmp_path):
+    out = str(tmp_path / "out")
+    write_delimited(emp.limit(0), out, single_file=True)
+    assert read_delimited(spark, out).columns == EMPLOYEE.names
+    assert read_delimited(spark, out).count() == 0
+
+
+def test_overwrite(spark, emp, tmp_path):
+    out = str(tmp_path / "out")
+    for _ in range(2):
+        write_delimited(emp, out)
+    assert read_delimited(spark, out).count() == 5
+
+
+def test_sql_with_arguments(spark, emp):
+    found = sql_extract(spark, "SELECT emp_name FROM emp WHERE emp_id > :low ORDER BY emp_id", {"emp": emp}, {"low": 3})
+    assert [r.emp_name for r in found.collect()] == ["Dave Wilson", "Eve Martin"]
+
+
+def test_jdbc_options():
+    whole = jdbc_options("u", "me", "pw", "SELECT 1", fetch_size=500)
+    assert whole["query"] == "SELECT 1" and whole["driver"] == "org.postgresql.Driver" and whole["fetchsize"] == "500"
+    split = jdbc_options("u", "me", "pw", "SELECT 1", partition_column="id", bounds=(1, 9), num_partitions=4)
+    assert "query" not in split and split["dbtable"] == "(SELECT 1) t"
+    assert (split["lowerBound"], split["upperBound"], split["numPartitions"]) == ("1", "9", "4")
+    with pytest.raises(ValueError):
+        jdbc_options("u", "me", "pw", "SELECT 1", partition_column="id")
+
+
+class Reader:
+    """Records what a session's reader is asked for."""
+
+    def __init__(self, answer):
+        self.answer, self.asked = answer, []
+        self.read = self
+
+    def format(self, name):
+        return self
+
+    def options(self, **options):
+        self.asked.append(options)
+        return self
+
+    def load(self):
+        return self
+
+    def first(self):
+        return self.answer
+
+    def jdbc(self, url, table, predicates, properties):
+        self.asked.append({"url": url, "table": table, "predicates": predicates, **properties})
+        return self
+
+
+def test_jdbc_split_asks_for_the_bounds():
+    reader = Reader((3, 77))
+    jdbc_extract(reader, "u", "me", "pw", "SELECT id FROM t", partition_column="id", num_partitions=8)
+    ends, split = reader.asked
+    assert ends["query"] == "SELECT min(id) AS lo, max(id) AS hi FROM (SELECT id FROM t) q"
+    assert (split["lowerBound"], split["upperBound"], split["dbtable"]) == ("3", "77", "(SELECT id FROM t) t")
+
+
+def test_jdbc_split_of_nothing_is_one_read():
+    reader = Reader((None, None))
+    jdbc_extract(reader, "u", "me", "pw", "SELECT id FROM t", partition_column="id", num_partitions=8)
+    assert reader.asked[1]["query"] == "SELECT id FROM t"
+
+
+def test_jdbc_predicates():
+    reader = Reader(None)
+    jdbc_extract(reader, "u", "me", "pw", "SELECT id FROM t", predicates=["id < 5", "id >= 5"])
+    assert reader.asked[0]["table"] == "(SELECT id FROM t) t" and reader.asked[0]["predicates"] == ["id < 5", "id >= 5"]
+
+
+def test_job_usage(capsys):
+    assert jobs.main(["only", "three", "given"]) == 1
+    assert "Usage" in capsys.readouterr().err
+
+
+def test_land_and_look_up(spark, emp, tmp_path):
+    lookup = emp.where("emp_id <> 2").select("emp_id")
+    checked = land(emp, str(tmp_path / "out"), EMPLOYEE, "emp_id", lookup, order_by=["emp_id"], single_file=True)
+    assert {r.emp_id: r.exists for r in checked.collect()} == {i: i != 2 for i in range(1, 6)}
+    assert land(emp, str(tmp_path / "plain"), EMPLOYEE, "emp_id") is None
+
+
+def test_five_records_through_all_stages(spark, emp, tmp_path):
+    """Five records: five lookups at extraction, five as messages."""
+    landed, sent = str(tmp_path / "landed"), str(tmp_path / "sent")
+    first = land(emp, landed, EMPLOYEE, "emp_id", emp.select("emp_id"))
+    published = publish_files(spark, landed, sent, EMPLOYEE, compat=True)
+    assert result_line(published, "Published").first()["result"] == "Published 5 messages"
+    second = process_messages(spark.read.text(sent), EMPLOYEE, "emp_id", emp.select("emp_id"), compat=True)
+    assert result_line(run_summary(second), "Processed").first()["result"] == "Processed 5 messages"
+    assert first.where("exists").count() + second.where("exists").count() == 10
+
+
+def test_processing_without_a_lookup(spark):
+    messages = spark.createDataFrame([('{"emp_id":9}',)], "value string")
+    assert process_messages(messages, EMPLOYEE, "emp_id", None).first()["exists"] is True
+
+
+def test_catalog_table(spark, emp, tmp_path):
+    location = str(tmp_path / "emp")
+    for _ in range(2):
+        create_table(spark, "analytics.emp", CATALOG_EMPLOYEE, location)
+    where, columns = describe_table(spark, "analytics.emp")
+    assert location in where and columns == CATALOG_EMPLOYEE.names
+    emp.write.insertInto("analytics.emp", overwrite=True)
+    assert catalog_table(spark, "analytics.emp").count() == 5
+    with pytest.raises(LookupError):
+        catalog_table(spark, "analytics.none")
+
+
+def test_reload_restarts_the_key(spark, emp, tmp_path):
+    people = emp.drop("emp_id")
+    location = str(tmp_path / "people")
+    first = reload_table(people, "people", "emp_id", ["emp_name"], location=location)
+    assert {r.emp_id: r.emp_name for r in first.collect()} == {i: r[1] for i, r in enumerate(SEED, 1)}
+    second = reload_table(people.where("emp_name > 'B'"), "people", "emp_id", ["emp_name"], unique=True)
+    assert sorted(r.emp_id for r in second.collect()) == [1, 2, 3, 4]
+
+
+def test_contract(spark):
+    rows = [(1, "a", 1.0), (1, "b", 2.0), (1, "toolong", 99999999.995), (None, "c", None), (None, None, 1.0)]
+    df = spark.createDataFrame(rows, "id int, name string, pay double")
+    found = contract_check(df, "id", ["name"], {"name": 5}, {"pay": (10, 2)})
+    assert {r.rule: r.violations for r in found.collect()} == {
+        "id_unique": 2, "id_present": 2, "name_present": 1, "name_length": 1, "pay_range": 1,
+    }
+    empty = contract_check(df.limit(0), "id", ["name"])
+    assert {r.violations for r in empty.collect()} == {0}
+
+
+def test_contract_is_one_scan(spark, plan_of):
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    plan = plan_of(contract_check(lines, "l_orderkey", ["l_returnflag"]))
+    assert plan.count("FileScan") == 1 and plan.count("hashpartitioning") == 1
+
+
+def test_summary_and_watch(spark, emp):
+    found = run_summary(emp, "department", counts={"rich": F.col("salary") > 90000})
+    assert {r.department: (r.records, r.rich) for r in found.collect()}["Engineering"] == (2, 2)
+    assert watch(emp, "progress", {"rich": F.col("salary") > 90000}).count() == 5
+
+
+def test_resolve_option(spark, conf):
+    assert resolve_option(spark, "spark.ledgerline.test") == ""
+    assert resolve_option(spark, "spark.ledgerline.test", default=None) is None
+    with pytest.raises(ValueError):
+        resolve_option(spark, "spark.ledgerline.test", required=True)
+    conf(spark__ledgerline__test="set")
+    assert resolve_option(spark, "spark.ledgerline.test") == "set"
+    assert resolve_option(spark, "spark.ledgerline.test", "given") == "given"
+
+
+def test_scratch_is_in_the_shared_folder(spark):
+    assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+    assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_materialized_rows_are_fixed(spark):
+    fixed = materialize(spark.range(100).select(F.rand().alias("r")), "random")
+    assert fixed.collect() == fixed.collect() and isinstance(fixed.schema["r"].dataType, T.DoubleType)
