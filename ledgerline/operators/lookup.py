@@ -43,11 +43,15 @@ def lookup_exists(
     exists = F.coalesce(exists, F.lit(False))
     entries = table.select(F.col(table_key or key).alias(key), exists.alias("exists"), *answers)
     entries = entries.where(F.col(key).isNotNull())
-    best = F.min(F.struct((~F.col("exists")).alias("absent"), *answers)).alias("best")
-    per_key = entries.groupBy(key).agg(best)
-    one_each = per_key.select(
-        key, (~F.col("best.absent")).alias("exists"), *[F.col(f"best.{a}").alias(a) for a in answers]
-    )
+    if answers:
+        best = F.min(F.struct((~F.col("exists")).alias("absent"), *answers)).alias("best")
+        one_each = (
+            entries.groupBy(key)
+            .agg(best)
+            .select(key, (~F.col("best.absent")).alias("exists"), *[F.col(f"best.{a}").alias(a) for a in answers])
+        )
+    else:
+        one_each = entries.groupBy(key).agg(F.bool_or("exists").alias("exists"))
     joined = keyed_join(records, one_each, key, "left", broadcast_bytes)
     return joined.select(*records.columns, F.coalesce("exists", F.lit(False)).alias("exists"), *answers)
 

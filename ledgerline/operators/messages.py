@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ledgerline.operators.records import REASON
+from ledgerline.operators.rows import keep_rows
 from ledgerline.schemas import compat_schema
 
 _CORRUPT = "_corrupt"
 
+# Fixed value: what JSON allows around its tokens.
+JSON_BLANKS = " \t\r\n"
+
 
 def to_messages(records: DataFrame, columns: list[str] | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """One JSON object per record in column ``value``: keys in column order, nulls written out."""
@@ -34,7 +38,8 @@ def decode_messages(
     shape = T.StructType([*[T.StructField(f.name, f.dataType) for f in kinds], T.StructField(_CORRUPT, T.StringType())])
     body = F.from_json("value", shape, {"columnNameOfCorruptRecord": _CORRUPT, "mode": "PERMISSIVE"})
     decoded = messages.withColumn("_body", body)
-    no_object = F.col("_body").isNull() | F.col(f"_body.{_CORRUPT}").isNotNull() | F.json_object_keys("value").isNull()
+    opens = F.ltrim("value", F.lit(JSON_BLANKS)).startswith("{")
+    no_object = F.col("_body").isNull() | F.col(f"_body.{_CORRUPT}").isNotNull() | ~opens
     reason = F.when(no_object, F.lit("bad_json"))
     if strict_fields or compat:
         known = F.array(*[F.lit(f.name) for f in kinds])
@@ -60,7 +65,7 @@ def parse_messages(
     """The records among ``messages``; repeated messages give repeated records."""
     decoded = decode_messages(messages, schema, strict_fields, compat)
     carried = [c for c in messages.columns if c != "value"]
-    return decoded.where(F.col(REASON).isNull()).select(*carried, *schema.names)
+    return keep_rows(decoded, F.col(REASON).isNull(), *carried, *schema.names)
 
 
 def message_rejects(

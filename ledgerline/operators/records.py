@@ -6,13 +6,25 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ledgerline.functions.text import clean, parse_field, split_fields
 from ledgerline.operators.joins import BROADCAST_BYTES, keyed_join
+from ledgerline.operators.rows import keep_rows
 from ledgerline.schemas import compat_schema
 from ledgerline.session import materialize
 
 REASON = "reject_reason"
+BLANK = "blank"
 POSITION = ("file", "block", "seq")
 
 
+def _parse(lines: DataFrame, schema: T.StructType, compat: bool) -> DataFrame:
+    kinds = compat_schema(schema) if compat else schema
+    carried = [c for c in lines.columns if c != "line"]
+    split = lines.withColumn("_line", clean(F.col("line"))).withColumn("_parts", split_fields(F.col("_line"), compat))
+    texts = [clean(F.get("_parts", F.lit(i))) for i in range(len(kinds))]
+    fields = [parse_field(t, f.dataType, compat).alias(f.name) for t, f in zip(texts, kinds)]
+    parsed = split.select("line", "_line", "_parts", *carried, *fields)
+    return parsed.withColumn(REASON, _reason(kinds)).drop("_line", "_parts")
+
+
 def parse_lines(lines: DataFrame, schema: T.StructType, compat: bool = False) -> DataFrame:
     """Every line that is not blank, with its fields by position and ``reject_reason`` (null if good).
 
@@ -20,21 +32,12 @@ def parse_lines(lines: DataFrame, schema: T.StructType, compat: bool = False) ->
     nothing. By default an empty field is null and numbers must be present; ``compat`` takes 32-bit
     ints, doubles and text, keeps empty text, and does not count empty fields at the end of a line.
     """
-    kinds = compat_schema(schema) if compat else schema
-    carried = [c for c in lines.columns if c != "line"]
-    split = (
-        lines.withColumn("_line", clean(F.col("line")))
-        .where("_line <> ''")
-        .withColumn("_parts", split_fields(F.col("_line"), compat))
-    )
-    texts = [clean(F.get("_parts", F.lit(i))) for i in range(len(kinds))]
-    fields = [parse_field(t, f.dataType, compat).alias(f.name) for t, f in zip(texts, kinds)]
-    parsed = split.select("line", "_parts", *carried, *fields)
-    return parsed.withColumn(REASON, _reason(kinds)).drop("_parts")
+    parsed = _parse(lines, schema, compat)
+    return keep_rows(parsed, ~F.col(REASON).eqNullSafe(BLANK), *parsed.columns)
 
 
 def _reason(kinds: T.StructType) -> Column:
-    reason = F.when(F.size("_parts") < len(kinds), F.lit("short"))
+    reason = F.when(F.col("_line") == "", F.lit(BLANK)).when(F.size("_parts") < len(kinds), F.lit("short"))
     for i, field in enumerate(kinds):
         if isinstance(field.dataType, T.StringType):
             continue
@@ -58,41 +61,45 @@ def parse_records(
     also leaves out all later lines of its file (give lines with position), ``fail`` ends the job.
     Short lines are left out in any case.
     """
-    parsed = parse_lines(lines, schema, compat)
+    parsed = _parse(lines, schema, compat)
     names = schema.names
+    good = F.col(REASON).isNull()
+    if on_error == "reject":
+        return keep_rows(parsed, good, *names)
     if on_error == "fail":
         message = F.concat(F.col(REASON), F.lit(": "), F.col("line"))
-        failing = F.when(_malformed(), F.raise_error(message).cast("string")).otherwise(F.col(REASON))
-        return parsed.withColumn(REASON, failing).where(F.col(REASON).isNull()).select(*names)
+        return keep_rows(parsed, F.when(_malformed(), F.raise_error(message).cast("boolean")).otherwise(good), *names)
     if on_error == "stop_file":
-        parsed = _before_first_bad(parsed, broadcast_bytes)
-    elif on_error != "reject":
-        raise ValueError(f"unknown on_error: {on_error}")
-    return parsed.where(F.col(REASON).isNull()).select(*names)
+        stops = _first_bad(parsed)
+        records = keep_rows(parsed, good, *names, *POSITION)
+        joined = keyed_join(records, stops, "file", "left", broadcast_bytes)
+        return joined.where(F.col("_stop").isNull() | (_place() < F.col("_stop"))).select(*names)
+    raise ValueError(f"unknown on_error: {on_error}")
 
 
 def _malformed() -> Column:
     return F.col(REASON).startswith("bad_")
 
 
-def _before_first_bad(parsed: DataFrame, broadcast_bytes: int) -> DataFrame:
-    """Lines before the first malformed one of their file.
+def _first_bad(parsed: DataFrame) -> DataFrame:
+    """Where the first malformed line of each file is, for files that have one.
 
-    Files stay cut into pieces: the first bad position is a minimum per file over all pieces, at
-    most one row per file, and comes back to the lines by a join that copes with one huge file.
+    Files stay cut into pieces: the position is a minimum per file over all of them. It is written,
+    at most one row per file, and meets the records in a join that copes with one huge file.
     """
     missing = [c for c in POSITION if c not in parsed.columns]
     if missing:
         raise ValueError(f"stop_file needs lines with position, missing {missing}")
-    place = F.struct("block", "seq")
-    first_bad = parsed.where(_malformed()).groupBy("file").agg(F.min(place).alias("_stop"))
-    stops = materialize(first_bad, "first-bad")
-    joined = keyed_join(parsed, stops, "file", "left", broadcast_bytes)
-    return joined.where(F.col("_stop").isNull() | (place < F.col("_stop"))).drop("_stop")
+    first_bad = parsed.where(_malformed()).groupBy("file").agg(F.min(_place()).alias("_stop"))
+    return materialize(first_bad, "first-bad")
+
+
+def _place() -> Column:
+    return F.struct("block", "seq")
 
 
 def parse_rejects(lines: DataFrame, schema: T.StructType, compat: bool = False) -> DataFrame:
     """The lines that are no records, with the reason."""
-    parsed = parse_lines(lines, schema, compat)
+    parsed = _parse(lines, schema, compat)
     carried = [c for c in lines.columns if c != "line"]
-    return parsed.where(F.col(REASON).isNotNull()).select("line", REASON, *carried)
+    return parsed.where(F.col(REASON) != BLANK).select("line", REASON, *carried)
