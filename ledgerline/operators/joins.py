@@ -38,14 +38,16 @@ def keyed_join(
     key: str,
     how: str = "left",
     broadcast_bytes: int = BROADCAST_BYTES,
+    measure: DataFrame | None = None,
 ) -> DataFrame:
     """Join on ``key``, which is unique in ``right``; ``how`` is left, left_anti or left_semi.
 
-    A small right side (measured) is broadcast. Beyond that both sides are shuffled on the key, but
+    A small right side is broadcast: ``right`` is measured, or ``measure`` if that is cheaper to
+    compute and at least as large. Beyond that both sides are shuffled on the key, but
     rows of a hot key stay where they are: the right side has at most HOT_SHARE rows for them, so
     that part is always small enough to broadcast.
     """
-    if text_bytes(right) <= broadcast_bytes:
+    if text_bytes(right if measure is None else measure) <= broadcast_bytes:
         return left.join(F.broadcast(right), key, how)
     hot = hot_keys(left, key)
     if not hot:

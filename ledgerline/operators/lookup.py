@@ -52,7 +52,7 @@ def lookup_exists(
         )
     else:
         one_each = entries.groupBy(key).agg(F.bool_or("exists").alias("exists"))
-    joined = keyed_join(records, one_each, key, "left", broadcast_bytes)
+    joined = keyed_join(records, one_each, key, "left", broadcast_bytes, measure=entries)
     return joined.select(*records.columns, F.coalesce("exists", F.lit(False)).alias("exists"), *answers)
 
 

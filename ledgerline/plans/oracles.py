@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ledgerline.plans.queries import ENDPOINT, USER_SQL
-from ledgerline.plans.views import BAD_AT, BAD_EVERY, FILE_LINES
+from ledgerline.plans.views import BAD_AT, BAD_EVERY, FILE_LINES, MANY_FILES
 
 AMOUNT = "CAST(CAST(o_totalprice AS DECIMAL(12, 2)) AS DOUBLE)"
 DAY = "CAST(CAST(o_orderdate AS DATE) AS VARCHAR)"
@@ -25,8 +25,8 @@ PARSED = f"""
 STOPPED = f"""
     WITH placed AS (
         SELECT *, min(CASE WHEN o_orderkey % {BAD_EVERY} = {BAD_AT} THEN o_orderkey END)
-                  OVER (PARTITION BY o_orderkey // {FILE_LINES}) AS first_bad
-        FROM orders
+                  OVER (PARTITION BY o_orderkey // file_lines) AS first_bad
+        FROM orders, (SELECT greatest({FILE_LINES}, (max(o_orderkey) + 1) // {MANY_FILES}) AS file_lines FROM orders)
     )
     SELECT o_orderkey AS rec_id, o_orderpriority AS rec_name, o_orderstatus AS rec_group,
            {AMOUNT} AS amount, {DAY} AS rec_date

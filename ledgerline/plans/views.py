@@ -12,8 +12,9 @@ from ledgerline.sources.extract import sql_extract
 
 HEADER = "|".join(ORDER_RECORD.names)
 
-# Lines per file where the file a line is in matters, and where its bad lines are.
-FILE_LINES = 5000
+# Where the file a line is in matters: lines per file, number of files beyond which files grow
+# instead, and where the bad lines are.
+FILE_LINES, MANY_FILES = 5000, 20_000
 BAD_EVERY, BAD_AT = 3001, 1700
 
 # Faults by rec_id % 50; every other line is a plain record.
@@ -68,12 +69,14 @@ def land_faulty_lines(spark: SparkSession, sf_dir: str) -> str:
 
 
 def land_ordered_files(spark: SparkSession, sf_dir: str) -> str:
-    """Files of FILE_LINES consecutive orders each, in order, a few lines with a bad amount."""
+    """Files of consecutive orders, in order, a few lines with a bad amount."""
     path = scratch_path(spark, "ordered-files")
+    last = table(spark, sf_dir, "orders").agg(F.max("o_orderkey")).first()[0] or 0
+    file_lines = max(FILE_LINES, (last + 1) // MANY_FILES)
     bad = F.pmod("rec_id", F.lit(BAD_EVERY)) == BAD_AT
     amount = F.when(bad, F.lit("x")).otherwise(F.col("amount").cast("string"))
     line = to_line(F.col("rec_id").cast("string"), "rec_name", "rec_group", amount, F.col("rec_date").cast("string"))
-    in_file = F.expr(f"rec_id div {FILE_LINES}")
+    in_file = F.expr(f"rec_id div {file_lines}")
     lines = order_records(spark, sf_dir).select("rec_id", in_file.alias("file_no"), line.alias("line"))
     write_lines(lines.repartition("file_no").sortWithinPartitions("file_no", "rec_id"), path, HEADER, ["file_no"])
     return path
