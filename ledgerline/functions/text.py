@@ -7,28 +7,35 @@ from pyspark.sql import Column, functions as F, types as T
 # Fixed value: the characters a trim removes, U+0000 to U+0020.
 BLANKS = "".join(map(chr, range(0x21)))
 
+FIRST_VISIBLE = "!"  # U+0021
+
 # Number words Spark's cast accepts, and the spellings that are valid here.
 ANY_NUMBER_WORD = r"(?i)^[+-]?(inf|infinity|nan)$"
 VALID_NUMBER_WORD = r"^[+-]?(Infinity|NaN)$"
 
 
 def clean(text: Column) -> Column:
-    """Strip control characters and spaces at both ends (plain ``trim`` strips only spaces)."""
-    return F.trim(text, F.lit(BLANKS))
+    """Strip control characters and spaces at both ends (plain ``trim`` strips only spaces).
+
+    Text that starts and ends above the blanks, as nearly all does, is passed on as it is.
+    """
+    nothing_to_strip = (text >= FIRST_VISIBLE) & (F.substring(text, -1, 1) >= FIRST_VISIBLE)
+    return F.when(nothing_to_strip, text).otherwise(F.trim(text, F.lit(BLANKS)))
 
 
 def split_fields(line: Column, compat: bool = False) -> Column:
     """Split on the pipe without regard to quotes; ``compat`` drops empty fields at the end."""
     if compat:
-        line = F.rtrim(line, F.lit("|"))
+        line = F.when(line.endswith("|"), F.rtrim(line, F.lit("|"))).otherwise(line)
     return F.split(line, r"\|", -1)
 
 
 def parse_double(text: Column) -> Column:
     """Text to double, null if malformed; number words only as ``NaN`` and ``Infinity``."""
+    value = text.try_cast("double")
+    ordinary = ~F.isnan(value) & (F.abs(value) < float("inf"))
     wrong_word = text.rlike(ANY_NUMBER_WORD) & ~text.rlike(VALID_NUMBER_WORD)
-    unsigned_nan = F.when(text.rlike("^[+-]NaN$"), F.lit("NaN")).otherwise(text)
-    return F.when(~wrong_word, unsigned_nan.try_cast("double"))
+    return F.when(ordinary, value).when(~wrong_word, value)
 
 
 def parse_field(text: Column, kind: T.DataType, compat: bool = False) -> Column:

@@ -31,8 +31,8 @@ def land(
 ) -> DataFrame | None:
     """Write the records and return them checked against ``lookup`` (None without one).
 
-    The source is read once, by the write; the check reads what was written, so both see the same
-    rows. A failing check cannot undo the write.
+    The check reads what was written, not the source again, so both see the same rows. A failing
+    check cannot undo the write.
     """
     spark = records.sparkSession
     write_delimited(records, output, order_by, unique_order, single_file)
