@@ -74,25 +74,37 @@ def lookup_external(
     key: str,
     connect: Callable[[], Call],
     by_text: bool = False,
+    on_failure: str = "no",
     tasks: int = 32,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Add ``exists``, ``status``, ``answer`` and ``error`` from a call made once per distinct key.
 
-    ``connect`` runs once per task and returns the caller. A call that fails answers false. The
+    ``connect`` runs once per task and returns the caller. A call that fails answers false, or with
+    ``on_failure="raise"`` fails the task, so that a stream does not commit its messages. The
     answers are written before they are joined back, so no key is asked again for it. ``tasks``
     bounds how many calls are open at once.
     """
+    if on_failure not in ("no", "raise"):
+        raise ValueError(f"unknown on_failure: {on_failure}")
     keys = records.select(key).where(F.col(key).isNotNull()).distinct().repartition(tasks, key)
     kind = keys.schema[key].dataType.simpleString()
 
+    # Runs on the executors, which need not have this package: it refers to nothing outside.
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         call = connect()
+
+        def reply(value: object) -> tuple[int | None, str | None, str | None]:
+            try:
+                return (*call(value), None)
+            except Exception as failure:
+                if on_failure == "raise":
+                    raise
+                return None, None, str(failure)
+
         for batch in batches:
-            replies = [_reply(call, value) for value in batch[key]]
-            yield pd.DataFrame(replies, columns=["status", "answer", "error"]).astype(
-                {"status": "Int32"}
-            ).assign(**{key: batch[key].values})
+            replies = pd.DataFrame([reply(value) for value in batch[key]], columns=["status", "answer", "error"])
+            yield replies.astype({"status": "Int32"}).assign(**{key: batch[key].values})
 
     answered = keys.mapInPandas(ask, f"status int, answer string, error string, `{key}` {kind}")
     answered = materialize(answered, "answers")
@@ -102,11 +114,3 @@ def lookup_external(
     return joined.select(
         *records.columns, F.coalesce("exists", F.lit(False)).alias("exists"), "status", "answer", "error"
     )
-
-
-def _reply(call: Call, key: object) -> tuple[int | None, str | None, str | None]:
-    try:
-        status, answer = call(key)
-        return status, answer, None
-    except Exception as failure:  # any failure of the service is an answer of "no"
-        return None, None, str(failure)

@@ -11,12 +11,12 @@ from ledgerline.operators.lookup import lookup_exists
 from ledgerline.operators.messages import decode_messages, parse_messages, to_messages
 from ledgerline.operators.records import REASON, parse_lines, parse_records
 from ledgerline.operators.summary import run_summary
-from ledgerline.schemas import CATALOG_EMPLOYEE
+from ledgerline.schemas import CATALOG_EMPLOYEE, EMPLOYEE
 from ledgerline.session import resolve_option
 from ledgerline.sources.delimited import read_delimited, read_lines, write_delimited
 from ledgerline.sources.extract import jdbc_extract
-
-USAGE = "Usage: jobs <jdbcUrl> <jdbcUser> <jdbcPassword> <jdbcQuery> <outputPath> [lookupTablePath]"
+from ledgerline.streaming.files import POLL, stream_publish
+from ledgerline.streaming.messages import arriving_messages, stream_lookup
 
 
 def land(
@@ -89,22 +89,64 @@ def trace_lines(
     return run_summary(checked, "_by", counts=counts).withColumnRenamed("_by", by)
 
 
-def main(arguments: list[str]) -> int:
+def extract(spark: SparkSession, arguments: Sequence[str]) -> None:
     """Extract by JDBC to delimited files, then count the keys that the lookup table knows."""
-    if len(arguments) < 5:
-        print(USAGE, file=sys.stderr)
-        return 1
     url, user, password, query, output = arguments[:5]
-    spark = SparkSession.builder.appName("extract").getOrCreate()
+    lookup = _lookup_table(spark, arguments[5:6])
+    records = jdbc_extract(spark, url, user, password, query)
+    checked = land(records, output, CATALOG_EMPLOYEE, "emp_id", lookup)
+    if checked is not None:
+        print(run_summary(checked, counts={"matched": F.col("exists")}).first())
+    print(f"Job completed successfully. Output: {output}")
+
+
+def handle_files(spark: SparkSession, arguments: Sequence[str]) -> None:
+    """Publish the records of each file that arrives."""
+    folder, messages, checkpoint = arguments[:3]
+    stream_publish(
+        spark, folder, messages, checkpoint, EMPLOYEE, compat=True, trigger=_trigger(arguments[3:4])
+    ).awaitTermination()
+
+
+def handle_messages(spark: SparkSession, arguments: Sequence[str]) -> None:
+    """Check the record of each message that arrives."""
+    folder, output, checkpoint = arguments[:3]
+    lookup = _lookup_table(spark, arguments[4:5])
+    records = parse_messages(arriving_messages(spark, folder), EMPLOYEE, compat=True)
+    stream_lookup(
+        records, lookup, "emp_id", output, checkpoint, _trigger(arguments[3:4]), enabled=lookup is not None
+    ).awaitTermination()
+
+
+def _lookup_table(spark: SparkSession, given: Sequence[str]) -> DataFrame | None:
+    path = resolve_option(spark, "spark.ledgerline.lookup", given[0] if given else None)
+    return spark.read.parquet(path) if path else None
+
+
+def _trigger(given: Sequence[str]) -> dict[str, object]:
+    """Seconds between polls; ``once`` takes what is there and ends."""
+    if not given:
+        return dict(POLL)
+    return {"availableNow": True} if given[0] == "once" else {"processingTime": f"{given[0]} seconds"}
+
+
+# Job, fewest arguments, usage.
+JOBS = {
+    "extract": (extract, 5, "<jdbcUrl> <jdbcUser> <jdbcPassword> <jdbcQuery> <outputPath> [lookupTable]"),
+    "files": (handle_files, 3, "<inputFolder> <messageFolder> <checkpoint> [seconds|once]"),
+    "messages": (handle_messages, 3, "<messageFolder> <outputPath> <checkpoint> [seconds|once] [lookupTable]"),
+}
+
+
+def main(arguments: Sequence[str]) -> int:
+    job, fewest, _ = JOBS.get(arguments[0], (None, 0, "")) if arguments else (None, 0, "")
+    if job is None or len(arguments) - 1 < fewest:
+        for name, (_, _, usage) in JOBS.items():
+            print(f"Usage: jobs {name} {usage}", file=sys.stderr)
+        return 1
+    spark = SparkSession.builder.appName(arguments[0]).getOrCreate()
     try:
-        given = arguments[5] if len(arguments) > 5 else None
-        lookup_path = resolve_option(spark, "spark.ledgerline.lookup", given)
-        lookup = spark.read.parquet(lookup_path) if lookup_path else None
-        records = jdbc_extract(spark, url, user, password, query)
-        checked = land(records, output, CATALOG_EMPLOYEE, "emp_id", lookup)
-        if checked is not None:
-            print(run_summary(checked, counts={"matched": F.col("exists")}).first())
-        print(f"Job completed successfully. Output: {output}")
+        job(spark, arguments[1:])
     finally:
         spark.stop()
     return 0

@@ -92,7 +92,8 @@ ORACLES: dict[str, str] = {
         SELECT count(*) AS records, count(s_suppkey) AS matched FROM orders LEFT JOIN supplier ON o_orderkey = s_suppkey
     """,
     "lookup_exists": """
-        SELECT c_custkey, c_name, s_suppkey IS NOT NULL AS "exists", s_suppkey, s_name, s_nationkey
+        SELECT c_custkey, c_name, s_suppkey IS NOT NULL AS "exists", CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name,
+               CAST(s_nationkey AS VARCHAR) AS s_nationkey
         FROM customer LEFT JOIN supplier ON c_custkey = s_suppkey
     """,
     "lookup_disabled": 'SELECT c_custkey, c_name, true AS "exists" FROM customer',
@@ -114,7 +115,7 @@ ORACLES: dict[str, str] = {
     """,
     "lookup_external": """
         SELECT c_custkey, c_nationkey, c_nationkey < 10 AS "exists",
-               CASE WHEN c_nationkey < 15 THEN 200 WHEN c_nationkey < 20 THEN 404 END AS status,
+               CASE WHEN c_nationkey < 15 THEN '200' WHEN c_nationkey < 20 THEN '404' END AS status,
                CASE WHEN c_nationkey < 10 THEN '{"exists": true}'
                     WHEN c_nationkey < 20 THEN '{"exists": false}' END AS answer,
                CASE WHEN c_nationkey >= 20 THEN 'no answer' END AS error
@@ -173,7 +174,7 @@ ORACLES: dict[str, str] = {
         SELECT 'none' AS reject_reason, {PROP} AS k, count(*) AS records
         FROM events WHERE event_id % 50 NOT IN (0, 1, 2) GROUP BY 2
         UNION ALL
-        SELECT CASE event_id % 50 WHEN 1 THEN 'unknown_field' ELSE 'bad_json' END, NULL, count(*)
+        SELECT CASE event_id % 50 WHEN 1 THEN 'unknown_field' ELSE 'bad_json' END, -1, count(*)
         FROM events WHERE event_id % 50 IN (0, 1, 2) GROUP BY 1
     """,
     "stream_lookup": """

@@ -165,7 +165,9 @@ def customer_lookup(spark: SparkSession, sf_dir: str, **options: object) -> Data
 
 
 def lookup_with_answer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return customer_lookup(spark, sf_dir, answers=["s_suppkey", "s_name", "s_nationkey"])
+    """Numbers as text, since some are null."""
+    checked = customer_lookup(spark, sf_dir, answers=["s_suppkey", "s_name", "s_nationkey"])
+    return checked.withColumns({c: F.col(c).cast("string") for c in ("s_suppkey", "s_nationkey")})
 
 
 def lookup_disabled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,20 +214,19 @@ def lookup_answer_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def nation_caller() -> Call:
-    """Stands in for a service: some nations exist, some are not found, some calls fail."""
-
-    def call(key: object) -> tuple[int, str]:
-        if key >= 20:
-            raise TimeoutError("no answer")
-        return (404 if key >= 15 else 200), '{"exists": %s}' % ("true" if key < 10 else "false")
+def lookup_by_call(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def connect() -> Call:
+        """Stands in for a service: some nations exist, some are not found, some calls fail."""
 
-    return call
+        def call(nation: int) -> tuple[int, str]:
+            if nation >= 20:
+                raise TimeoutError("no answer")
+            return (404 if nation >= 15 else 200), '{"exists": %s}' % ("true" if nation < 10 else "false")
 
+        return call
 
-def lookup_by_call(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    return lookup_external(customers, "c_nationkey", nation_caller, tasks=8)
+    return lookup_external(customers, "c_nationkey", connect, tasks=8).withColumn("status", F.col("status").cast("string"))
 
 
 def lookup_request_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -346,7 +347,7 @@ def stream_messages_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).awaitTermination()
     good, bad = read_messages(spark, out, PROPS)
     handled = run_summary(good, "k").select(F.lit("none").alias(REASON), "k", "records")
-    return handled.unionByName(run_summary(bad, REASON).select(REASON, F.lit(None).cast("long").alias("k"), "records"))
+    return handled.unionByName(run_summary(bad, REASON).select(REASON, F.lit(-1).cast("long").alias("k"), "records"))
 
 
 def stream_lookup_customers(spark: SparkSession, sf_dir: str) -> DataFrame:

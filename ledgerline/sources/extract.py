@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ledgerline.schemas import LOOKUP_ANSWER
+
 
 def sql_extract(
     spark: SparkSession,
@@ -85,6 +87,11 @@ def jdbc_extract(
     return spark.read.format("jdbc").options(**options).load()
 
 
+def read_answers(spark: SparkSession, path: str) -> DataFrame:
+    """A lookup table from its answers, one JSON object per line."""
+    return spark.read.schema(LOOKUP_ANSWER).json(path)
+
+
 def top_n(df: DataFrame, order_by: Sequence[str], n: int = 1) -> DataFrame:
     """The first ``n`` rows by key: a top-k in every task, then one of their winners."""
     return df.orderBy(*order_by).limit(n)

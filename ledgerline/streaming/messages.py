@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerline.operators.joins import BROADCAST_BYTES
 from ledgerline.operators.lookup import lookup_exists
 from ledgerline.operators.messages import decode_messages
 from ledgerline.operators.records import REASON
@@ -66,29 +65,37 @@ def read_messages(spark: SparkSession, out: str, schema: T.StructType) -> tuple[
     return good, bad
 
 
-def stream_lookup(
+def stream_checked(
     records: DataFrame,
-    table: DataFrame | None,
-    key: str,
+    check: Callable[[DataFrame], DataFrame],
     out: str,
     checkpoint: str,
-    table_key: str | None = None,
-    answers: Sequence[str] = (),
-    enabled: bool = True,
     trigger: Mapping[str, object] | None = None,
-    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> StreamingQuery:
-    """Check each arriving record against the lookup table and write it with its answer.
+    """Apply ``check`` to each batch of records and write the result to its own folder.
 
-    Each batch is joined as a table, so the size of the lookup table and the hot keys of the batch
-    decide the join, and overwrites its own folder ``batch_id=N`` if it is repeated.
+    The batch is a table to ``check``, so the size of a lookup table and the hot keys of the batch
+    can decide the join. If the check fails the batch is not committed and comes again; if only the
+    commit is lost the batch overwrites its folder ``batch_id=N``.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        checked = lookup_exists(
-            batch, table, key, table_key, answers, enabled=enabled, broadcast_bytes=broadcast_bytes
-        )
-        checked.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        check(batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     writer = records.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     return (writer.trigger(**trigger) if trigger else writer).start()
+
+
+def stream_lookup(
+    records: DataFrame,
+    table: DataFrame | None,
+    key: str,
+    out: str,
+    checkpoint: str,
+    trigger: Mapping[str, object] | None = None,
+    **options: object,
+) -> StreamingQuery:
+    """Check each arriving record against the lookup table; ``options`` as in :func:`lookup_exists`."""
+    return stream_checked(
+        records, lambda batch: lookup_exists(batch, table, key, **options), out, checkpoint, trigger
+    )

@@ -1,6 +1,12 @@
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
+
 import pytest
+from pyspark import cloudpickle
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from ledgerline.functions.answers import exists_by_field, exists_by_text
@@ -8,6 +14,8 @@ from ledgerline.operators.files import path_filter, unseen
 from ledgerline.operators.joins import hot_keys, keyed_join, text_bytes
 from ledgerline.operators.lookup import http_caller, lookup_exists, lookup_external
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
 
 @pytest.fixture
 def records(spark):
@@ -139,6 +147,36 @@ def test_external_asks_each_key_once(spark, tmp_path):
     assert {p.read_text() for p in tmp_path.iterdir()} == {"x"} and len(list(tmp_path.iterdir())) == 9
 
 
+def test_external_failure_can_end_the_job(spark, tmp_path):
+    records = spark.range(6).select(F.col("id").alias("k"))
+    with pytest.raises(PySparkException, match="refused"):
+        lookup_external(records, "k", counting_caller(str(tmp_path)), on_failure="raise")
+    with pytest.raises(ValueError):
+        lookup_external(records, "k", counting_caller(str(tmp_path)), on_failure="maybe")
+
+
+def outside(code, *arguments):
+    """Run code in a process that does not find this package by itself."""
+    clean = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    command = [sys.executable, "-c", code, *arguments]
+    return subprocess.run(command, cwd="/", env=clean, capture_output=True, text=True, timeout=300)
+
+
+def test_executors_need_no_package(tmp_path):
+    """The calls run where only Spark is installed."""
+    (tmp_path / "sent").write_bytes(cloudpickle.dumps(http_caller("http://127.0.0.1:1")))
+    done = outside("import pickle, sys; print(callable(pickle.load(open(sys.argv[1], 'rb'))()))", str(tmp_path / "sent"))
+    assert done.stdout == "True\n", done.stderr
+    code = (
+        "import sys; sys.path.insert(0, sys.argv[1])\n"
+        "from ledgerline.session import local_session\n"
+        "import __spark_entry__ as e\n"
+        "print('rows', e.queries()['lookup_external'](local_session(2), '/root/testdata/sf0.001').count())\n"
+    )
+    done = outside(code, ROOT)
+    assert "rows 150" in done.stdout, done.stderr[-2000:]
+
+
 def test_http_failure_is_no_answer(spark):
     records = spark.createDataFrame([(1,), (2,)], "k int")
     checked = lookup_external(records, "k", http_caller("http://127.0.0.1:1"), by_text=True, tasks=1)

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from ledgerline.operators.contract import contract_check
+from ledgerline.operators.lookup import lookup_exists
 from ledgerline.operators.summary import result_line, run_summary, watch
 from ledgerline.plans import jobs
 from ledgerline.plans.jobs import land, process_messages, publish_files
@@ -15,7 +16,15 @@ from ledgerline.schemas import CATALOG_EMPLOYEE, EMPLOYEE
 from ledgerline.session import materialize, resolve_option, scratch_path
 from ledgerline.sources.catalog import catalog_table, create_table, describe_table, reload_table
 from ledgerline.sources.delimited import read_delimited, write_delimited
-from ledgerline.sources.extract import count_rows, distinct_values, jdbc_extract, jdbc_options, sql_extract, top_n
+from ledgerline.sources.extract import (
+    count_rows,
+    distinct_values,
+    jdbc_extract,
+    jdbc_options,
+    read_answers,
+    sql_extract,
+    top_n,
+)
 
 # The five seed records.
 SEED = [
@@ -143,9 +152,48 @@ def test_jdbc_predicates():
     assert reader.asked[0]["table"] == "(SELECT id FROM t) t" and reader.asked[0]["predicates"] == ["id < 5", "id >= 5"]
 
 
-def test_job_usage(capsys):
-    assert jobs.main(["only", "three", "given"]) == 1
-    assert "Usage" in capsys.readouterr().err
+@pytest.mark.parametrize("arguments", [[], ["extract", "too", "few"], ["files", "a", "b"], ["other", *"abcdef"]])
+def test_job_usage(capsys, arguments):
+    assert jobs.main(arguments) == 1
+    assert capsys.readouterr().err.count("Usage") == 3
+
+
+def test_extract_job(spark, emp, conf, tmp_path, monkeypatch, capsys):
+    """The database is replaced by the table it would have returned."""
+    monkeypatch.setattr(jobs, "jdbc_extract", lambda spark, url, user, password, query: emp)
+    emp.where("emp_id < 4").select("emp_id").write.parquet(str(tmp_path / "known"))
+    jobs.extract(spark, ["u", "me", "pw", "SELECT 1", str(tmp_path / "out"), str(tmp_path / "known")])
+    assert "Row(records=5, matched=3)" in capsys.readouterr().out
+    jobs.extract(spark, ["u", "me", "pw", "SELECT 1", str(tmp_path / "out")])
+    assert "matched" not in capsys.readouterr().out
+    assert read_delimited(spark, str(tmp_path / "out")).count() == 5
+
+
+def test_stream_jobs(spark, emp, tmp_path):
+    """Files to messages to checked records, with and without a lookup table."""
+    folders = {n: str(tmp_path / n) for n in ("landed", "sent", "log1", "out", "log2", "all", "log3", "known")}
+    write_delimited(emp, folders["landed"])
+    emp.where("emp_id < 4").select("emp_id").write.parquet(folders["known"])
+    jobs.handle_files(spark, [folders["landed"], folders["sent"], folders["log1"], "once"])
+    jobs.handle_messages(spark, [folders["sent"], folders["out"], folders["log2"], "once", folders["known"]])
+    jobs.handle_messages(spark, [folders["sent"], folders["all"], folders["log3"], "once"])
+    assert {r.emp_id: r.exists for r in spark.read.parquet(folders["out"]).collect()} == {i: i < 4 for i in range(1, 6)}
+    assert spark.read.parquet(folders["all"]).where("exists").count() == 5
+
+
+def test_answers_as_a_lookup_table(spark, emp, tmp_path):
+    """Five exact answers; any other key gets the default of false and nulls."""
+    path = tmp_path / "answers.json"
+    path.write_text(
+        "".join('{"exists": true, "emp_id": %d, "emp_name": "%s", "department": "%s"}\n' % r[:3] for r in SEED)
+    )
+    asked = spark.createDataFrame([(1,), (5,), (6,)], "id int")
+    found = lookup_exists(
+        asked, read_answers(spark, str(path)), "id", "emp_id", ["emp_name", "department"], exists_column="exists"
+    )
+    assert sorted(map(tuple, found.collect())) == [
+        (1, True, "Alice Johnson", "Engineering"), (5, True, "Eve Martin", "HR"), (6, False, None, None),
+    ]
 
 
 def test_land_and_look_up(spark, emp, tmp_path):

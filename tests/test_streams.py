@@ -3,10 +3,13 @@ from __future__ import annotations
 import time
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F, types as T
 
+from ledgerline.operators.lookup import lookup_external
 from ledgerline.operators.messages import parse_messages
 from ledgerline.operators.records import parse_records, parse_rejects
+from ledgerline.operators.summary import watch
 from ledgerline.schemas import EMPLOYEE
 from ledgerline.sources.delimited import read_lines
 from ledgerline.streaming.files import read_parsed, stream_files, stream_publish
@@ -14,6 +17,7 @@ from ledgerline.streaming.messages import (
     PER_RECEIVE,
     arriving_messages,
     read_messages,
+    stream_checked,
     stream_lookup,
     stream_messages,
 )
@@ -149,3 +153,40 @@ def test_repeated_batch_replaces_itself(spark, tmp_path):
     for commit in (log / "commits").iterdir():
         commit.unlink()
     assert run() == 10
+
+
+def test_failed_check_brings_the_batch_again(spark, tmp_path):
+    """A batch whose calls fail is not committed; the next run takes it up."""
+    inbox, out, log, down = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "log"), tmp_path / "down"
+    spark.range(4).select(F.col("id").alias("k")).write.parquet(inbox)
+    flag = str(down)
+
+    def connect():
+        def call(key):
+            import os
+
+            if os.path.exists(flag):
+                raise OSError("service is down")
+            return 200, '{"exists": true}'
+
+        return call
+
+    def run():
+        arriving = spark.readStream.schema("k long").parquet(inbox)
+        check = lambda batch: lookup_external(batch, "k", connect, on_failure="raise", tasks=1)
+        stream_checked(arriving, check, out, log, trigger=ONCE).awaitTermination()
+
+    down.write_text("")
+    with pytest.raises(StreamingQueryException):
+        run()
+    down.unlink()
+    run()
+    assert spark.read.parquet(out).where("exists").count() == 4
+
+
+def test_progress_of_a_stream(spark, mail, tmp_path):
+    seen = watch(arriving_messages(spark, mail), "seen", {"broken": F.col("value") == "broken"})
+    query = stream_messages(seen, str(tmp_path / "out"), str(tmp_path / "log"), KEYS, trigger=ONCE)
+    query.awaitTermination()
+    reports = [p["observedMetrics"]["seen"] for p in query.recentProgress if p["numInputRows"]]
+    assert sum(r["records"] for r in reports) == 50 and sum(r["broken"] for r in reports) == 1
