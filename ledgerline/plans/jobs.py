@@ -97,7 +97,7 @@ def extract(spark: SparkSession, arguments: Sequence[str]) -> None:
     checked = land(records, output, CATALOG_EMPLOYEE, "emp_id", lookup)
     if checked is not None:
         print(run_summary(checked, counts={"matched": F.col("exists")}).first())
-    print(f"Job completed successfully. Output: {output}")
+    print(f"Written to {output}")
 
 
 def handle_files(spark: SparkSession, arguments: Sequence[str]) -> None:

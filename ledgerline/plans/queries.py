@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -44,10 +45,11 @@ SQL_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lin
 
 
 def user_sql(query: str) -> Query:
-    """A query that is the user's own SQL text over the registered tables."""
+    """A query that is the user's own SQL text over the tables it names."""
+    named = [name for name in SQL_TABLES if re.search(rf"\b{name}\b", query)]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return sql_extract(spark, query, {name: table(spark, sf_dir, name) for name in SQL_TABLES})
+        return sql_extract(spark, query, {name: table(spark, sf_dir, name) for name in named})
 
     return run
 
@@ -423,6 +425,24 @@ USER_SQL = {
         EXCEPT
         SELECT s_nationkey AS nationkey FROM supplier WHERE s_acctbal > 9000
     """,
+    "sql_union_intersect": """
+        SELECT c_nationkey AS nationkey, 'customer' AS side FROM customer WHERE c_acctbal > 9900
+        UNION ALL
+        (SELECT s_nationkey, 'both' FROM supplier INTERSECT SELECT c_nationkey, 'both' FROM customer)
+    """,
+    "sql_grouping_sets": """
+        SELECT p_brand, coalesce(p_size, -1) AS p_size, count(*) AS n_parts, max(p_retailprice) AS max_price
+        FROM part GROUP BY GROUPING SETS ((p_brand), (p_size), ()) HAVING count(*) > 10
+    """,
+    "sql_scalar_subquery": """
+        SELECT o_orderkey, o_totalprice FROM orders
+        WHERE o_totalprice > 0.95 * (SELECT max(o_totalprice) FROM orders WHERE o_orderstatus = 'F')
+    """,
+    "sql_right_join": """
+        SELECT s.s_name AS supplier, c.c_custkey AS c_custkey
+        FROM (SELECT * FROM supplier WHERE s_acctbal > 0) s
+        RIGHT JOIN (SELECT * FROM customer WHERE c_mktsegment = 'MACHINERY') c ON s.s_suppkey = c.c_custkey
+    """,
     "sql_full_join": """
         SELECT coalesce(c.c_custkey, s.s_suppkey) AS id, c.c_name AS customer, s.s_name AS supplier
         FROM (SELECT * FROM customer WHERE c_acctbal > 0) c

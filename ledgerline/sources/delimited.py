@@ -7,9 +7,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ledgerline.operators.joins import text_bytes
 from ledgerline.operators.numbering import sort_rows
 from ledgerline.session import materialize
 
+# Rows that measure at most this many bytes as text may be written by one task.
+SINGLE_FILE_BYTES = 256 * 1024 * 1024
+
 log = logging.getLogger(__name__)
 
 # A separator and a quote built from code points that Unicode never assigns, so that
@@ -46,7 +50,7 @@ def write_delimited(
     order_by: Sequence[str] = (),
     unique_order: bool = False,
     single_file: bool = False,
-    single_file_rows: int = 1_000_000,
+    single_file_bytes: int = SINGLE_FILE_BYTES,
     null_value: str | None = None,
     max_records_per_file: int = 0,
     mode: str = "overwrite",
@@ -54,15 +58,15 @@ def write_delimited(
     """Write pipe-separated files with a header line in each.
 
     ``order_by`` sorts globally: file names in order hold the rows in order. ``single_file`` puts
-    everything in one file if the result has at most ``single_file_rows`` rows; a larger one is
-    written whole as sorted part files, since one task could not write it. The rows are counted on a
-    written copy, so that the source is read once.
+    everything in one file if the rows measure at most ``single_file_bytes``; a larger result is
+    written whole as part files in order, since one task should not write it. The rows are measured
+    on a written copy, so that the source is not asked twice.
     """
     if single_file:
         df = materialize(df, "single-file")
-    one_file = single_file and df.count() <= single_file_rows
+    one_file = single_file and text_bytes(df) <= single_file_bytes
     if single_file and not one_file:
-        log.warning("more than %d rows: writing sorted part files to %s", single_file_rows, path)
+        log.warning("more than %d bytes: writing part files to %s", single_file_bytes, path)
     out = sort_rows(df, order_by, unique=unique_order) if order_by else df
     if one_file:
         out = out.coalesce(1)

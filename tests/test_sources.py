@@ -59,10 +59,10 @@ def test_landed_files(spark, emp, tmp_path):
     assert count_rows(back).first()["records"] == 5
 
 
-def test_too_many_rows_for_one_file(spark, conf, tmp_path):
+def test_too_large_for_one_file(spark, conf, tmp_path):
     conf(spark__sql__adaptive__coalescePartitions__enabled="false")
     out = str(tmp_path / "out")
-    write_delimited(spark.range(1000), out, order_by=["id"], single_file=True, single_file_rows=999)
+    write_delimited(spark.range(1000), out, order_by=["id"], single_file=True, single_file_bytes=5000)
     parts = sorted(glob.glob(f"{out}/part-*"))
     assert len(parts) > 1
     rows = [int(x) for p in parts for x in open(p).read().splitlines()[1:]]
@@ -163,7 +163,7 @@ def test_extract_job(spark, emp, conf, tmp_path, monkeypatch, capsys):
     monkeypatch.setattr(jobs, "jdbc_extract", lambda spark, url, user, password, query: emp)
     emp.where("emp_id < 4").select("emp_id").write.parquet(str(tmp_path / "known"))
     jobs.extract(spark, ["u", "me", "pw", "SELECT 1", str(tmp_path / "out"), str(tmp_path / "known")])
-    assert "Row(records=5, matched=3)" in capsys.readouterr().out
+    assert "records=5, matched=3" in capsys.readouterr().out
     jobs.extract(spark, ["u", "me", "pw", "SELECT 1", str(tmp_path / "out")])
     assert "matched" not in capsys.readouterr().out
     assert read_delimited(spark, str(tmp_path / "out")).count() == 5
