@@ -77,4 +77,4 @@ def message_rejects(
     """The messages that are no records, with the reason."""
     decoded = decode_messages(messages, schema, strict_fields, compat)
     carried = [c for c in messages.columns if c != "value"]
-    return decoded.where(F.col(REASON).isNotNull()).select("value", REASON, *carried)
+    return keep_rows(decoded, F.col(REASON).isNotNull(), "value", REASON, *carried)

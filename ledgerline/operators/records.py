@@ -90,7 +90,8 @@ def _first_bad(parsed: DataFrame) -> DataFrame:
     missing = [c for c in POSITION if c not in parsed.columns]
     if missing:
         raise ValueError(f"stop_file needs lines with position, missing {missing}")
-    first_bad = parsed.where(_malformed()).groupBy("file").agg(F.min(_place()).alias("_stop"))
+    bad = keep_rows(parsed, _malformed(), *POSITION)
+    first_bad = bad.groupBy("file").agg(F.min(_place()).alias("_stop"))
     return materialize(first_bad, "first-bad")
 
 
@@ -102,4 +103,4 @@ def parse_rejects(lines: DataFrame, schema: T.StructType, compat: bool = False)
     """The lines that are no records, with the reason."""
     parsed = _parse(lines, schema, compat)
     carried = [c for c in lines.columns if c != "line"]
-    return parsed.where(F.col(REASON) != BLANK).select("line", REASON, *carried)
+    return keep_rows(parsed, F.col(REASON) != BLANK, "line", REASON, *carried)
