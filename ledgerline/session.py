@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,3 +68,20 @@ def resolve_option(
     if required:
         raise ValueError(f"no value given and {key} is not set")
     return default
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let the executors import this package, once per application (as ``--py-files`` would)."""
+    context = spark.sparkContext
+    name = f"{__package__}.zip"
+    if name in context._python_includes:
+        return
+    home = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix=f"{__package__}-"), name)
+    with zipfile.ZipFile(path, "w") as bundle:
+        for folder, _, files in os.walk(home):
+            for file in files:
+                if file.endswith(".py"):
+                    full = os.path.join(folder, file)
+                    bundle.write(full, os.path.join(__package__, os.path.relpath(full, home)))
+    context.addPyFile(path)

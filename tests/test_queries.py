@@ -6,9 +6,10 @@ import pytest
 
 import __spark_entry__
 from compare import connect, mismatch
+from ledgerline.plans import oracles, queries as plans
 
-QUERIES = __spark_entry__.queries()
-ORACLES = __spark_entry__.oracle_sql()
+QUERIES = plans.QUERIES
+ORACLES = oracles.ORACLES
 
 
 @pytest.fixture(scope="module", params=["sf0.001", "sf0.01"])
