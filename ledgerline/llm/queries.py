@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ledgerline.llm.language import language_id
+from ledgerline.llm.simhash import near_duplicates
 from ledgerline.llm.suffix_array import drop_repeated_bytes
 from ledgerline.llm.suffix_trees import drop_repeated_words
 
@@ -17,13 +19,26 @@ def op2_repeated_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language_id(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op7_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = drop_repeated_bytes(_table(spark, sf_dir, "documents"))
     n_spans = F.size("spans").cast("long").alias("n_spans")
     return found.select("doc_id", "n_bytes", "n_removed", n_spans, F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(_table(spark, sf_dir, "documents"))
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
+    return found.select(F.col("id").alias("doc_id"), digits, F.col("component").alias("component_id"))
+
+
 QUERIES = {
     "op2_repeated_words": op2_repeated_words,
+    "op4_language": op4_language,
     "op7_repeated_bytes": op7_repeated_bytes,
+    "op8_simhash": op8_simhash,
 }
