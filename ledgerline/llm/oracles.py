@@ -37,7 +37,28 @@ SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n, 0)::BIGINT AS n_rem
 FROM texts LEFT JOIN runs USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
+_LATTICE = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+    AND list_bool_or(list_transform(embedding, lambda x: x <> 0))
+),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.93
+),
+reached AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+),
+smallest AS (SELECT a AS vec_id, min(b) AS component_id FROM reached GROUP BY a)
+SELECT e.vec_id, (SELECT count(*) FROM links WHERE a = e.vec_id)::BIGINT AS n_links, component_id,
+       e.vec_id = component_id AS kept
+FROM embeddings e JOIN smallest USING (vec_id)
+"""
+
 ORACLES = {
     "op2_repeated_words": _WORDS,
     "op7_repeated_bytes": _BYTES,
+    "op10_lattice": _LATTICE,
 }

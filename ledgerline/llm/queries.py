@@ -4,10 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ledgerline.llm.byte_bpe import decode_ids, encode_texts
 from ledgerline.llm.language import language_id
+from ledgerline.llm.lattice import near_duplicate_vectors
 from ledgerline.llm.simhash import near_duplicates
 from ledgerline.llm.suffix_array import drop_repeated_bytes
 from ledgerline.llm.suffix_trees import drop_repeated_words
+from ledgerline.llm.token_files import encode_documents, read_token_files, write_token_files
+from ledgerline.session import materialize, scratch_path
+
+BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
+WORD_TOKENIZER = "word_bpe_49k.json"
+END_ID = 1
+
+
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +38,21 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    with_ids = encode_texts(
+        _table(spark, sf_dir, "documents").select("doc_id", "text"), _tokenizer(BYTE_RANKS), public_tokenizers.PATTERN
+    )
+    decoded = decode_ids(with_ids.select("doc_id", "ids"), _tokenizer(BYTE_RANKS), public_tokenizers.PATTERN)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op7_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = drop_repeated_bytes(_table(spark, sf_dir, "documents"))
     n_spans = F.size("spans").cast("long").alias("n_spans")
@@ -36,9 +65,27 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), digits, F.col("component").alias("component_id"))
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = encode_documents(_table(spark, sf_dir, "documents"), _tokenizer(WORD_TOKENIZER), END_ID)
+    path = scratch_path(spark, "token-files")
+    write_token_files(materialize(encoded, "token-ids"), path)
+    read = read_token_files(spark, path)
+    return read.select(F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op10_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
+    return found.select(
+        F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept"
+    )
+
+
 QUERIES = {
     "op2_repeated_words": op2_repeated_words,
     "op4_language": op4_language,
+    "op5_byte_bpe": op5_byte_bpe,
     "op7_repeated_bytes": op7_repeated_bytes,
     "op8_simhash": op8_simhash,
+    "op9_token_files": op9_token_files,
+    "op10_lattice": op10_lattice,
 }
