@@ -13,7 +13,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerline.llm.graph import components, spanning_stars
 from ledgerline.llm.repeats import mix, ranges, slices
@@ -119,6 +119,12 @@ def _vectors(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, usable
 
 
+def usable_vector(name: str) -> Column:
+    """Whether a vector can be compared: not null, not zero, all components there and finite."""
+    finite = ~F.exists(name, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
+    return F.coalesce(finite & F.exists(name, lambda v: v != 0), F.lit(False))
+
+
 def near_duplicate_vectors(
     table: DataFrame,
     id_column: str = "vec_id",
@@ -145,8 +151,7 @@ def near_duplicate_vectors(
         label.cast("long").alias("label"),
         F.col(vector_column).cast("array<double>").alias("vector"),
     )
-    finite = ~F.exists("vector", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
-    usable = F.coalesce(finite & F.exists("vector", lambda v: v != 0) & F.col("label").isNotNull(), F.lit(False))
+    usable = usable_vector("vector") & F.col("label").isNotNull()
     # Adding zero makes -0.0 and 0.0 one value.
     rows = rows.withColumn("vector", F.when(usable, F.transform("vector", lambda v: v + F.lit(0.0))))
     folded = rows.where("vector is not null").groupBy("label", "vector")

@@ -57,7 +57,27 @@ SELECT e.vec_id, (SELECT count(*) FROM links WHERE a = e.vec_id)::BIGINT AS n_li
 FROM embeddings e JOIN smallest USING (vec_id)
 """
 
+_CHAT = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+),
+sized AS (
+  SELECT *, length(role) + length(regexp_replace(role, '[^\\\n:]', '', 'g')) + length(text)
+    + len(regexp_extract_all(text, '(?m)^\\*### ')) + len(regexp_extract_all(text, '</turn>')) + 15 AS size
+  FROM turns
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(size)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
 ORACLES = {
+    "op1_chat": _CHAT,
     "op2_repeated_words": _WORDS,
     "op7_repeated_bytes": _BYTES,
     "op10_lattice": _LATTICE,
