@@ -32,7 +32,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerline.session import materialize, ship_package
 
-CHUNK_BYTES = 3_000_000
+CHUNK_BYTES = 1_000_000
+SLICE_TOKENS = 1 << 16
 BUCKET_BYTES = 64_000_000
 HOT = 2_000
 
@@ -62,12 +63,21 @@ class Task:
 
 @dataclass
 class Tokens:
-    """A code per token, where the tokens of each document start, and the bytes of each token."""
+    """The tokens, where those of each document start, and the bytes of each token.
 
-    codes: np.ndarray
+    Without ``first`` and ``end`` a token is a byte; else it is given by its code.
+    """
+
+    raw: np.ndarray
     offsets: np.ndarray
-    first: np.ndarray
-    end: np.ndarray
+    first: np.ndarray | None = None
+    end: np.ndarray | None = None
+
+    def codes(self, lo: int, hi: int | None = None) -> np.ndarray:
+        return BYTE_CODES[self.raw[lo:hi]] if self.first is None else self.raw[lo:hi]
+
+    def bytes_of(self, start: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return (start, last + 1) if self.first is None else (self.first[start], self.end[last])
 
 
 @dataclass
@@ -116,8 +126,7 @@ class SpanHash:
 
 
 def split_bytes(data: np.ndarray, offsets: np.ndarray) -> Tokens:
-    first = np.arange(len(data), dtype=np.int64)
-    return Tokens(BYTE_CODES[data], offsets, first, first + 1)
+    return Tokens(data, offsets)
 
 
 def split_words(data: np.ndarray, offsets: np.ndarray) -> Tokens:
@@ -151,6 +160,27 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + np.repeat(starts - before, counts)
 
 
+def runs_of(codes: np.ndarray, offsets: np.ndarray, task: Task) -> tuple[np.ndarray, ...]:
+    """First window, number of windows, anchor and hash of the whole text of each run."""
+    n = len(codes) - task.length + 1
+    if n <= 0:
+        none = np.zeros(0, np.int64)
+        return none, none, none.astype(_U), none.astype(_U)
+    span = SpanHash(codes)
+    grams = span.grams(task.gram)
+    packed = (grams & ~_LOW) | np.arange(len(grams), dtype=_U)
+    least = sliding_min(packed, task.length - task.gram + 1)[:n]
+    inside = np.ones(n, bool)
+    for lo, hi in zip(np.maximum(offsets[:-1], offsets[1:] - task.length + 1).tolist(), offsets[1:].tolist()):
+        inside[lo:hi] = False  # a window from here on would cross the end of its document
+    starts = np.nonzero(inside)[0]
+    at = (least[starts] & _LOW).astype(np.int64)
+    first = np.nonzero(np.concatenate([[True], at[1:] != at[:-1]]))[0] if len(at) else at
+    start, count = starts[first], np.diff(np.append(first, len(starts)))
+    text = mix(span(start, start + count - 1 + task.length) ^ count.astype(_U))
+    return start, count, grams[at[first]], text
+
+
 class Chunk:
     """The runs of a chunk and its distinct entries, the same each time it is built."""
 
@@ -165,27 +195,18 @@ class Chunk:
         self._entries()
 
     def _runs(self) -> None:
-        codes, offsets, task = self.tokens.codes, self.tokens.offsets, self.task
-        n = len(codes) - task.length + 1
-        self.hash = SpanHash(codes)
-        if n <= 0:
-            self.start = self.count = self.row = np.zeros(0, np.int64)
-            self.anchor = self.text = np.zeros(0, _U)
-            return
-        grams = self.hash.grams(task.gram)
-        packed = (grams & ~_LOW) | np.arange(len(grams), dtype=_U)
-        least = sliding_min(packed, task.length - task.gram + 1)[:n]
-        crossing = np.zeros(len(codes) + 1, np.int32)
-        np.add.at(crossing, np.maximum(offsets[:-1], offsets[1:] - task.length + 1), 1)
-        np.add.at(crossing, offsets[1:], -1)
-        starts = np.nonzero(np.cumsum(crossing[:n]) == 0)[0]
-        at = (least[starts] & _LOW).astype(np.int64)
-        first = np.nonzero(np.r_[True, at[1:] != at[:-1]])[0] if len(at) else at
-        self.start, self.count = starts[first], np.diff(np.r_[first, len(starts)])
+        """Slice by slice of whole documents, so that the arrays stay in the processor's cache."""
+        offsets = self.tokens.offsets
+        found = [
+            runs_of(self.tokens.codes(offsets[lo], offsets[hi]), offsets[lo : hi + 1] - offsets[lo], self.task)
+            for _, lo, hi in slices(offsets[:-1] // SLICE_TOKENS)
+        ]
+        base = [offsets[lo] for _, lo, _ in slices(offsets[:-1] // SLICE_TOKENS)]
+        if not found:
+            found, base = [runs_of(self.tokens.codes(0, 0), np.zeros(1, np.int64), self.task)], [0]
+        self.start = np.concatenate([f[0] + at for f, at in zip(found, base)])
+        self.count, self.anchor, self.text = (np.concatenate([f[k] for f in found]) for k in (1, 2, 3))
         self.row = np.searchsorted(offsets, self.start, "right") - 1
-        self.anchor = grams[at[first]]
-        end = self.start + self.count - 1 + task.length
-        self.text = mix(self.hash(self.start, end) ^ self.count.astype(_U))
 
     def _entries(self) -> None:
         """Sorted by bucket and id: anchor, text, and the smallest id or (two at most) the number of runs."""
@@ -196,7 +217,7 @@ class Chunk:
         head = np.nonzero(new)[0]
         amount = np.diff(np.r_[head, len(order)])
         value = ids[order[head]] if self.task.first_stays else np.minimum(amount, 2)
-        bucket = bucket_of(anchor[head], self.task.buckets)
+        bucket = bucket_of(mix(anchor[head]), self.task.buckets)  # anchors are small: they are minima
         place = np.lexsort((value, bucket))
         rank = np.empty(len(place), np.int64)
         rank[place] = np.arange(len(place))
@@ -228,7 +249,7 @@ class Windows:
         self.runs = runs
         start = ranges(chunk.start[runs], chunk.count[runs])
         ids = np.repeat(chunk.ids[chunk.row[runs]], chunk.count[runs])
-        window = chunk.hash(start, start + task.length)
+        window = SpanHash(chunk.tokens.codes(0))(start, start + task.length)
         order = np.lexsort((ids, window))
         new = np.r_[True, window[order][1:] != window[order][:-1]] if len(order) else np.zeros(0, bool)
         head = np.nonzero(new)[0]
@@ -440,7 +461,7 @@ def losing(group: np.ndarray, value: np.ndarray, first_stays: bool) -> np.ndarra
 def _text_of(chunk: Chunk, runs: np.ndarray) -> tuple[np.ndarray, ...]:
     """Number of runs, then their sizes, windows, ids and bytes."""
     last = chunk.start[runs] + chunk.count[runs] + chunk.task.length - 2
-    first, end = chunk.tokens.first[chunk.start[runs]], chunk.tokens.end[last]
+    first, end = chunk.tokens.bytes_of(chunk.start[runs], last)
     sizes = end - first
     ids = chunk.ids[chunk.row[runs]]
     return np.array([len(runs)]), sizes, chunk.count[runs], ids, chunk.data[ranges(first, sizes)]
@@ -454,7 +475,7 @@ def _shown_from(raw: bytes) -> Shown:
 
 def _covered(chunk: Chunk, replies: dict[tuple[int, int], bytes]) -> np.ndarray:
     """Which tokens a window covers that goes."""
-    edges = np.zeros(len(chunk.tokens.codes) + 1, np.int32)
+    edges = np.zeros(len(chunk.tokens.raw) + 1, np.int32)
     if not len(chunk.start):
         return edges[:-1] > 0
     status, length = chunk.status(replies), chunk.task.length
