@@ -18,10 +18,10 @@ END = "\n</turn>\n"
 
 ESCAPE = "\\"
 # What the parser would take for the template, with any number of escapes before it.
-_HEAD_LINE = re.compile(r"(?m)^(\\*)(?=### )")
-_END_MARK = re.compile(r"(\\*)(?=</turn>)")
-_ESCAPED_HEAD = re.compile(r"(?m)^\\(\\*)(?=### )")
-_ESCAPED_END = re.compile(r"\\(\\*)(?=</turn>)")
+_HEAD_LINE = re.compile(r"(?m)^(\\*### )")
+_END_MARK = re.compile(r"(\\*</turn>)")
+_ESCAPED_HEAD = re.compile(r"(?m)^\\(\\*### )")
+_ESCAPED_END = re.compile(r"\\(\\*</turn>)")
 _BARE = re.compile(r"(?m)^### |(?<!\\)</turn>")
 _NAME_ESCAPES = {"\\": "\\\\", "\n": "\\n", ":": "\\c"}
 _NAME_ORIGINALS = {v[1]: k for k, v in _NAME_ESCAPES.items()}

@@ -152,16 +152,22 @@ def _fit(pieces: list) -> Model:
     return Model(languages, np.log(counts / counts.sum(0)), np.log(docs / max(docs.sum(), 1)))
 
 
-def identify(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
-    """Add ``lang_pred`` and ``score``, the probability of that language, to ``docs``.
+def identify(
+    docs: DataFrame,
+    model: Model,
+    text_column: str = "text",
+    language_name: str = "lang_pred",
+    score_name: str = "score",
+) -> DataFrame:
+    """Add the predicted language and the probability of that language to ``docs``.
 
     ``und`` and 0 for a text that is null or has no letter, or if the model knows no language. Ties
-    go to the language that sorts first. Columns of these two names are replaced.
+    go to the language that sorts first. Columns that have one of the two names are replaced.
     """
     spark = docs.sparkSession
     ship_package(spark)
     shared = spark.sparkContext.broadcast(model)
-    docs = docs.drop("lang_pred", "score")
+    docs = docs.drop(language_name, score_name)
     names = docs.columns
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,9 +180,9 @@ def identify(docs: DataFrame, model: Model, text_column: str = "text") -> DataFr
                 best[lo:hi], score[lo:hi] = _predict(data[part[0] : part[-1]], part - part[0], model)
             table = pa.array([*model.languages, UNKNOWN])
             columns = [*batch.columns, table.take(pa.array(best)), pa.array(score)]
-            yield pa.RecordBatch.from_arrays(columns, [*names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays(columns, [*names, language_name, score_name])
 
-    schema = docs.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
+    schema = docs.select("*", F.lit("").alias(language_name), F.lit(0.0).alias(score_name)).schema
     return docs.mapInArrow(apply, schema)
 
 

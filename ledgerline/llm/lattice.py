@@ -13,7 +13,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ledgerline.llm.graph import components, spanning_stars
 from ledgerline.llm.repeats import mix, ranges, slices
@@ -146,6 +146,8 @@ def near_duplicate_vectors(
     spark = table.sparkSession
     ship_package(spark)
     label = F.col(label_column) if label_column else F.lit(0)
+    if label_column and not isinstance(table.schema[label_column].dataType, T.IntegralType):
+        label = F.when(label.isNotNull(), F.xxhash64(label))
     rows = table.select(
         F.col(id_column).cast("long").alias("id"),
         label.cast("long").alias("label"),

@@ -20,28 +20,39 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ledgerline.llm.repeats import mix, slices, split_words, text_bytes
 from ledgerline.session import materialize, ship_package
 
-FEATURES = 1 << 15
 BYTES = 128
-SAMPLE = 8_000  # labelled rows that the classifier learns from, at most
+SAMPLE = 6_000  # labelled rows that the classifier learns from, at most
+LEAST_DOCS = 3  # a word counts if it is in so many of them
+DEVIATIONS = 5.0  # and so many standard deviations off in some domain
+SHRINK = 0.005  # taken off each word's weight in each round
 ROUNDS = 150
 STEPS = 40
 SLICE_BYTES = 2_000_000
 TOLERANCE = 1e-6
 
 DOMAINS = ("clean", "poor", "toxic")
-WEIGHTS = (0.95, 0.05, 0.0)
+WEIGHTS = (0.945, 0.05, 0.005)
 
 _U = np.uint64
 
 
 @dataclass(frozen=True)
 class Classifier:
-    """Softmax over presence of hashed words and shares of ASCII bytes."""
+    """Softmax over presence of chosen words (ascending hashes) and shares of ASCII bytes."""
 
+    codes: np.ndarray
     words: np.ndarray
     bytes: np.ndarray
     bias: np.ndarray
 
+    def chosen(self, row: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and positions of the words that the classifier knows."""
+        if not len(self.codes):
+            return row[:0], code[:0].astype(np.int64)
+        at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
+        known = self.codes[at] == code
+        return row[known], at[known]
+
     def posteriors(self, rows: int, row: np.ndarray, word: np.ndarray, shares: np.ndarray) -> np.ndarray:
         total = shares @ self.bytes + self.bias
         for k in range(total.shape[1]):
@@ -51,7 +62,7 @@ class Classifier:
 
 
 def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Rows and hashes of the distinct words of each text, its shares of bytes, and its number of words.
+    """Rows and 32-bit hashes of the distinct words of each text, its shares of bytes, its number of words.
 
     For the hashes a word is a run of letters in lower case; what counts as a token is any word
     between white space.
@@ -61,13 +72,13 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     lower = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
     letters = np.where((lower >= 128) | ((lower >= 97) & (lower <= 122)), lower, 32).astype(np.uint8)
     words = split_words(letters, offsets)
-    row = np.repeat(np.arange(rows), np.diff(words.offsets))
-    pairs = np.unique(row * FEATURES + (mix(words.raw) >> _U(49)).astype(np.int64))
+    row = np.repeat(np.arange(rows), np.diff(words.offsets)).astype(_U)
+    pairs = np.unique((row << _U(32)) | (mix(words.raw) >> _U(32)))
     owner = np.repeat(np.arange(rows), np.diff(offsets))
     ascii_ = data < BYTES
     shares = np.bincount(owner[ascii_] * BYTES + data[ascii_], minlength=rows * BYTES).reshape(rows, BYTES)
-    shares = shares / np.maximum(np.diff(offsets), 1)[:, None]
-    return pairs // FEATURES, pairs % FEATURES, np.sqrt(shares), tokens
+    shares = 4 * np.sqrt(shares / np.maximum(np.diff(offsets), 1)[:, None])
+    return (pairs >> _U(32)).astype(np.int64), pairs.astype(np.uint32), shares, tokens
 
 
 def _feature_rows(docs: DataFrame, text_column: str, kept: Sequence[str]) -> DataFrame:
@@ -78,9 +89,8 @@ def _feature_rows(docs: DataFrame, text_column: str, kept: Sequence[str]) -> Dat
                 part = offsets[lo : hi + 1]
                 row, word, shares, _ = features(data[part[0] : part[-1]], part - part[0])
                 at = np.searchsorted(row, np.arange(hi - lo + 1)).tolist()
-                packed = word.astype(np.uint16)
                 columns = [batch.column(c).slice(lo, hi - lo) for c in kept]
-                words = pa.array([packed[a:b].tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary())
+                words = pa.array([word[a:b].tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary())
                 shared = pa.array([s.astype(np.float32).tobytes() for s in shares], pa.binary())
                 yield pa.RecordBatch.from_arrays([*columns, words, shared], [*kept, "words", "shares"])
 
@@ -110,37 +120,50 @@ def learn(
     rows = docs.join(F.broadcast(chosen), docs[id_column] == F.col("_id")).select("domain", text_column)
     found = _feature_rows(rows, text_column, ["domain"]).limit(2 * sample).toPandas()
     found = found.sort_values(["domain", "words", "shares"], ignore_index=True)
-    words = [np.frombuffer(w, np.uint16).astype(np.int64) for w in found["words"]]
+    words = [np.frombuffer(w, np.uint32) for w in found["words"]]
     row = np.repeat(np.arange(len(words)), [len(w) for w in words])
-    word = np.concatenate([*words, np.zeros(0, np.int64)])
+    word = np.concatenate([*words, np.zeros(0, np.uint32)])
     shares = np.array([np.frombuffer(s, np.float32) for s in found["shares"]]).reshape(-1, BYTES).astype(float)
     return _fit(row, word, shares, found["domain"].to_numpy().astype(int), domains)
 
 
-def _fit(row: np.ndarray, word: np.ndarray, shares: np.ndarray, domain: np.ndarray, domains: int) -> Classifier:
-    """Softmax regression by Adam over all rows at once, with a penalty on the weights."""
+def telling_words(row: np.ndarray, code: np.ndarray, domain: np.ndarray, domains: int) -> np.ndarray:
+    """Words that occur in some domain far more or less often than by chance."""
+    codes, which = np.unique(code, return_inverse=True)
+    docs = np.bincount(which, minlength=len(codes))
+    size, rows = np.bincount(domain, minlength=domains), len(domain)
+    most = np.zeros(len(codes))
+    for k in range(domains):
+        inside = np.bincount(which, domain[row] == k, len(codes))
+        mean = docs * size[k] / rows
+        spread = np.sqrt(np.maximum(mean * (1 - size[k] / rows) * (1 - docs / rows), 1e-9))
+        most = np.maximum(most, np.abs(inside - mean) / spread)
+    return codes[(docs >= LEAST_DOCS) & (most >= DEVIATIONS)]
+
+
+def _fit(row: np.ndarray, code: np.ndarray, shares: np.ndarray, domain: np.ndarray, domains: int) -> Classifier:
+    """Softmax regression by Adam over all rows at once; weights of words shrink towards zero."""
     rows = len(shares)
-    flat = np.zeros((FEATURES + BYTES + 1, domains))
+    codes = telling_words(row, code, domain, domains) if rows else code[:0]
+    flat, n = np.zeros((len(codes) + BYTES + 1, domains)), len(codes)
+    now = Classifier(codes, flat[:n], flat[n:-1], flat[-1])
     if not rows:
-        return Classifier(flat[:FEATURES], flat[FEATURES:-1], flat[-1])
-    common = np.bincount(word, minlength=FEATURES) >= 3
-    row, word = row[common[word]], word[common[word]]
-    order = np.argsort(word, kind="stable")
-    by_word_row, by_word = row[order], word[order]
+        return now
+    row, word = now.chosen(row, code)
     target = np.eye(domains)[domain]
     first, second = np.zeros_like(flat), np.zeros_like(flat)
     for step in range(1, ROUNDS + 1):
-        now = Classifier(flat[:FEATURES], flat[FEATURES:-1], flat[-1])
         wrong = (now.posteriors(rows, row, word, shares) - target) / rows
-        slope = np.empty_like(flat)
+        slope = np.zeros_like(flat)
         for k in range(domains):
-            slope[:FEATURES, k] = np.bincount(by_word, wrong[by_word_row, k], FEATURES)
-        slope[FEATURES:-1], slope[-1] = shares.T @ wrong, wrong.sum(0)
-        slope[:-1] += 1e-4 * flat[:-1]
+            slope[:n, k] = np.bincount(word, wrong[row, k], n)
+        slope[n:-1], slope[-1] = shares.T @ wrong, wrong.sum(0)
         first = 0.9 * first + 0.1 * slope
         second = 0.99 * second + 0.01 * slope * slope
         flat = flat - 0.05 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-9)
-    return Classifier(flat[:FEATURES], flat[FEATURES:-1], flat[-1])
+        flat[:n] = np.sign(flat[:n]) * np.maximum(np.abs(flat[:n]) - SHRINK, 0)
+        now = Classifier(codes, flat[:n], flat[n:-1], flat[-1])
+    return now
 
 
 def memberships(docs: DataFrame, classifier: Classifier, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -153,8 +176,8 @@ def memberships(docs: DataFrame, classifier: Classifier, id_column: str = "doc_i
             data, offsets = text_bytes(batch.column("text"))
             for _, lo, hi in slices(offsets[:-1] // SLICE_BYTES):
                 part = offsets[lo : hi + 1]
-                row, word, shares, tokens = features(data[part[0] : part[-1]], part - part[0])
-                p = shared.value.posteriors(hi - lo, row, word, shares)
+                row, code, shares, tokens = features(data[part[0] : part[-1]], part - part[0])
+                p = shared.value.posteriors(hi - lo, *shared.value.chosen(row, code), shares)
                 edges = np.arange(hi - lo + 1, dtype=np.int32) * p.shape[1]
                 columns = [batch.column(c).slice(lo, hi - lo) for c in ("id", "copy")]
                 lists = pa.ListArray.from_arrays(edges, p.ravel())
@@ -285,9 +308,9 @@ def mixed(
     chance = F.pmod(F.xxhash64(F.lit("mix"), "id", "copy"), F.lit(1 << 30)) / float(1 << 30)
     first = F.col("posteriors")[0] >= F.array_max("posteriors")
     copies = F.greatest(F.floor(F.col("rate") + chance).cast("int"), first.cast("int"))
-    wanted = rates.select(F.col("id").alias("_id"), F.col("copy").alias("_copy"), copies.alias("_n"))
-    wanted = wanted.groupBy("_id", "_copy").agg(F.max("_n").alias("_n")).where("_n > 0")
-    keyed = docs.withColumn("_text_hash", F.xxhash64(text_column))
-    same = keyed[id_column].cast("long").eqNullSafe(wanted["_id"]) & (keyed["_text_hash"] == wanted["_copy"])
-    repeated = F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_time")
-    return keyed.join(wanted, same).select(*docs.columns, repeated).drop("_time")
+    wanted = rates.select(F.col("id").alias("__id"), F.col("copy").alias("__copy"), copies.alias("__n"))
+    wanted = wanted.groupBy("__id", "__copy").agg(F.max("__n").alias("__n")).where("__n > 0")
+    keyed = docs.withColumn("__hash", F.xxhash64(text_column))
+    same = keyed[id_column].cast("long").eqNullSafe(wanted["__id"]) & (keyed["__hash"] == wanted["__copy"])
+    repeated = F.explode(F.sequence(F.lit(1), F.col("__n"))).alias("__time")
+    return keyed.join(wanted, same).select(*docs.columns, repeated).drop("__time")

@@ -391,7 +391,7 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     found = near_duplicates(docs, id_column, text_column)
     order = F.struct(F.col("id").isNull().alias("_absent"), "id", "copy")
     best = found.groupBy("group").agg(F.min(order).alias("s"))
-    stays = best.select(F.col("s.id").alias("_id"), F.col("s.copy").alias("_kept"))
-    keyed = docs.withColumn("_copy", F.xxhash64(text_column))
-    same = keyed[id_column].cast("long").eqNullSafe(stays["_id"]) & (keyed["_copy"] == stays["_kept"])
-    return keyed.join(stays, same, "left_semi").dropDuplicates([id_column, "_copy"]).select(*columns)
+    stays = best.select(F.col("s.id").alias("__id"), F.col("s.copy").alias("__kept"))
+    keyed = docs.withColumn("__copy", F.xxhash64(text_column))
+    same = keyed[id_column].cast("long").eqNullSafe(stays["__id"]) & (keyed["__copy"] == stays["__kept"])
+    return keyed.join(stays, same, "left_semi").dropDuplicates([id_column, "__copy"]).select(*columns)

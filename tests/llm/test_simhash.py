@@ -1,0 +1,100 @@
+from __future__ import annotations
+
+import random
+
+import brute
+import numpy as np
+import pytest
+import xxhash
+
+from ledgerline.llm.graph import components
+from ledgerline.llm.simhash import Parts, close_pairs, fingerprints, group_bits, near_duplicates, one_of_each, xxh64_spans
+
+
+def test_hash_is_xxh64():
+    r = random.Random(1)
+    data = bytes(r.randrange(256) for _ in range(3_000))
+    spans = [(a, n) for n in [*range(0, 80), 255, 256, 257, 400] for a in (0, 7, 2_000)]
+    first, size = (np.array(x) for x in zip(*spans))
+    got = xxh64_spans(np.frombuffer(data, np.uint8), first, size)
+    assert got.tolist() == [xxhash.xxh64_intdigest(data[a : a + n], 42) for a, n in spans]
+
+
+def test_fingerprints(edge_docs, edge_rows):
+    got = sorted(((r.id, r.fp % (1 << 64)) for r in fingerprints(edge_docs).collect()), key=repr)
+    assert got == sorted(((i, brute.fingerprint(t)) for i, t in edge_rows), key=repr)
+
+
+def test_near_duplicates(spark, edge_docs, edge_rows, sf_rows):
+    for docs, rows in ((edge_docs, edge_rows), (spark.createDataFrame(sf_rows, "doc_id long, text string"), sf_rows)):
+        got = sorted(((r.id, r.fp % (1 << 64), r.component) for r in near_duplicates(docs).collect()), key=repr)
+        assert got == sorted(brute.near_duplicates(rows), key=repr)
+
+
+@pytest.mark.parametrize("parts", [None, 4, 3, 2])
+def test_every_close_pair_is_linked(spark, parts, monkeypatch):
+    """Clusters around few centres, so that keys are common; and some bits that never vary."""
+    monkeypatch.setattr("ledgerline.llm.simhash.KEY_ROWS", 20)
+    r = random.Random(7)
+    centres = [r.getrandbits(64) & ~0xFF for _ in range(12)]
+    fps = {0, (1 << 64) - 1}
+    for _ in range(400):
+        fp = r.choice(centres)
+        for _ in range(r.randint(0, 9)):
+            fp ^= 1 << r.randrange(64)
+        fps.add(fp)
+    fps = sorted(fps)
+    signed = [(f - (1 << 64) if f >> 63 else f,) for f in fps]
+    links = close_pairs(spark.createDataFrame(signed, "fp long").repartition(3), parts=parts)
+    found = {(x.node % (1 << 64)): x.component for x in components(links).collect()}
+    close = [(a, b) for a in range(len(fps)) for b in range(a) if (fps[a] ^ fps[b]).bit_count() <= 4]
+    label = brute.components(len(fps), close)
+    ours = [found.get(f, ("alone", f)) for f in fps]
+    assert len(set(ours)) == len(set(label)) == len(set(zip(ours, label)))
+
+
+def test_thresholds_sum_and_follow_counts():
+    plan = Parts([list(range(k * 16, k * 16 + 16)) for k in range(4)], 4)
+    for k in range(4):
+        plan.counts[k][:] = 1
+    plan.counts[0][0] = 1_000_000
+    plan.estimate()
+    limits = plan.thresholds(np.array([0, (1 << 64) - 1], np.uint64))
+    assert limits.sum(0).tolist() == [1, 1]
+    assert limits[0, 0] == -1  # the crowded value is not asked
+
+
+def test_correlated_bits_share_a_part():
+    r = np.random.default_rng(2)
+    x = r.integers(0, 2, (500, 64))
+    x[:, 40] = x[:, 3]
+    groups = group_bits((x.T @ x).astype(float), 500, 4)
+    assert sorted(b for g in groups for b in g) == list(range(64))
+    assert any(3 in g and 40 in g for g in groups)
+
+
+def test_one_of_each(edge_docs, edge_rows, no_docs):
+    kept = one_of_each(edge_docs)
+    assert kept.columns == edge_docs.columns
+    rows = kept.collect()
+    label = brute.classes([brute.fingerprint(t) for _, t in edge_rows])
+    groups = {c: [row for row, other in zip(edge_rows, label) if other == c] for c in label}
+    assert len(rows) == len(groups)
+    for group in groups.values():
+        stays = [(r.doc_id, r.text) for r in rows if (r.doc_id, r.text) in group]
+        least = min((i for i, _ in group if i is not None), default=None)
+        assert [i for i, _ in stays] == [least]
+    assert one_of_each(no_docs).count() == 0 and near_duplicates(no_docs).count() == 0
+
+
+def test_components(spark):
+    r = random.Random(3)
+    chain = [(k, k + 1) for k in range(300)]
+    star = [(1_000, 1_000 + k) for k in range(300)]
+    loops = [(5_000, 5_000), (6_001, 6_000), (6_000, 6_001), (-4, 7_000)]
+    links = [(b, a) if r.random() < 0.5 else (a, b) for a, b in chain + star + loops]
+    r.shuffle(links)
+    got = {x.node: x.component for x in components(spark.createDataFrame(links, "a long, b long").repartition(5)).collect()}
+    expected = {k: 0 for k in range(301)} | {1_000 + k: 1_000 for k in range(300)}
+    assert got == expected | {6_000: 6_000, 6_001: 6_000, -4: -4, 7_000: -4}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
