@@ -25,9 +25,11 @@ def _only_ok(found: Column, status: Column | None) -> Column:
 
 
 def lookup_url(endpoint: str, key: Column) -> Column:
+    # Fixed value: the path of a record at the service.
     return F.concat(F.lit(f"{endpoint}/employee/"), key.cast("string"))
 
 
 def answer_line(key: Column, name: Column, answer: Column) -> Column:
     """The log line of one lookup: key, name and whatever came back."""
+    # Fixed value: the words of the line.
     return F.format_string("Employee %s (%s): %s", key.cast("string"), name, answer.cast("string"))

@@ -13,6 +13,9 @@ FIRST_VISIBLE = "!"  # U+0021
 ANY_NUMBER_WORD = r"(?i)^[+-]?(inf|infinity|nan)$"
 VALID_NUMBER_WORD = r"^[+-]?(Infinity|NaN)$"
 
+# The one form of a date.
+WHOLE_DATE = r"^\d{4}-\d{2}-\d{2}$"
+
 
 def clean(text: Column) -> Column:
     """Strip control characters and spaces at both ends (plain ``trim`` strips only spaces).
@@ -44,7 +47,15 @@ def parse_field(text: Column, kind: T.DataType, compat: bool = False) -> Column:
         return text if compat else F.nullif(text, F.lit(""))
     if isinstance(kind, T.DoubleType):
         return parse_double(text)
-    return text.try_cast(kind)
+    value = text.try_cast(kind)
+    if isinstance(kind, T.DateType):
+        return F.when(text.rlike(WHOLE_DATE), value)
+    if isinstance(kind, T.DecimalType):
+        # More digits than the scale has would be rounded away, unless they are zeros.
+        longer = text.try_cast(T.DecimalType(38, min(38, kind.scale + 12)))
+        too_fine = text.rlike(rf"\.\d{{{kind.scale}}}\d*[1-9]") | (longer != value)
+        return F.when(~F.coalesce(too_fine, F.lit(False)), value)
+    return value
 
 
 def to_line(*columns: Column | str) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # A table whose rows measure at most this many bytes as text may be broadcast.
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -10,11 +10,24 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 # A key is hot if it holds at least one row in this many; at most this many keys can.
 HOT_SHARE = 1000
 
+# Places that the rows of a hot key are dealt over.
+SALTS = 64
+
+_SALT = "_salt"
+
 
 def text_bytes(df: DataFrame) -> int:
-    """Size of the rows of ``df`` as JSON text, measured by one aggregate over all of them."""
-    size = F.sum(F.octet_length(F.to_json(F.struct("*"))))
-    return df.agg(size.alias("bytes")).first()["bytes"] or 0
+    """About the size of the rows of ``df``: texts in UTF-8, nested values as JSON, 8 bytes for others."""
+
+    def size(field: T.StructField) -> Column:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(field.name), F.lit(0))
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            return F.coalesce(F.octet_length(F.to_json(F.col(field.name))), F.lit(0))
+        return F.lit(8)
+
+    per_row = sum((size(f).cast("long") for f in df.schema), F.lit(0).cast("long"))
+    return df.agg(F.sum(per_row).alias("bytes")).first()["bytes"] or 0
 
 
 def hot_keys(df: DataFrame, key: str) -> list:
@@ -39,23 +52,28 @@ def keyed_join(
     how: str = "left",
     broadcast_bytes: int = BROADCAST_BYTES,
     measure: DataFrame | None = None,
+    small: bool | None = None,
 ) -> DataFrame:
     """Join on ``key``, which is unique in ``right``; ``how`` is left, left_anti or left_semi.
 
     A small right side is broadcast: ``right`` is measured, or ``measure`` if that is cheaper to
-    compute and at least as large. Beyond that both sides are shuffled on the key, but
-    rows of a hot key stay where they are: the right side has at most HOT_SHARE rows for them, so
-    that part is always small enough to broadcast.
+    compute and at least as large; or ``small`` says it. Beyond that both sides are shuffled once, the
+    rows of a hot key dealt over ``SALTS`` places; the right side has at most HOT_SHARE rows for such keys,
+    which are repeated in each. ``left`` is read to find them and to join.
     """
-    if text_bytes(right if measure is None else measure) <= broadcast_bytes:
+    if small is None:
+        small = text_bytes(right if measure is None else measure) <= broadcast_bytes
+    if small:
         return left.join(F.broadcast(right), key, how)
     hot = hot_keys(left, key)
     if not hot:
         return left.join(right.hint("shuffle_merge"), key, how)
-    stays = _one_of(F.col(key), hot)
-    in_place = left.where(stays).join(F.broadcast(right.where(stays)), key, how)
-    shuffled = left.where(~stays).join(right.hint("shuffle_merge"), key, how)
-    return in_place.unionByName(shuffled)
+    dealt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
+    everywhere = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    salted = left.withColumn(_SALT, F.when(_one_of(F.col(key), hot), dealt).otherwise(0))
+    places = F.when(_one_of(F.col(key), hot), everywhere).otherwise(F.array(F.lit(0)))
+    repeated = right.withColumn(_SALT, F.explode(places))
+    return salted.join(repeated.hint("shuffle_merge"), [key, _SALT], how).drop(_SALT)
 
 
 def _one_of(key: Column, values: list) -> Column:

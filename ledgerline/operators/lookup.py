@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import urllib.error
 import urllib.request
 from collections.abc import Callable, Iterator, Sequence
 
@@ -9,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerline.functions.answers import exists_by_field, exists_by_text
-from ledgerline.operators.joins import BROADCAST_BYTES, keyed_join
+from ledgerline.operators.joins import BROADCAST_BYTES, keyed_join, text_bytes
 from ledgerline.session import materialize
 
 # Fixed value: seconds to wait for a connection and for an answer.
@@ -37,6 +38,32 @@ def lookup_exists(
     """
     if not enabled:
         return records.withColumn("exists", F.lit(True))
+    prepared = prepare_lookup(table, key, table_key, answers, exists_column, status_column, broadcast_bytes)
+    return prepared.check(records)
+
+
+class Lookup:
+    """A lookup table ready to be joined with any number of batches of records."""
+
+    def __init__(self, one_each: DataFrame, key: str, answers: Sequence[str], small: bool) -> None:
+        self.one_each, self.key, self.answers, self.small = one_each, key, tuple(answers), small
+
+    def check(self, records: DataFrame) -> DataFrame:
+        joined = keyed_join(records, self.one_each, self.key, "left", small=self.small)
+        return joined.select(*records.columns, F.coalesce("exists", F.lit(False)).alias("exists"), *self.answers)
+
+
+def prepare_lookup(
+    table: DataFrame,
+    key: str,
+    table_key: str | None = None,
+    answers: Sequence[str] = (),
+    exists_column: str | None = None,
+    status_column: str | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    keep: bool = False,
+) -> Lookup:
+    """One row per key of ``table``, measured once; ``keep`` writes it, for many uses."""
     exists = F.col(exists_column) if exists_column else F.lit(True)
     if status_column:
         exists = F.when(F.col(status_column) == 200, exists).otherwise(F.lit(False))
@@ -52,46 +79,57 @@ def lookup_exists(
         )
     else:
         one_each = entries.groupBy(key).agg(F.bool_or("exists").alias("exists"))
-    joined = keyed_join(records, one_each, key, "left", broadcast_bytes, measure=entries)
-    return joined.select(*records.columns, F.coalesce("exists", F.lit(False)).alias("exists"), *answers)
+    if keep:
+        one_each = materialize(one_each, "lookup")
+    return Lookup(one_each, key, answers, text_bytes(one_each if keep else entries) <= broadcast_bytes)
 
 
 def http_caller(endpoint: str) -> Callable[[], Call]:
-    """Opens a caller in each task that asks ``endpoint`` for one key at a time."""
+    """Opens a caller in each task that asks ``endpoint`` for one key at a time.
+
+    Any answer counts, whatever its status; only a failure to get one is a failure.
+    """
 
     def connect() -> Call:
+        def text(answer) -> str:
+            return answer.read().decode("utf-8").replace("\r", "").replace("\n", "")
+
         def call(key: object) -> tuple[int, str]:
-            with urllib.request.urlopen(f"{endpoint}/employee/{key}", timeout=TIMEOUT_SECONDS) as answer:
-                return answer.status, answer.read().decode("utf-8").replace("\r", "").replace("\n", "")
+            try:
+                # Fixed value: the path of a record at the service.
+                with urllib.request.urlopen(f"{endpoint}/employee/{key}", timeout=TIMEOUT_SECONDS) as answer:
+                    return answer.status, text(answer)
+            except urllib.error.HTTPError as refusal:
+                with refusal:
+                    return refusal.code, text(refusal)
 
         return call
 
     return connect
 
 
-def lookup_external(
+def ask_keys(
     records: DataFrame,
     key: str,
     connect: Callable[[], Call],
-    by_text: bool = False,
     on_failure: str = "no",
     tasks: int = 32,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    calls_per_task: int = 1,
 ) -> DataFrame:
-    """Add ``exists``, ``status``, ``answer`` and ``error`` from a call made once per distinct key.
+    """``status``, ``answer`` and ``error`` of one call per distinct key, as a written table.
 
-    ``connect`` runs once per task and returns the caller. A call that fails answers false, or with
-    ``on_failure="raise"`` fails the task, so that a stream does not commit its messages. The
-    answers are written before they are joined back, so no key is asked again for it. ``tasks``
-    bounds how many calls are open at once.
+    ``connect`` runs once per task and returns the caller, which must bear ``calls_per_task`` calls at a
+    time. At most ``tasks`` times that many are open at once.
     """
     if on_failure not in ("no", "raise"):
         raise ValueError(f"unknown on_failure: {on_failure}")
-    keys = records.select(key).where(F.col(key).isNotNull()).distinct().repartition(tasks, key)
+    keys = records.select(key).where(F.col(key).isNotNull()).distinct().coalesce(tasks)
     kind = keys.schema[key].dataType.simpleString()
 
     # Runs on the executors, which need not have this package: it refers to nothing outside.
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from concurrent.futures import ThreadPoolExecutor
+
         call = connect()
 
         def reply(value: object) -> tuple[int | None, str | None, str | None]:
@@ -102,12 +140,31 @@ def lookup_external(
                     raise
                 return None, None, str(failure)
 
-        for batch in batches:
-            replies = pd.DataFrame([reply(value) for value in batch[key]], columns=["status", "answer", "error"])
-            yield replies.astype({"status": "Int32"}).assign(**{key: batch[key].values})
+        with ThreadPoolExecutor(calls_per_task) as pool:
+            for batch in batches:
+                replies = pd.DataFrame(pool.map(reply, batch[key]), columns=["status", "answer", "error"])
+                yield replies.astype({"status": "Int32"}).assign(**{key: batch[key].values})
+
+    return materialize(keys.mapInPandas(ask, f"status int, answer string, error string, `{key}` {kind}"), "answers")
+
 
-    answered = keys.mapInPandas(ask, f"status int, answer string, error string, `{key}` {kind}")
-    answered = materialize(answered, "answers")
+def lookup_external(
+    records: DataFrame,
+    key: str,
+    connect: Callable[[], Call],
+    by_text: bool = False,
+    on_failure: str = "no",
+    tasks: int = 32,
+    calls_per_task: int = 1,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """Add ``exists``, ``status``, ``answer`` and ``error`` from a call made once per distinct key.
+
+    A call that fails answers false, or with ``on_failure="raise"`` fails the task, so that a stream
+    does not commit its messages. The answers are written before they are joined back, so no key is
+    asked again for it. See :func:`ask_keys` for the rest.
+    """
+    answered = ask_keys(records, key, connect, on_failure, tasks, calls_per_task)
     test = exists_by_text if by_text else exists_by_field
     found = answered.withColumn("exists", test(F.col("answer"), F.col("status")))
     joined = keyed_join(records, found, key, "left", broadcast_bytes)

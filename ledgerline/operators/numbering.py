@@ -9,43 +9,22 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ledgerline.operators.joins import BROADCAST_BYTES, text_bytes
 from ledgerline.session import materialize
 
-# Copies of one row that may travel together.
-COPIES_TOGETHER = 100_000
-
-_TIE, _CHUNK, _COPIES, _AT = "_tie", "_chunk", "_copies", "_at"
+_TIE, _AT = "_tie", "_at"
 _ROW_BITS = 33  # monotonically_increasing_id: task number above, row in the task below
 
 
-def _fold_copies(df: DataFrame, together: int) -> DataFrame:
-    """One row per distinct row and chunk of copies, so that a sort can cut a long run of copies."""
-    whole_chunks = F.expr(f"sequence(0, (_n - 1) div {together})")
-    return (
-        df.groupBy(*df.columns)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn(_CHUNK, F.explode(whole_chunks))
-        .withColumn(_COPIES, F.expr(f"least({together}, _n - {_CHUNK} * {together})"))
-        .drop("_n")
-    )
-
-
-def sort_rows(
-    df: DataFrame,
-    order_by: Sequence[str],
-    unique: bool = False,
-    together: int = COPIES_TOGETHER,
-) -> DataFrame:
+def sort_rows(df: DataFrame, order_by: Sequence[str], unique: bool = False) -> DataFrame:
     """Global sort that stays even if many rows share a key.
 
     Range cuts cannot fall between equal rows. Unless ``unique`` promises that ``order_by`` tells
-    rows apart, ties are broken by a hash of the row, and copies of a row are counted before the
-    shuffle, cut into chunks and written out again after the sort.
+    rows apart, ties are broken by a hash of the row and then by where the row was read, so that cuts may
+    fall between copies, which are interchangeable. Values are not touched.
     """
     columns = df.columns
     if unique:
         return df.orderBy(*order_by)
-    folded = _fold_copies(df, together).withColumn(_TIE, F.xxhash64(*columns))
-    ranged = folded.orderBy(*order_by, _TIE, _CHUNK)
-    return ranged.select(*columns, F.explode(F.sequence(F.lit(1), F.col(_COPIES))).alias("_copy")).drop("_copy")
+    tied = df.withColumns({_TIE: F.xxhash64(*columns), _AT: F.monotonically_increasing_id()})
+    return tied.orderBy(*order_by, _TIE, _AT).select(*columns)
 
 
 def number_rows(

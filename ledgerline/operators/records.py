@@ -57,42 +57,52 @@ def parse_records(
 ) -> DataFrame:
     """The records among ``lines``.
 
-    ``on_error`` says what a malformed number does: ``reject`` leaves out that line, ``stop_file``
+    ``on_error`` says what a malformed number or date does: ``reject`` leaves out that line, ``stop_file``
     also leaves out all later lines of its file (give lines with position), ``fail`` ends the job.
     Short lines are left out in any case.
     """
-    parsed = _parse(lines, schema, compat)
     names = schema.names
+    if on_error == "stop_file":
+        return parse_files(lines, schema, on_error, compat, broadcast_bytes)[0]
+    parsed = _parse(lines, schema, compat)
     good = F.col(REASON).isNull()
     if on_error == "reject":
         return keep_rows(parsed, good, *names)
     if on_error == "fail":
         message = F.concat(F.col(REASON), F.lit(": "), F.col("line"))
         return keep_rows(parsed, F.when(_malformed(), F.raise_error(message).cast("boolean")).otherwise(good), *names)
-    if on_error == "stop_file":
-        stops = _first_bad(parsed)
-        records = keep_rows(parsed, good, *names, *POSITION)
-        joined = keyed_join(records, stops, "file", "left", broadcast_bytes)
-        return joined.where(F.col("_stop").isNull() | (_place() < F.col("_stop"))).select(*names)
     raise ValueError(f"unknown on_error: {on_error}")
 
 
-def _malformed() -> Column:
-    return F.col(REASON).startswith("bad_")
-
-
-def _first_bad(parsed: DataFrame) -> DataFrame:
-    """Where the first malformed line of each file is, for files that have one.
+def parse_files(
+    lines: DataFrame,
+    schema: T.StructType,
+    on_error: str = "reject",
+    compat: bool = False,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> tuple[DataFrame, DataFrame]:
+    """The records and the rejected lines (``line``, the reason and what else ``lines`` carries).
 
-    Files stay cut into pieces: the position is a minimum per file over all of them. It is written,
-    at most one row per file, and meets the records in a join that copes with one huge file.
+    Every line is parsed once: the parsed lines are written, and both come from that table. With
+    ``stop_file`` nothing after the first malformed line of a file is a record or a reject.
     """
-    missing = [c for c in POSITION if c not in parsed.columns]
-    if missing:
+    names = schema.names
+    carried = [c for c in lines.columns if c != "line"]
+    if on_error == "stop_file" and (missing := [c for c in POSITION if c not in lines.columns]):
         raise ValueError(f"stop_file needs lines with position, missing {missing}")
-    bad = keep_rows(parsed, _malformed(), *POSITION)
-    first_bad = bad.groupBy("file").agg(F.min(_place()).alias("_stop"))
-    return materialize(first_bad, "first-bad")
+    parsed = materialize(parse_lines(lines, schema, compat), "parsed")
+    if on_error == "stop_file":
+        # Files stay cut into pieces: the position is a minimum per file over all of them, and the few
+        # rows meet the lines in a join that copes with one huge file.
+        stops = parsed.where(_malformed()).groupBy("file").agg(F.min(_place()).alias("_stop"))
+        parsed = keyed_join(parsed, materialize(stops, "first-bad"), "file", "left", broadcast_bytes)
+        parsed = parsed.where(F.col("_stop").isNull() | (_place() <= F.col("_stop")))
+    good = parsed.where(F.col(REASON).isNull()).select(*names)
+    return good, parsed.where(F.col(REASON).isNotNull()).select("line", REASON, *carried)
+
+
+def _malformed() -> Column:
+    return F.coalesce(F.col(REASON).startswith("bad_"), F.lit(False))
 
 
 def _place() -> Column:

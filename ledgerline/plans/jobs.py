@@ -2,43 +2,41 @@
 
 from __future__ import annotations
 
+import argparse
 import sys
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
-from ledgerline.operators.lookup import lookup_exists
+from ledgerline.operators.lookup import http_caller, lookup_exists, lookup_external
 from ledgerline.operators.messages import decode_messages, parse_messages, to_messages
 from ledgerline.operators.records import REASON, parse_lines, parse_records
 from ledgerline.operators.summary import run_summary
-from ledgerline.schemas import CATALOG_EMPLOYEE, EMPLOYEE
+from ledgerline.schemas import EMPLOYEE
 from ledgerline.session import resolve_option
 from ledgerline.sources.delimited import read_delimited, read_lines, write_delimited
 from ledgerline.sources.extract import jdbc_extract
 from ledgerline.streaming.files import POLL, stream_publish
-from ledgerline.streaming.messages import arriving_messages, stream_lookup
+from ledgerline.streaming.messages import arriving_messages, lookup_check, stream_process
 
 
 def land(
     records: DataFrame,
     output: str,
-    schema: T.StructType,
     key: str,
-    lookup: DataFrame | None = None,
+    check: Callable[[DataFrame], DataFrame] | None = None,
     order_by: Sequence[str] = (),
     unique_order: bool = False,
-    single_file: bool = False,
 ) -> DataFrame | None:
-    """Write the records and return them checked against ``lookup`` (None without one).
+    """Write the records, whatever their columns, and return them checked (None without a check).
 
-    The check reads what was written, not the source again, so both see the same rows. A failing
-    check cannot undo the write.
+    The check reads what was written, not the source again, so both see the same rows, by name and
+    with the types of ``records``. A failing check cannot undo the write.
     """
-    spark = records.sparkSession
-    write_delimited(records, output, order_by, unique_order, single_file)
-    if lookup is None:
-        return None
-    return lookup_exists(read_delimited(spark, output, schema), lookup, key)
+    if check is not None and key not in records.columns:
+        raise ValueError(f"the records have no column {key}")
+    write_delimited(records, output, order_by, unique_order)
+    return None if check is None else check(read_delimited(records.sparkSession, output, records.schema))
 
 
 def publish_files(
@@ -49,10 +47,15 @@ def publish_files(
     on_error: str = "reject",
     compat: bool = False,
 ) -> DataFrame:
-    """Turn the records of the given files into messages at ``output``; returns how many there are."""
+    """Turn the records of the given files into messages at ``output``; returns how many there are.
+
+    They are counted while they are written.
+    """
     lines = read_lines(spark, paths, position=on_error == "stop_file")
-    to_messages(parse_records(lines, schema, on_error, compat)).write.mode("overwrite").text(output)
-    return run_summary(spark.read.text(output))
+    sent = Observation()
+    messages = to_messages(parse_records(lines, schema, on_error, compat))
+    messages.observe(sent, F.count(F.lit(1)).alias("records")).write.mode("overwrite").text(output)
+    return spark.createDataFrame([(sent.get["records"],)], "records long")
 
 
 def process_messages(
@@ -89,64 +92,116 @@ def trace_lines(
     return run_summary(checked, "_by", counts=counts).withColumnRenamed("_by", by)
 
 
-def extract(spark: SparkSession, arguments: Sequence[str]) -> None:
-    """Extract by JDBC to delimited files, then count the keys that the lookup table knows."""
-    url, user, password, query, output = arguments[:5]
-    lookup = _lookup_table(spark, arguments[5:6])
-    records = jdbc_extract(spark, url, user, password, query)
-    checked = land(records, output, CATALOG_EMPLOYEE, "emp_id", lookup)
+def extract(spark: SparkSession, given: argparse.Namespace) -> None:
+    """Extract by JDBC to delimited files, then count the keys that the lookup knows."""
+    records = jdbc_extract(
+        spark,
+        given.database,
+        given.user,
+        given.password,
+        given.query,
+        fetch_size=given.fetch_size,
+        partition_column=given.split_column,
+        num_partitions=given.splits,
+    )
+    checked = land(records, given.output, given.key, _check(spark, given), given.order_by)
     if checked is not None:
         print(run_summary(checked, counts={"matched": F.col("exists")}).first())
-    print(f"Written to {output}")
+    print(f"Written to {given.output}")
 
 
-def handle_files(spark: SparkSession, arguments: Sequence[str]) -> None:
-    """Publish the records of each file that arrives."""
-    folder, messages, checkpoint = arguments[:3]
+def handle_files(spark: SparkSession, given: argparse.Namespace) -> None:
+    """Publish the records of each file that arrives, up to the first malformed number in it."""
     stream_publish(
-        spark, folder, messages, checkpoint, EMPLOYEE, compat=True, trigger=_trigger(arguments[3:4])
+        spark,
+        given.folder,
+        given.messages,
+        given.checkpoint,
+        EMPLOYEE,
+        on_error=given.on_error,
+        compat=True,
+        rejects=given.rejects or f"{given.messages.rstrip('/')}-rejects",
+        max_files_per_trigger=given.most_files,
+        trigger=_trigger(given.every),
     ).awaitTermination()
 
 
-def handle_messages(spark: SparkSession, arguments: Sequence[str]) -> None:
+def handle_messages(spark: SparkSession, given: argparse.Namespace) -> None:
     """Check the record of each message that arrives."""
-    folder, output, checkpoint = arguments[:3]
-    lookup = _lookup_table(spark, arguments[4:5])
-    records = parse_messages(arriving_messages(spark, folder), EMPLOYEE, compat=True)
-    stream_lookup(
-        records, lookup, "emp_id", output, checkpoint, _trigger(arguments[3:4]), enabled=lookup is not None
+    check = _check(spark, given) or lookup_check(None, given.key, enabled=False)
+    stream_process(
+        arriving_messages(spark, given.folder, given.most_files),
+        check,
+        given.output,
+        given.rejects or f"{given.output.rstrip('/')}-rejects",
+        given.checkpoint,
+        EMPLOYEE,
+        compat=True,
+        trigger=_trigger(given.every),
     ).awaitTermination()
 
 
-def _lookup_table(spark: SparkSession, given: Sequence[str]) -> DataFrame | None:
-    path = resolve_option(spark, "spark.ledgerline.lookup", given[0] if given else None)
-    return spark.read.parquet(path) if path else None
+def _check(spark: SparkSession, given: argparse.Namespace) -> Callable[[DataFrame], DataFrame] | None:
+    """By calls if an endpoint is named, else by a table if one is, else none."""
+    if given.endpoint:
+        connect = http_caller(given.endpoint)
+        return lambda records: lookup_external(records, given.key, connect, calls_per_task=given.calls)
+    path = resolve_option(spark, "spark.ledgerline.lookup", given.lookup)
+    return lookup_check(spark.read.parquet(path), given.key) if path else None
 
 
-def _trigger(given: Sequence[str]) -> dict[str, object]:
+def _trigger(every: str | None) -> dict[str, object]:
     """Seconds between polls; ``once`` takes what is there and ends."""
-    if not given:
+    if every is None:
         return dict(POLL)
-    return {"availableNow": True} if given[0] == "once" else {"processingTime": f"{given[0]} seconds"}
-
-
-# Job, fewest arguments, usage.
-JOBS = {
-    "extract": (extract, 5, "<jdbcUrl> <jdbcUser> <jdbcPassword> <jdbcQuery> <outputPath> [lookupTable]"),
-    "files": (handle_files, 3, "<inputFolder> <messageFolder> <checkpoint> [seconds|once]"),
-    "messages": (handle_messages, 3, "<messageFolder> <outputPath> <checkpoint> [seconds|once] [lookupTable]"),
-}
+    return {"availableNow": True} if every == "once" else {"processingTime": f"{every} seconds"}
+
+
+def arguments_of() -> argparse.ArgumentParser:
+    parser = argparse.ArgumentParser(prog="jobs")
+    jobs = parser.add_subparsers(dest="job", required=True)
+
+    def job(name: str, run: Callable, *places: str) -> argparse.ArgumentParser:
+        made = jobs.add_parser(name, help=run.__doc__.splitlines()[0])
+        made.set_defaults(run=run)
+        for place in places:
+            made.add_argument(place)
+        return made
+
+    def checking(made: argparse.ArgumentParser) -> None:
+        made.add_argument("--key", default="emp_id", help="column that is looked up")
+        made.add_argument("--lookup", help="Parquet table of known keys")
+        made.add_argument("--endpoint", help="address of a service that knows the keys")
+        made.add_argument("--calls", type=int, default=8, help="calls that a task has open at once")
+
+    def streaming(made: argparse.ArgumentParser) -> None:
+        made.add_argument("--every", help="seconds between polls, or once")
+        made.add_argument("--most-files", type=int, help="files of one batch; all by default")
+        made.add_argument("--rejects", help="folder for what is no record")
+
+    made = job("extract", extract, "database", "user", "password", "query", "output")
+    checking(made)
+    made.add_argument("--split-column", help="key whose ranges are read side by side")
+    made.add_argument("--splits", type=int, help="number of such ranges")
+    made.add_argument("--fetch-size", type=int)
+    made.add_argument("--order-by", nargs="*", default=[])
+    made = job("files", handle_files, "folder", "messages", "checkpoint")
+    streaming(made)
+    made.add_argument("--on-error", choices=["stop_file", "reject"], default="stop_file")
+    made = job("messages", handle_messages, "folder", "output", "checkpoint")
+    checking(made)
+    streaming(made)
+    return parser
 
 
 def main(arguments: Sequence[str]) -> int:
-    job, fewest, _ = JOBS.get(arguments[0], (None, 0, "")) if arguments else (None, 0, "")
-    if job is None or len(arguments) - 1 < fewest:
-        for name, (_, _, usage) in JOBS.items():
-            print(f"Usage: jobs {name} {usage}", file=sys.stderr)
-        return 1
-    spark = SparkSession.builder.appName(arguments[0]).getOrCreate()
     try:
-        job(spark, arguments[1:])
+        given = arguments_of().parse_args(list(arguments))
+    except SystemExit as ended:
+        return int(bool(ended.code))
+    spark = SparkSession.builder.appName(given.job).getOrCreate()
+    try:
+        given.run(spark, given)
     finally:
         spark.stop()
     return 0

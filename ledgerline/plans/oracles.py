@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ledgerline.plans.queries import ENDPOINT, USER_SQL
-from ledgerline.plans.views import BAD_AT, BAD_EVERY, FILE_LINES, MANY_FILES
+from ledgerline.plans.views import BAD_AT, BAD_EVERY, FILE_LINES
 
 AMOUNT = "CAST(CAST(o_totalprice AS DECIMAL(12, 2)) AS DOUBLE)"
 DAY = "CAST(CAST(o_orderdate AS DATE) AS VARCHAR)"
@@ -19,14 +19,14 @@ PARSED = f"""
            CASE WHEN o_orderkey % 50 <> 1 THEN o_orderstatus END AS rec_group,
            {AMOUNT} AS amount,
            CASE WHEN o_orderkey % 50 <> 0 THEN {DAY} END AS rec_date
-    FROM orders WHERE o_orderkey % 50 NOT IN (2, 5, 6, 7)
+    FROM orders WHERE o_orderkey % 50 NOT IN (2, 5, 6, 7, 8, 9)
 """
 
 STOPPED = f"""
     WITH placed AS (
         SELECT *, min(CASE WHEN o_orderkey % {BAD_EVERY} = {BAD_AT} THEN o_orderkey END)
-                  OVER (PARTITION BY o_orderkey // file_lines) AS first_bad
-        FROM orders, (SELECT greatest({FILE_LINES}, (max(o_orderkey) + 1) // {MANY_FILES}) AS file_lines FROM orders)
+                  OVER (PARTITION BY o_orderkey // {FILE_LINES}) AS first_bad
+        FROM orders
     )
     SELECT o_orderkey AS rec_id, o_orderpriority AS rec_name, o_orderstatus AS rec_group,
            {AMOUNT} AS amount, {DAY} AS rec_date
@@ -39,18 +39,16 @@ ORACLES: dict[str, str] = {
     "records_end_to_end": """
         SELECT o_orderstatus AS rec_group,
                count(*) FILTER (o_orderkey % 50 <> 5) AS records,
-               count(*) FILTER (o_orderkey % 50 NOT IN (2, 5, 6, 7)) AS published,
-               count(*) FILTER (o_orderkey % 50 NOT IN (2, 5, 6, 7)) AS processed,
-               count(s_suppkey) FILTER (o_orderkey % 50 NOT IN (2, 5, 6, 7)) AS matched
+               count(*) FILTER (o_orderkey % 50 NOT IN (2, 5, 6, 7, 8, 9)) AS published,
+               count(*) FILTER (o_orderkey % 50 NOT IN (2, 5, 6, 7, 8, 9)) AS processed,
+               count(s_suppkey) FILTER (o_orderkey % 50 NOT IN (2, 5, 6, 7, 8, 9)) AS matched
         FROM orders LEFT JOIN supplier ON o_orderkey = s_suppkey
         GROUP BY o_orderstatus
     """,
     "extract_ordered": RECORDS,
     "delimited_roundtrip": RECORDS,
-    "delimited_single_file": f"""
-        SELECT CAST(o_orderkey AS VARCHAR) AS rec_id, o_orderpriority AS rec_name, o_orderstatus AS rec_group,
-               CAST(CAST(o_totalprice AS DECIMAL(12, 2)) AS VARCHAR) AS amount, {DAY} AS rec_date
-        FROM orders
+    "delimited_ordered_files": """
+        SELECT row_number() OVER (ORDER BY o_orderstatus, o_orderkey) AS place, o_orderkey AS rec_id FROM orders
     """,
     "delimited_text_roundtrip": "SELECT doc_id, text, lang, source, n_chars FROM documents",
     "run_summary": "SELECT o_orderstatus AS rec_group, count(*) AS records FROM orders GROUP BY 1",
@@ -58,6 +56,10 @@ ORACLES: dict[str, str] = {
         SELECT o_orderstatus AS rec_group, count(*) AS records, count(s_suppkey) AS matched
         FROM orders LEFT JOIN supplier ON o_orderkey = s_suppkey GROUP BY 1
     """,
+    "land_reordered": """
+        SELECT o_totalprice, o_orderstatus, o_custkey, o_orderkey, s_suppkey IS NOT NULL AS "exists"
+        FROM orders LEFT JOIN supplier ON o_orderkey = s_suppkey
+    """,
     "document_lines": r"""
         SELECT doc_id, CAST(len(string_split_regex(text, '\r\n|\r|\n')) AS BIGINT) AS n_lines,
                array_to_string(string_split_regex(text, '\r\n|\r|\n'), chr(10)) AS joined
@@ -68,13 +70,16 @@ ORACLES: dict[str, str] = {
     "parse_records_compat": f"""
         SELECT CAST(o_orderkey AS INTEGER) AS rec_id, o_orderpriority AS rec_name,
                CASE WHEN o_orderkey % 50 = 1 THEN '' ELSE o_orderstatus END AS rec_group,
-               {AMOUNT} AS amount, {DAY} AS rec_date
+               CASE WHEN o_orderkey % 50 = 9 THEN CAST(CAST(CAST(o_totalprice AS DECIMAL(12, 2)) AS VARCHAR) || '9' AS DOUBLE)
+                    ELSE {AMOUNT} END AS amount,
+               CASE WHEN o_orderkey % 50 = 8 THEN {DAY} || 'Tjunk' ELSE {DAY} END AS rec_date
         FROM orders WHERE o_orderkey % 50 NOT IN (0, 2, 5, 6, 7)
     """,
     "parse_rejects": """
-        SELECT CASE o_orderkey % 50 WHEN 2 THEN 'bad_amount' WHEN 6 THEN 'short' ELSE 'bad_rec_id' END AS reject_reason,
+        SELECT CASE WHEN o_orderkey % 50 IN (2, 9) THEN 'bad_amount' WHEN o_orderkey % 50 = 6 THEN 'short'
+                    WHEN o_orderkey % 50 = 8 THEN 'bad_rec_date' ELSE 'bad_rec_id' END AS reject_reason,
                count(*) AS records
-        FROM orders WHERE o_orderkey % 50 IN (2, 6, 7) GROUP BY 1
+        FROM orders WHERE o_orderkey % 50 IN (2, 6, 7, 8, 9) GROUP BY 1
     """,
     "parse_records_stop_file": STOPPED,
     "message_roundtrip": RECORDS,
@@ -86,7 +91,7 @@ ORACLES: dict[str, str] = {
     "message_accepts": f"SELECT event_id, {PROP} AS k FROM events WHERE event_id % 50 NOT IN (0, 1, 2)",
     "published_result": """
         SELECT 'Published ' || count(*) || ' messages' AS result
-        FROM orders WHERE o_orderkey % 50 NOT IN (2, 5, 6, 7)
+        FROM orders WHERE o_orderkey % 50 NOT IN (2, 5, 6, 7, 8, 9)
     """,
     "processed_result": """
         SELECT count(*) AS records, count(s_suppkey) AS matched FROM orders LEFT JOIN supplier ON o_orderkey = s_suppkey
@@ -99,7 +104,7 @@ ORACLES: dict[str, str] = {
     "lookup_disabled": 'SELECT c_custkey, c_name, true AS "exists" FROM customer',
     "lookup_large_table": """
         SELECT o_orderkey, o_custkey, c_custkey IS NOT NULL AS "exists", c_name
-        FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON o_custkey = c_custkey
+        FROM orders LEFT JOIN customer ON o_orderkey = c_custkey
     """,
     "lookup_status": """
         SELECT c_custkey, coalesce(s_acctbal >= 0 AND s_nationkey < 20, false) AS "exists"
@@ -122,9 +127,9 @@ ORACLES: dict[str, str] = {
         FROM customer
     """,
     "lookup_request_count": """
-        SELECT 'extract' AS stage, count(*) AS records FROM orders
+        SELECT 'extract' AS stage, count(DISTINCT c_nationkey) AS records FROM customer
         UNION ALL
-        SELECT 'message', count(*) FROM orders WHERE o_orderkey % 50 NOT IN (2, 5, 6, 7)
+        SELECT 'message', count(DISTINCT c_nationkey) FROM customer WHERE c_nationkey % 5 <> 0
     """,
     "distinct_values": "SELECT DISTINCT c_mktsegment FROM customer",
     "first_record": f"{RECORDS} ORDER BY rec_id LIMIT 1",
@@ -136,8 +141,7 @@ ORACLES: dict[str, str] = {
     """,
     "unseen_files": """
         SELECT 'data/' || c_custkey || '.csv' AS path FROM customer
-        WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey
-                          AND o_orderstatus = 'P' AND o_orderpriority = '1-URGENT')
+        WHERE NOT EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = c_custkey)
     """,
     "path_filter": """
         SELECT page_id, url FROM pages WHERE starts_with(url, 'https://') AND ends_with(url, '.html')
@@ -169,7 +173,27 @@ ORACLES: dict[str, str] = {
     "catalog_table": RECORDS,
     "stream_files": PARSED,
     "stream_publish": PARSED,
+    "stream_publish_stop_file": STOPPED,
+    "stream_publish_rejects": """
+        SELECT CASE WHEN o_orderkey % 50 IN (2, 9) THEN 'bad_amount' WHEN o_orderkey % 50 = 6 THEN 'short'
+                    WHEN o_orderkey % 50 = 8 THEN 'bad_rec_date' WHEN o_orderkey % 50 = 7 THEN 'bad_rec_id'
+                    ELSE 'none' END AS reject_reason,
+               count(*) AS records
+        FROM orders WHERE o_orderkey % 50 <> 5 GROUP BY 1
+    """,
     "stream_files_stop_file": STOPPED,
+    "nested_files": """
+        SELECT o_orderkey AS rec_id, way FROM orders, (VALUES ('batch'), ('stream')) AS ways(way)
+        WHERE o_orderkey % 50 NOT IN (2, 5, 6, 7, 8, 9)
+    """,
+    "stream_dedupe": """
+        SELECT user_id % 10 AS g, 'keyed' AS kind, count(*) AS records
+        FROM events WHERE event_id % 50 > 1 GROUP BY 1
+        UNION ALL
+        SELECT user_id % 10, 'no_key', 2 * count(*) FROM events WHERE event_id % 50 = 1 GROUP BY 1
+        UNION ALL
+        SELECT -1, 'bad_json', 2 * count(*) FROM events WHERE event_id % 50 = 0
+    """,
     "stream_messages": f"""
         SELECT 'none' AS reject_reason, {PROP} AS k, count(*) AS records
         FROM events WHERE event_id % 50 NOT IN (0, 1, 2) GROUP BY 2

@@ -11,9 +11,9 @@ from ledgerline.functions.answers import answer_line, exists_by_field, exists_by
 from ledgerline.functions.text import split_lines
 from ledgerline.operators.contract import contract_check
 from ledgerline.operators.files import path_filter, unseen
-from ledgerline.operators.lookup import Call, lookup_exists, lookup_external
+from ledgerline.operators.lookup import Call, ask_keys, lookup_exists, lookup_external
 from ledgerline.operators.messages import message_rejects, parse_messages, to_messages
-from ledgerline.operators.numbering import message_batches
+from ledgerline.operators.numbering import message_batches, number_rows
 from ledgerline.operators.records import REASON, parse_records, parse_rejects
 from ledgerline.operators.summary import result_line, run_summary
 from ledgerline.plans.jobs import land, process_messages, publish_files, trace_lines
@@ -21,18 +21,26 @@ from ledgerline.plans.views import (
     clean_line,
     faulty_line,
     land_faulty_lines,
+    land_nested_lines,
     land_ordered_files,
     order_records,
     plain,
+    positioned_lines,
     table,
 )
 from ledgerline.schemas import ORDER_RECORD
-from ledgerline.session import scratch_path
+from ledgerline.session import scratch_path, ship_package
 from ledgerline.sources.catalog import catalog_table, create_table, reload_table
 from ledgerline.sources.delimited import read_delimited, read_lines, write_delimited
 from ledgerline.sources.extract import distinct_values, sql_extract, top_n
-from ledgerline.streaming.files import read_parsed, stream_files, stream_publish
-from ledgerline.streaming.messages import arriving_messages, read_messages, stream_lookup, stream_messages
+from ledgerline.streaming.files import read_parsed, read_rejects, stream_files, stream_publish
+from ledgerline.streaming.messages import (
+    arriving_messages,
+    lookup_check,
+    read_messages,
+    stream_lookup,
+    stream_messages,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,13 +73,13 @@ def delimited_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(read_delimited(spark, path, ORDER_RECORD))
 
 
-def delimited_single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One file if it is small enough; read back without a schema, so all text."""
-    path = scratch_path(spark, "single")
-    write_delimited(
-        order_records(spark, sf_dir), path, order_by=["rec_group", "rec_id"], unique_order=True, single_file=True
-    )
-    return read_delimited(spark, path)
+def delimited_ordered_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files in order of their names hold the rows in order: each row with its place over all files."""
+    path = scratch_path(spark, "ordered")
+    write_delimited(order_records(spark, sf_dir), path, order_by=["rec_group", "rec_id"], unique_order=True)
+    lines = read_lines(spark, path, position=True)
+    placed = number_rows(lines, ["file", "block", "seq"], name="place", unique=True)
+    return placed.select("place", F.split("line", r"\|")[0].cast("long").alias("rec_id"))
 
 
 def delimited_text_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,11 +98,22 @@ def landed_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def land_and_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers = table(spark, sf_dir, "supplier")
-    lookup = suppliers.select(F.col("s_suppkey").alias("rec_id"))
-    checked = land(order_records(spark, sf_dir), scratch_path(spark, "checked"), ORDER_RECORD, "rec_id", lookup)
+    check = lookup_check(suppliers.select(F.col("s_suppkey").alias("rec_id")), "rec_id")
+    checked = land(order_records(spark, sf_dir), scratch_path(spark, "checked"), "rec_id", check)
     return run_summary(checked, "rec_group", counts={"matched": F.col("exists")})
 
 
+def land_reordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A query with its columns in another order, landed in order and looked up by name."""
+    records = sql_extract(
+        spark,
+        "SELECT o_totalprice, o_orderstatus, o_custkey, o_orderkey FROM orders",
+        {"orders": table(spark, sf_dir, "orders")},
+    )
+    check = lookup_check(table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("o_orderkey")), "o_orderkey")
+    return land(records, scratch_path(spark, "reordered"), "o_orderkey", check, ["o_orderkey"], unique_order=True)
+
+
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = split_lines(F.col("text"))
     return table(spark, sf_dir, "documents").select(
@@ -115,8 +134,16 @@ def rejects_by_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parse_stop_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = read_lines(spark, land_ordered_files(spark, sf_dir), position=True)
-    return plain(parse_records(lines, ORDER_RECORD, on_error="stop_file"))
+    return plain(parse_records(positioned_lines(spark, sf_dir), ORDER_RECORD, on_error="stop_file"))
+
+
+def nested_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of files in nested folders, read at once and as a stream."""
+    path = land_nested_lines(spark, sf_dir)
+    out, checkpoint = scratch_path(spark, "nested"), scratch_path(spark, "nested-log")
+    stream_files(spark, path, out, checkpoint, ORDER_RECORD, trigger=ONCE).awaitTermination()
+    at_once = parse_records(read_lines(spark, path), ORDER_RECORD).select("rec_id", F.lit("batch").alias("way"))
+    return at_once.union(read_parsed(spark, out, ORDER_RECORD)[0].select("rec_id", F.lit("stream").alias("way")))
 
 
 def message_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,10 +204,10 @@ def lookup_disabled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lookup_large_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The way taken when the lookup table is too large to broadcast."""
+    """The way taken when the lookup table is too large to broadcast; most order keys are no customer's."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    known = table(spark, sf_dir, "customer").where("c_acctbal > 0")
-    return lookup_exists(orders, known, "o_custkey", "c_custkey", answers=["c_name"], broadcast_bytes=0)
+    customers = table(spark, sf_dir, "customer")
+    return lookup_exists(orders, customers, "o_orderkey", "c_custkey", answers=["c_name"], broadcast_bytes=0)
 
 
 def lookup_status(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,28 +243,34 @@ def lookup_answer_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def lookup_by_call(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def connect() -> Call:
-        """Stands in for a service: some nations exist, some are not found, some calls fail."""
+def nation_service() -> Call:
+    """Stands in for a service: some nations exist, some are not found, some calls fail."""
+
+    def call(nation: int) -> tuple[int, str]:
+        if nation >= 20:
+            raise TimeoutError("no answer")
+        return (404 if nation >= 15 else 200), '{"exists": %s}' % ("true" if nation < 10 else "false")
 
-        def call(nation: int) -> tuple[int, str]:
-            if nation >= 20:
-                raise TimeoutError("no answer")
-            return (404 if nation >= 15 else 200), '{"exists": %s}' % ("true" if nation < 10 else "false")
+    return call
 
-        return call
 
+def lookup_by_call(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    return lookup_external(customers, "c_nationkey", connect, tasks=8).withColumn("status", F.col("status").cast("string"))
+    checked = lookup_external(customers, "c_nationkey", nation_service, tasks=8, calls_per_task=2)
+    return checked.withColumn("status", F.col("status").cast("string"))
 
 
 def lookup_request_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = order_records(spark, sf_dir)
-    lines = records.select(faulty_line().alias("line"))
-    messages = to_messages(parse_records(lines, ORDER_RECORD))
-    handled = parse_messages(messages, ORDER_RECORD)
-    stages = records.select(F.lit("extract").alias("stage")).union(handled.select(F.lit("message").alias("stage")))
-    return run_summary(stages, "stage")
+    """The calls that are made: one per distinct key when customers are landed, and when they come as messages."""
+    ship_package(spark)
+    landed = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    handled = parse_messages(to_messages(landed.where("c_nationkey % 5 <> 0")), landed.schema)
+    calls = [
+        ask_keys(records, "c_nationkey", nation_service, tasks=8).select(F.lit(stage).alias("stage"))
+        for stage, records in (("extract", landed), ("message", handled))
+    ]
+    return run_summary(calls[0].union(calls[1]), "stage")
 
 
 def distinct_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -263,8 +296,7 @@ def unseen_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         return df.select(F.concat(F.lit("data/"), F.col(key).cast("string"), F.lit(".csv")).alias("path"))
 
     listing = paths(table(spark, sf_dir, "customer"), "c_custkey")
-    urgent = table(spark, sf_dir, "orders").where("o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'")
-    return unseen(listing, paths(urgent, "o_custkey"), "path")
+    return unseen(listing, paths(table(spark, sf_dir, "supplier"), "s_suppkey"), "path")
 
 
 def page_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -288,10 +320,12 @@ def contract_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reload_dense_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reloaded twice: first with all rows in another order, then in the order that counts."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
     path = scratch_path(spark, "reloaded")
     name = "reloaded_" + path.rsplit("-", 1)[1]
-    reloaded = reload_table(orders, name, "row_id", ["o_orderdate", "o_orderkey"], location=path, unique=True)
+    reload_table(orders, name, "row_id", ["o_orderkey"], location=path, unique=True)
+    reloaded = reload_table(orders, name, "row_id", ["o_orderdate", "o_orderkey"], unique=True)
     return reloaded.drop("o_orderdate")
 
 
@@ -328,6 +362,25 @@ def stream_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(parse_messages(spark.read.text(out), ORDER_RECORD))
 
 
+def stream_publish_stop_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of the records before the first bad one of each file."""
+    out, checkpoint = scratch_path(spark, "sent-until"), scratch_path(spark, "sent-until-log")
+    path = land_ordered_files(spark, sf_dir)
+    stream_publish(
+        spark, path, out, checkpoint, ORDER_RECORD, on_error="stop_file", trigger=ONCE
+    ).awaitTermination()
+    return plain(parse_messages(spark.read.text(out).select("value"), ORDER_RECORD))
+
+
+def stream_publish_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published messages and kept rejects of one run, counted."""
+    out, rejects, checkpoint = (scratch_path(spark, n) for n in ("sent-all", "sent-rejects", "sent-all-log"))
+    path = land_faulty_lines(spark, sf_dir)
+    stream_publish(spark, path, out, checkpoint, ORDER_RECORD, rejects=rejects, trigger=ONCE).awaitTermination()
+    sent = run_summary(spark.read.text(out).select(F.lit("none").alias(REASON)), REASON)
+    return sent.union(run_summary(read_rejects(spark, rejects), REASON))
+
+
 def stream_files_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, checkpoint = scratch_path(spark, "stopped"), scratch_path(spark, "stopped-log")
     stream_files(
@@ -352,6 +405,29 @@ def stream_messages_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return handled.unionByName(run_summary(bad, REASON).select(REASON, F.lit(-1).cast("long").alias("k"), "records"))
 
 
+def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event messages that come twice, damaged and without a key among them: only copies of keyed ones go."""
+    fault = F.pmod("event_id", F.lit(50))
+    whole = F.to_json(F.struct("event_id", "user_id"))
+    value = (
+        F.when(fault == 0, F.expr("left(whole, length(whole) - 1)"))
+        .when(fault == 1, F.expr("replace(whole, 'event_id', 'other')"))
+        .otherwise(F.col("whole"))
+    )
+    messages = table(spark, sf_dir, "events").withColumn("whole", whole).select(value.alias("value"))
+    path, out, checkpoint = (scratch_path(spark, n) for n in ("repeated-mail", "once", "once-log"))
+    messages.write.text(f"{path}/first")
+    messages.write.text(f"{path}/second")
+    fields = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType())])
+    arriving = arriving_messages(spark, path, max_files_per_trigger=1, arrival=True)
+    stream_messages(arriving, out, checkpoint, fields, dedupe=["event_id"], trigger=ONCE).awaitTermination()
+    kept = spark.read.parquet(out)
+    kind = F.coalesce(F.col(REASON), F.when(F.col("event_id").isNull(), "no_key").otherwise("keyed"))
+    return run_summary(kept.select(F.pmod("user_id", F.lit(10)).alias("g"), kind.alias("kind")), "g", "kind").select(
+        F.coalesce("g", F.lit(-1)).alias("g"), "kind", "records"
+    )
+
+
 def stream_lookup_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, out, checkpoint = (scratch_path(spark, n) for n in ("customers", "looked-up", "looked-up-log"))
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
@@ -454,10 +530,11 @@ QUERIES: dict[str, Query] = {
     "records_end_to_end": records_end_to_end,
     "extract_ordered": extract_ordered,
     "delimited_roundtrip": delimited_roundtrip,
-    "delimited_single_file": delimited_single_file,
+    "delimited_ordered_files": delimited_ordered_files,
     "delimited_text_roundtrip": delimited_text_roundtrip,
     "run_summary": landed_summary,
     "land_and_check": land_and_check,
+    "land_reordered": land_reordered,
     "document_lines": document_lines,
     "lines_roundtrip": lines_roundtrip,
     "parse_records": parse_default,
@@ -490,7 +567,11 @@ QUERIES: dict[str, Query] = {
     "catalog_table": catalog_records,
     "stream_files": stream_files_records,
     "stream_publish": stream_published,
+    "stream_publish_stop_file": stream_publish_stop_file,
+    "stream_publish_rejects": stream_publish_rejects,
     "stream_files_stop_file": stream_files_stop,
+    "nested_files": nested_files,
+    "stream_dedupe": stream_dedupe,
     "stream_messages": stream_messages_summary,
     "stream_lookup": stream_lookup_customers,
     **{name: user_sql(query) for name, query in USER_SQL.items()},

@@ -12,13 +12,12 @@ from ledgerline.sources.extract import sql_extract
 
 HEADER = "|".join(ORDER_RECORD.names)
 
-# Where the file a line is in matters: lines per file, number of files beyond which files grow
-# instead, and where the bad lines are.
-FILE_LINES, MANY_FILES = 5000, 20_000
+# Where the file a line is in matters: lines per file, and where the bad lines are.
+FILE_LINES = 5000
 BAD_EVERY, BAD_AT = 3001, 1700
 
 # Faults by rec_id % 50; every other line is a plain record.
-EMPTY_DATE, EMPTY_GROUP, BAD_AMOUNT, SIXTH_FIELD, PADDED, BLANK, SHORT, BAD_ID = range(8)
+EMPTY_DATE, EMPTY_GROUP, BAD_AMOUNT, SIXTH_FIELD, PADDED, BLANK, SHORT, BAD_ID, LONG_DATE, FINE_AMOUNT = range(10)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +56,8 @@ def faulty_line() -> Column:
         .when(fault == BLANK, F.lit(" \t "))
         .when(fault == SHORT, to_line(rec_id, name, group))
         .when(fault == BAD_ID, to_line(F.lit("n/a"), name, group, amount, date))
+        .when(fault == LONG_DATE, to_line(rec_id, name, group, amount, F.concat(date, F.lit("Tjunk"))))
+        .when(fault == FINE_AMOUNT, to_line(rec_id, name, group, F.concat(amount, F.lit("9")), date))
         .otherwise(clean_line())
     )
 
@@ -68,17 +69,30 @@ def land_faulty_lines(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-def land_ordered_files(spark: SparkSession, sf_dir: str) -> str:
-    """Files of consecutive orders, in order, a few lines with a bad amount."""
-    path = scratch_path(spark, "ordered-files")
-    last = table(spark, sf_dir, "orders").agg(F.max("o_orderkey")).first()[0] or 0
-    file_lines = max(FILE_LINES, (last + 1) // MANY_FILES)
+def land_nested_lines(spark: SparkSession, sf_dir: str) -> str:
+    """The same lines in folders, one in the other; returns the outermost."""
+    path = scratch_path(spark, "nested-lines")
+    lines = order_records(spark, sf_dir).select(faulty_line().alias("line"), F.pmod("rec_id", F.lit(3)).alias("a"), F.pmod("rec_id", F.lit(2)).alias("b"))
+    write_lines(lines, path, HEADER, ["a", "b"])
+    return path
+
+
+def positioned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of orders with a few bad amounts, and the file and place that the key gives them."""
     bad = F.pmod("rec_id", F.lit(BAD_EVERY)) == BAD_AT
     amount = F.when(bad, F.lit("x")).otherwise(F.col("amount").cast("string"))
     line = to_line(F.col("rec_id").cast("string"), "rec_name", "rec_group", amount, F.col("rec_date").cast("string"))
-    in_file = F.expr(f"rec_id div {file_lines}")
-    lines = order_records(spark, sf_dir).select("rec_id", in_file.alias("file_no"), line.alias("line"))
-    write_lines(lines.repartition("file_no").sortWithinPartitions("file_no", "rec_id"), path, HEADER, ["file_no"])
+    file = F.expr(f"rec_id div {FILE_LINES}").cast("string")
+    place = [F.lit(0).cast("long").alias("block"), F.col("rec_id").alias("seq")]
+    return order_records(spark, sf_dir).select(line.alias("line"), file.alias("file"), *place)
+
+
+def land_ordered_files(spark: SparkSession, sf_dir: str) -> str:
+    """The same lines as files."""
+    path = scratch_path(spark, "ordered-files")
+    lines = positioned_lines(spark, sf_dir).select("seq", F.col("file").alias("file_no"), "line")
+    lines = lines.repartition("file_no").sortWithinPartitions("file_no", "seq").drop("seq")
+    write_lines(lines, path, HEADER, ["file_no"])
     return path
 
 

@@ -29,18 +29,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused folder in the storage all executors share (``spark.checkpoint.dir``).
+    """A new, unused folder in the storage all executors share.
 
-    Only a local session may fall back to a folder of this machine.
+    That is ``spark.checkpoint.dir``, or where it is unset a folder in the warehouse.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-        root = spark.sparkContext.getCheckpointDir()
-        if not root:
-            root = tempfile.mkdtemp(prefix="ledgerline-")
-            spark.sparkContext.setCheckpointDir(root)
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

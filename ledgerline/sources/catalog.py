@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ledgerline.operators.numbering import number_rows
+from ledgerline.session import scratch_path
 
 
 def create_table(spark: SparkSession, name: str, schema: T.StructType, location: str, fmt: str = "parquet") -> None:
@@ -40,16 +42,23 @@ def reload_table(
 ) -> DataFrame:
     """Replace the rows of table ``name`` by ``df`` with a new ``key``: 1, 2, 3, … in order.
 
-    The table is created if it is absent. The old rows stay until the new ones are written.
+    The table is created if it is absent, as an external Parquet table. The new rows are written to a
+    folder of their own beside ``location``, then the table is pointed there: until that moment, and if
+    the write fails, it has its old rows. The folder with the old rows is left for who still reads it.
     """
     spark = df.sparkSession
-    numbered = number_rows(df, order_by, name=key, unique=unique)
-    numbered = numbered.select(F.col(key), *df.columns)
-    if spark.catalog.tableExists(name):
-        numbered.select(*spark.table(name).columns).write.insertInto(name, overwrite=True)
+    numbered = number_rows(df, order_by, name=key, unique=unique).select(F.col(key), *df.columns)
+    exists = spark.catalog.tableExists(name)
+    if exists:
+        numbered = numbered.select(*[F.col(f.name).cast(f.dataType) for f in spark.table(name).schema])
+        base = location or describe_table(spark, name)[0].rsplit("/rows-", 1)[0]
     else:
-        writer = numbered.write.format("parquet")
-        if location:
-            writer = writer.option("path", location)
-        writer.saveAsTable(name)
+        base = location or scratch_path(spark, name.replace(".", "-"))
+    rows = f"{base.rstrip('/')}/rows-{uuid.uuid4().hex}"
+    numbered.write.parquet(rows)
+    if exists:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{rows}'")
+        spark.catalog.refreshTable(name)
+    else:
+        create_table(spark, name, numbered.schema, rows)
     return spark.table(name)

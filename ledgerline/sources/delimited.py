@@ -2,19 +2,11 @@
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ledgerline.operators.joins import text_bytes
 from ledgerline.operators.numbering import sort_rows
-from ledgerline.session import materialize
-
-# Rows that measure at most this many bytes as text may be written by one task.
-SINGLE_FILE_BYTES = 256 * 1024 * 1024
-
-log = logging.getLogger(__name__)
 
 # A separator and a quote built from code points that Unicode never assigns, so that
 # the CSV source hands over each line untouched.
@@ -49,29 +41,17 @@ def write_delimited(
     path: str,
     order_by: Sequence[str] = (),
     unique_order: bool = False,
-    single_file: bool = False,
-    single_file_bytes: int = SINGLE_FILE_BYTES,
     null_value: str | None = None,
     max_records_per_file: int = 0,
     mode: str = "overwrite",
 ) -> None:
     """Write pipe-separated files with a header line in each.
 
-    ``order_by`` sorts globally: file names in order hold the rows in order. ``single_file`` puts
-    everything in one file if the rows measure at most ``single_file_bytes``; a larger result is
-    written whole as part files in order, since one task should not write it. The rows are measured
-    on a written copy, so that the source is not asked twice.
+    ``order_by`` sorts globally: file names in order hold the rows in order, whatever the size.
     """
-    if single_file:
-        df = materialize(df, "single-file")
-    one_file = single_file and text_bytes(df) <= single_file_bytes
-    if single_file and not one_file:
-        log.warning("more than %d bytes: writing part files to %s", single_file_bytes, path)
     out = sort_rows(df, order_by, unique=unique_order) if order_by else df
-    if one_file:
-        out = out.coalesce(1)
     writer = out.write.mode(mode).options(**_field_options(null_value))
-    if max_records_per_file and not one_file:
+    if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     writer.csv(path)
 
@@ -85,6 +65,7 @@ def read_delimited(
 ) -> DataFrame:
     """Read pipe-separated files with a header; without ``schema`` every column is text.
 
+    The header must have the names of ``schema`` in its order, else the read fails.
     ``null_value`` (say ``\\N``, given on write too) keeps null and empty text apart. ``multiline`` is
     for newlines inside quoted values; it reads a file in one task, so write with
     ``max_records_per_file``.
@@ -95,7 +76,7 @@ def read_delimited(
     if multiline:
         reader = reader.option("multiLine", "true")
     if schema is not None:
-        reader = reader.schema(schema)
+        reader = reader.schema(schema).option("enforceSchema", "false")
     return reader.csv(path)
 
 
@@ -118,18 +99,17 @@ def read_lines(
 ) -> DataFrame:
     """Raw lines as column ``line``; blank lines and the first line of each file are left out.
 
-    Files are split over tasks. ``position`` adds ``file``, ``block`` and ``seq``, which order the
-    lines of a file although it is read in pieces: ``block`` is where the piece starts, ``seq``
-    grows within a task. The pieces depend on the number of cores unless a minimum is set, so it is
-    pinned here: two reads of this DataFrame then see the same positions.
+    Files are taken from nested folders too and split over tasks. ``position`` adds ``file``,
+    ``block`` and ``seq``, which order the lines of a file although it is read in pieces: ``block`` is
+    where the piece starts, ``seq`` grows within a task. The pieces may differ between two reads, so
+    write the lines before comparing positions.
     """
-    if position and spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
-        spark.conf.set("spark.sql.files.minPartitionNum", spark.sparkContext.defaultParallelism)
     lines = (
         spark.read.schema("line string")
         .options(**LINE_OPTIONS)
         .option("header", str(header).lower())
         .option("pathGlobFilter", glob)
+        .option("recursiveFileLookup", "true")
         .csv(path)
     )
     if not position:

@@ -7,26 +7,30 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerline.operators.lookup import lookup_exists
+from ledgerline.operators.lookup import lookup_exists, prepare_lookup
 from ledgerline.operators.messages import decode_messages
 from ledgerline.operators.records import REASON
+from ledgerline.session import materialize
+from ledgerline.streaming.files import arrival_options
 
-# Fixed value: how many deliveries a receive hands over at most.
+# Fixed value: how many deliveries a receive hands over at most where a cap is wanted.
 PER_RECEIVE = 10
 
 
 def arriving_messages(
     spark: SparkSession,
     path: str,
-    max_files_per_trigger: int = PER_RECEIVE,
+    max_files_per_trigger: int | None = None,
     arrival: bool = False,
+    archive: str | None = None,
 ) -> DataFrame:
     """One message per line of each new file under ``path``, in column ``value``.
 
     ``arrival`` adds when the file came in. Any other stream with a text column ``value`` does as
     well, such as a Kafka source capped by ``maxOffsetsPerTrigger``.
     """
-    messages = spark.readStream.option("maxFilesPerTrigger", max_files_per_trigger).text(path)
+    options = arrival_options(max_files_per_trigger, archive=archive)
+    messages = spark.readStream.options(**options).text(path)
     if not arrival:
         return messages
     return messages.select("value", F.col("_metadata.file_modification_time").alias("arrived"))
@@ -40,23 +44,49 @@ def stream_messages(
     strict_fields: bool = False,
     compat: bool = False,
     dedupe: Sequence[str] = (),
-    dedupe_within: str = "1 hour",
     trigger: Mapping[str, object] | None = None,
 ) -> StreamingQuery:
     """Append every message to the table at ``out``, with its fields and ``reject_reason``.
 
     A bad message does not stop the others. The checkpoint is the acknowledgement: a batch is
     committed after its rows are, and one that is repeated replaces itself. Repeated messages stay
-    unless ``dedupe`` names the key; then ``messages`` need a column ``arrived``, and the keys of
-    ``dedupe_within`` are kept as state.
+    unless ``dedupe`` names the key: then of the good messages with equal keys (none of it null) only the
+    first is kept, against all that earlier batches wrote. Rejected messages and messages
+    without a key are never copies of each other, and no message is too late.
     """
-    decoded = decode_messages(messages, schema, strict_fields, compat)
-    if dedupe:
-        decoded = decoded.withWatermark("arrived", dedupe_within).dropDuplicatesWithinWatermark(list(dedupe))
-    writer = decoded.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+    if not dedupe:
+        decoded = decode_messages(messages, schema, strict_fields, compat)
+        writer = decoded.writeStream.format("parquet").option("path", out)
+    else:
+        keys = list(dedupe)
+
+        def write_batch(batch: DataFrame, batch_id: int) -> None:
+            spark = batch.sparkSession
+            decoded = materialize(decode_messages(batch, schema, strict_fields, compat), "decoded")
+            keyed = F.col(REASON).isNull()
+            for key in keys:
+                keyed &= F.col(key).isNotNull()
+            order = F.struct(*[c for c in ("arrived",) if c in decoded.columns], "value")
+            everything = F.struct(*decoded.columns)
+            firsts = decoded.where(keyed).groupBy(*keys).agg(F.min_by(everything, order).alias("m")).select("m.*")
+            earlier = earlier_batches(spark, out, decoded.schema, batch_id)
+            if earlier is not None:
+                firsts = firsts.join(earlier.where(keyed).select(*keys), keys, "left_anti").select(*decoded.columns)
+            firsts.union(decoded.where(~keyed)).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+        writer = messages.writeStream.foreachBatch(write_batch)
+    writer = writer.option("checkpointLocation", checkpoint)
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
+def earlier_batches(spark: SparkSession, out: str, schema: T.StructType, batch_id: int) -> DataFrame | None:
+    """What batches before this one have written, by folder; None for the first."""
+    if batch_id == 0:
+        return None
+    with_batch = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    return spark.read.schema(with_batch).parquet(out).where(F.col("batch_id") < batch_id)
+
+
 def read_messages(spark: SparkSession, out: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """The records and the rejected messages that :func:`stream_messages` has written so far."""
     table = spark.read.parquet(out)
@@ -74,18 +104,29 @@ def stream_checked(
 ) -> StreamingQuery:
     """Apply ``check`` to each batch of records and write the result to its own folder.
 
-    The batch is a table to ``check``, so the size of a lookup table and the hot keys of the batch
-    can decide the join. If the check fails the batch is not committed and comes again; if only the
-    commit is lost the batch overwrites its folder ``batch_id=N``.
+    The batch is a table to ``check``, so the hot keys of the batch can decide the join; it is kept while
+    it is checked, so the stream's source is read once. If the check fails the batch is not committed and
+    comes again; if only the commit is lost the batch overwrites its folder ``batch_id=N``.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        check(batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        batch.persist()
+        try:
+            check(batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     writer = records.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
+def lookup_check(table: DataFrame | None, key: str, enabled: bool = True, **options: object) -> Callable[[DataFrame], DataFrame]:
+    """A check against a lookup table that is prepared and measured once, however many batches come."""
+    if not enabled:
+        return lambda batch: lookup_exists(batch, None, key, enabled=False)
+    return prepare_lookup(table, key, keep=True, **options).check
+
+
 def stream_lookup(
     records: DataFrame,
     table: DataFrame | None,
@@ -95,7 +136,36 @@ def stream_lookup(
     trigger: Mapping[str, object] | None = None,
     **options: object,
 ) -> StreamingQuery:
-    """Check each arriving record against the lookup table; ``options`` as in :func:`lookup_exists`."""
-    return stream_checked(
-        records, lambda batch: lookup_exists(batch, table, key, **options), out, checkpoint, trigger
-    )
+    """Check each arriving record against the lookup table; ``options`` as in :func:`lookup_exists`.
+
+    The table is read when the stream starts; start it again to take up a new one.
+    """
+    return stream_checked(records, lookup_check(table, key, **options), out, checkpoint, trigger)
+
+
+def stream_process(
+    messages: DataFrame,
+    check: Callable[[DataFrame], DataFrame],
+    out: str,
+    rejects: str,
+    checkpoint: str,
+    schema: T.StructType,
+    strict_fields: bool = False,
+    compat: bool = False,
+    trigger: Mapping[str, object] | None = None,
+) -> StreamingQuery:
+    """Check the record of each good message into ``out``; the others go to ``rejects`` with the reason.
+
+    A batch is decoded once and writes its own folders ``batch_id=N`` in both, which a repeated batch
+    overwrites.
+    """
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        decoded = materialize(decode_messages(batch, schema, strict_fields, compat), "decoded")
+        good = F.col(REASON).isNull()
+        decoded.where(~good).select("value", REASON).write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
+        records = decoded.where(good).select(*schema.names)
+        check(records).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    writer = messages.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    return (writer.trigger(**trigger) if trigger else writer).start()

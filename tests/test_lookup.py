@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+import io
 import os
 import subprocess
 import sys
+import urllib.error
+import urllib.request
 
 import pytest
 from pyspark import cloudpickle
@@ -45,9 +48,18 @@ def test_no_record_is_dropped(records, entries, limit):
 
 
 def test_large_table_plan(records, entries, plan_of):
-    """Hot rows are joined where they are, the others by a shuffle."""
+    """One join: rows of hot keys are dealt over several places, their entries repeated there."""
     plan = plan_of(lookup_exists(records, entries, "k", broadcast_bytes=0))
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
+    assert "BroadcastHashJoin" not in plan and plan.count("SortMergeJoin") == 1
+
+
+def test_large_table_scans_the_records_twice(spark, conf):
+    """Once for the hot keys, once for the join."""
+    conf(spark__sql__adaptive__enabled="false")
+    path = "/root/testdata/sf0.001"
+    orders = spark.read.parquet(f"{path}/orders.parquet").select("o_orderkey", "o_custkey")
+    joined = lookup_exists(orders, spark.read.parquet(f"{path}/customer.parquet"), "o_custkey", "c_custkey", broadcast_bytes=0)
+    assert joined._jdf.queryExecution().executedPlan().toString().count("orders.parquet") == 1
 
 
 def test_large_table_without_hot_keys(spark, entries, plan_of):
@@ -200,4 +212,66 @@ def test_path_filter_reaches_the_scan(spark, plan_of):
 
 def test_text_bytes(spark):
     assert text_bytes(spark.range(0)) == 0
-    assert text_bytes(spark.createDataFrame([("é",)], "a string")) == len('{"a":"é"}'.encode())
+    df = spark.createDataFrame([("é", 1, [1, 2]), (None, None, None)], "a string, b int, c array<int>")
+    assert text_bytes(df) == 2 + 8 + len("[1,2]") + 8
+
+
+class Answer:
+    def __init__(self, status, body):
+        self.status, self.body = status, body
+
+    def read(self):
+        return self.body
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *failure):
+        return False
+
+
+def test_any_status_is_an_answer(monkeypatch):
+    """No server: the opener is replaced."""
+
+    def opener(url, timeout):
+        key = url.rsplit("/", 1)[1]
+        if key == "404":
+            raise urllib.error.HTTPError(url, 404, "none", None, io.BytesIO(b'{"exists":\r\n false}'))
+        if key == "down":
+            raise urllib.error.URLError("down")
+        return Answer(200, b'{"exists": true}')
+
+    monkeypatch.setattr(urllib.request, "urlopen", opener)
+    call = http_caller("http://x")()
+    assert call(1) == (200, '{"exists": true}')
+    assert call(404) == (404, '{"exists": false}')
+    with pytest.raises(urllib.error.URLError):
+        call("down")
+
+
+def test_calls_side_by_side(spark):
+    def connect():
+        import threading
+
+        together = threading.Barrier(4, timeout=20)
+
+        def call(key):
+            together.wait()
+            return 200, '{"exists": true}'
+
+        return call
+
+    records = spark.range(8).select(F.col("id").alias("k"))
+    checked = lookup_external(records, "k", connect, tasks=1, calls_per_task=4)
+    assert checked.where("exists").count() == 8
+
+
+def test_prepared_lookup_measures_once(spark, records, entries, monkeypatch):
+    from ledgerline.operators import lookup
+
+    measured = []
+    monkeypatch.setattr(lookup, "text_bytes", lambda df: measured.append(df) or 0)
+    prepared = lookup.prepare_lookup(entries, "k", answers=["name"], keep=True)
+    for _ in range(3):
+        assert rows(prepared.check(records)) == expected(records, entries)
+    assert len(measured) == 1

@@ -50,7 +50,7 @@ def test_batches(skewed):
 def test_copies_are_spread(spark, conf):
     conf(spark__sql__adaptive__coalescePartitions__enabled="false")
     same = spark.range(4000).select(F.lit(1).alias("k"), F.lit("x").alias("v"))
-    out = sort_rows(same, ["k"], together=50)
+    out = sort_rows(same.repartition(8), ["k"])
     sizes = [n for n in out.rdd.glom().map(len).collect() if n]
     assert sum(sizes) == 4000 and max(sizes) < 2000
 
@@ -67,3 +67,13 @@ def test_no_window_over_the_rows(spark, plan_of):
     """Rows are read back from the written table and joined with the few counts."""
     plan = plan_of(number_rows(spark.range(1000), ["id"], unique=True))
     assert "Window" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_values_stay_as_they_are(spark):
+    rows = spark.createDataFrame([(-0.0, "a"), (0.0, "a"), (float("nan"), None)], "x double, t string")
+    assert sorted(repr(r.x) for r in sort_rows(rows, ["t"]).collect()) == ["-0.0", "0.0", "nan"]
+
+
+def test_one_shuffle(spark, plan_of):
+    same = spark.range(100).select(F.lit(1).alias("k"))
+    assert plan_of(sort_rows(same, ["k"])).count("Exchange") == 1

@@ -10,7 +10,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F, types as T
 
 from ledgerline.functions.text import clean, parse_double, split_fields, split_lines, to_line
-from ledgerline.operators.records import parse_lines, parse_records, parse_rejects
+from ledgerline.operators.records import parse_files, parse_lines, parse_records, parse_rejects
 from ledgerline.schemas import EMPLOYEE, compat_schema
 from ledgerline.sources.delimited import read_lines, write_lines
 
@@ -36,6 +36,14 @@ EDGES = [
     ("|||||", "bad_emp_id", None, "short", None),
     ("1|A|B|1d|2020-01-01", "bad_salary", None, None, (1, "A", "B", 1.0, "2020-01-01")),
     ("1|A|B|inf|2020-01-01", "bad_salary", None, "bad_salary", None),
+    ("1|A|B|2.0|2020", "bad_hire_date", None, None, (1, "A", "B", 2.0, "2020")),
+    ("1|A|B|2.0|2020-1-01", "bad_hire_date", None, None, (1, "A", "B", 2.0, "2020-1-01")),
+    ("1|A|B|2.0|2020-01-01Tjunk", "bad_hire_date", None, None, (1, "A", "B", 2.0, "2020-01-01Tjunk")),
+    ("1|A|B|2.0|2020-01-01 zz", "bad_hire_date", None, None, (1, "A", "B", 2.0, "2020-01-01 zz")),
+    ("1|A|B|2.0|2020-02-30", "bad_hire_date", None, None, (1, "A", "B", 2.0, "2020-02-30")),
+    ("1|A|B|1.239|2020-01-01", "bad_salary", None, None, (1, "A", "B", 1.239, "2020-01-01")),
+    ("1|A|B|1e-3|2020-01-01", "bad_salary", None, None, (1, "A", "B", 0.001, "2020-01-01")),
+    ("1|A|B|2.00000|2020-01-01", None, (1, "A", "B", TWO, DAY), None, (1, "A", "B", 2.0, "2020-01-01")),
     ("1|é|ß|2.0|2020-01-01", None, (1, "é", "ß", TWO, DAY), None, (1, "é", "ß", 2.0, "2020-01-01")),
 ]
 
@@ -128,6 +136,32 @@ def test_stop_file_over_split_files(spark, conf, tmp_path, broadcast_bytes):
     assert ids == sorted([*range(1700), *range(200), *range(299)])
 
 
+def test_reading_positions_leaves_the_session_alone(spark, tmp_path):
+    (tmp_path / "f.csv").write_text("header\n" + line(1) + "\n")
+    before = spark.conf.get("spark.sql.files.minPartitionNum", None)
+    assert read_lines(spark, str(tmp_path), position=True).count() == 1
+    assert spark.conf.get("spark.sql.files.minPartitionNum", None) == before
+
+
+def test_rejects_of_a_stopped_file(spark):
+    lines = [("a", 0, 1, line(1)), ("a", 0, 2, "short"), ("a", 0, 3, "x|A|B|2.0|2020-01-01"), ("a", 0, 4, "y"), ("b", 0, 1, "y")]
+    lines = spark.createDataFrame(lines, "file string, block long, seq long, line string")
+    good, bad = parse_files(lines, SCHEMA, "stop_file")
+    assert [r.emp_id for r in good.collect()] == [1]
+    assert sorted((r.file, r.seq, r.reject_reason) for r in bad.collect()) == [
+        ("a", 2, "short"), ("a", 3, "bad_emp_id"), ("b", 1, "short"),
+    ]
+    good, bad = parse_files(lines, SCHEMA)
+    assert good.count() == 1 and bad.count() == 4
+
+
+def test_nested_files_are_read(spark, tmp_path):
+    (tmp_path / "sub" / "subsub").mkdir(parents=True)
+    for folder, i in ((tmp_path, 1), (tmp_path / "sub", 2), (tmp_path / "sub" / "subsub", 3)):
+        (folder / "f.csv").write_text("header\n" + line(i) + "\n")
+    assert sorted(r.emp_id for r in parse_records(read_lines(spark, str(tmp_path)), SCHEMA).collect()) == [1, 2, 3]
+
+
 def test_reader_keeps_lines_as_they_are(spark, conf, tmp_path):
     conf(spark__sql__files__maxPartitionBytes="16", spark__sql__files__openCostInBytes="1")
     lines = ['a,b;"c', '"', "\\", "'", "  pad  ", "#c", "\x00nul", "\x01a", "\uffff", "\ufffe", "é\u2028ü", "x" * 2000]

@@ -5,6 +5,7 @@ import glob
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F, types as T
 
 from ledgerline.operators.contract import contract_check
@@ -16,6 +17,8 @@ from ledgerline.schemas import CATALOG_EMPLOYEE, EMPLOYEE
 from ledgerline.session import materialize, resolve_option, scratch_path
 from ledgerline.sources.catalog import catalog_table, create_table, describe_table, reload_table
 from ledgerline.sources.delimited import read_delimited, write_delimited
+from ledgerline.streaming.files import read_rejects
+from ledgerline.streaming.messages import lookup_check
 from ledgerline.sources.extract import (
     count_rows,
     distinct_values,
@@ -45,10 +48,11 @@ def emp(spark):
 def test_landed_files(spark, emp, tmp_path):
     """Header, pipes, five known records, all text without a schema."""
     out = str(tmp_path / "out")
-    write_delimited(emp, out, order_by=["emp_id"], unique_order=True, single_file=True)
-    (part,) = glob.glob(f"{out}/part-*")
-    with open(part) as f:
-        assert f.read().splitlines() == ["|".join(EMPLOYEE.names)] + ["|".join(map(str, r)) for r in SEED]
+    write_delimited(emp.coalesce(1), out, order_by=["emp_id"], unique_order=True)
+    parts = sorted(glob.glob(f"{out}/part-*"))
+    landed = [open(part).read().splitlines() for part in parts]
+    assert {lines[0] for lines in landed} == {"|".join(EMPLOYEE.names)}
+    assert [row for lines in landed for row in lines[1:]] == ["|".join(map(str, r)) for r in SEED]
     back = read_delimited(spark, out)
     assert {f.dataType.simpleString() for f in back.schema} == {"string"}
     assert [tuple(r) for r in read_delimited(spark, out, EMPLOYEE).orderBy("emp_id").collect()] == [
@@ -59,16 +63,23 @@ def test_landed_files(spark, emp, tmp_path):
     assert count_rows(back).first()["records"] == 5
 
 
-def test_too_large_for_one_file(spark, conf, tmp_path):
+def test_file_names_in_order_hold_the_rows_in_order(spark, conf, tmp_path):
     conf(spark__sql__adaptive__coalescePartitions__enabled="false")
     out = str(tmp_path / "out")
-    write_delimited(spark.range(1000), out, order_by=["id"], single_file=True, single_file_bytes=5000)
+    write_delimited(spark.range(1000), out, order_by=["id"])
     parts = sorted(glob.glob(f"{out}/part-*"))
     assert len(parts) > 1
     rows = [int(x) for p in parts for x in open(p).read().splitlines()[1:]]
     assert rows == list(range(1000))
 
 
+def test_the_header_is_checked(spark, emp, tmp_path):
+    out = str(tmp_path / "out")
+    write_delimited(emp.select("department", "emp_id", "emp_name", "salary", "hire_date"), out)
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        read_delimited(spark, out, EMPLOYEE).collect()
+
+
 def test_awkward_values_survive(spark, tmp_path):
     values = ["a|b", 'q"q', '"', "\\", "x|y\\", "  pad  ", "two\nlines", "cr\r\nlf", "", None, "é", "#", "'", "\t", '\\"|']
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
@@ -80,7 +91,7 @@ def test_awkward_values_survive(spark, tmp_path):
 
 def test_empty_result_has_a_header(spark, emp, tmp_path):
     out = str(tmp_path / "out")
-    write_delimited(emp.limit(0), out, single_file=True)
+    write_delimited(emp.limit(0).coalesce(1), out)
     assert read_delimited(spark, out).columns == EMPLOYEE.names
     assert read_delimited(spark, out).count() == 0
 
@@ -155,32 +166,93 @@ def test_jdbc_predicates():
 @pytest.mark.parametrize("arguments", [[], ["extract", "too", "few"], ["files", "a", "b"], ["other", *"abcdef"]])
 def test_job_usage(capsys, arguments):
     assert jobs.main(arguments) == 1
-    assert capsys.readouterr().err.count("Usage") == 3
+    assert "usage: jobs" in capsys.readouterr().err
+
+
+def given(*arguments):
+    return jobs.arguments_of().parse_args(list(arguments))
 
 
 def test_extract_job(spark, emp, conf, tmp_path, monkeypatch, capsys):
     """The database is replaced by the table it would have returned."""
-    monkeypatch.setattr(jobs, "jdbc_extract", lambda spark, url, user, password, query: emp)
+    monkeypatch.setattr(jobs, "jdbc_extract", lambda spark, *place, **options: emp)
     emp.where("emp_id < 4").select("emp_id").write.parquet(str(tmp_path / "known"))
-    jobs.extract(spark, ["u", "me", "pw", "SELECT 1", str(tmp_path / "out"), str(tmp_path / "known")])
+    command = ["extract", "u", "me", "pw", "SELECT 1", str(tmp_path / "out")]
+    jobs.extract(spark, given(*command, "--lookup", str(tmp_path / "known"), "--order-by", "emp_id"))
     assert "records=5, matched=3" in capsys.readouterr().out
-    jobs.extract(spark, ["u", "me", "pw", "SELECT 1", str(tmp_path / "out")])
+    jobs.extract(spark, given(*command))
     assert "matched" not in capsys.readouterr().out
     assert read_delimited(spark, str(tmp_path / "out")).count() == 5
 
 
+def test_extract_job_of_any_query(spark, emp, tmp_path, monkeypatch, capsys):
+    """Columns of other names, types and order: the key is found by its name."""
+    other = emp.selectExpr("department AS unit", "emp_id * 10L AS emp_id", "hire_date", "salary * 2 AS pay")
+    monkeypatch.setattr(jobs, "jdbc_extract", lambda spark, *place, **options: other)
+    spark.createDataFrame([(10,), (30,)], "emp_id long").write.parquet(str(tmp_path / "known"))
+    command = ["extract", "u", "me", "pw", "SELECT 1", str(tmp_path / "out"), "--lookup", str(tmp_path / "known")]
+    jobs.extract(spark, given(*command))
+    assert "records=5, matched=2" in capsys.readouterr().out
+    with pytest.raises(ValueError, match="no column"):
+        land(other, str(tmp_path / "none"), "dept_no", lambda records: records)
+
+
+def test_extract_job_splits_the_read(spark, emp, tmp_path):
+    reader = Reader((1, 5))
+    reader.limit = lambda n: emp
+    with pytest.raises(AttributeError):  # the double has nothing to write
+        jobs.extract(
+            reader,
+            given("extract", "u", "me", "pw", "SELECT 1", str(tmp_path / "out"), "--split-column", "emp_id",
+                  "--splits", "7", "--fetch-size", "300"),
+        )
+    assert (reader.asked[1]["numPartitions"], reader.asked[1]["partitionColumn"]) == ("7", "emp_id")
+
+
 def test_stream_jobs(spark, emp, tmp_path):
     """Files to messages to checked records, with and without a lookup table."""
     folders = {n: str(tmp_path / n) for n in ("landed", "sent", "log1", "out", "log2", "all", "log3", "known")}
     write_delimited(emp, folders["landed"])
     emp.where("emp_id < 4").select("emp_id").write.parquet(folders["known"])
-    jobs.handle_files(spark, [folders["landed"], folders["sent"], folders["log1"], "once"])
-    jobs.handle_messages(spark, [folders["sent"], folders["out"], folders["log2"], "once", folders["known"]])
-    jobs.handle_messages(spark, [folders["sent"], folders["all"], folders["log3"], "once"])
+    jobs.handle_files(spark, given("files", folders["landed"], folders["sent"], folders["log1"], "--every", "once"))
+    ending = ["--every", "once", "--most-files", "2"]
+    checked = given("messages", folders["sent"], folders["out"], folders["log2"], "--lookup", folders["known"], *ending)
+    jobs.handle_messages(spark, checked)
+    jobs.handle_messages(spark, given("messages", folders["sent"], folders["all"], folders["log3"], *ending))
     assert {r.emp_id: r.exists for r in spark.read.parquet(folders["out"]).collect()} == {i: i < 4 for i in range(1, 6)}
     assert spark.read.parquet(folders["all"]).where("exists").count() == 5
 
 
+def test_jobs_keep_what_is_no_record(spark, tmp_path):
+    """A bad line ends its file and is kept; a bad message is kept and ends nothing."""
+    inbox, sent = tmp_path / "in", tmp_path / "sent"
+    inbox.mkdir()
+    lines = ["1|A|B|2.0|d", "short", "x|A|B|2.0|d", "3|A|B|2.0|d"]
+    (inbox / "a.csv").write_text("\n".join(["header", *lines]) + "\n")
+    jobs.handle_files(spark, given("files", str(inbox), str(sent), str(tmp_path / "log1"), "--every", "once"))
+    assert [r.value[:11] for r in spark.read.text(str(sent)).collect()] == ['{"emp_id":1']
+    rejects = read_rejects(spark, str(tmp_path / "sent-rejects")).collect()
+    assert sorted((r.line, r.reject_reason) for r in rejects) == [("short", "short"), ("x|A|B|2.0|d", "bad_emp_id")]
+    (sent / "more.txt").write_text("broken\n")
+    out = str(tmp_path / "out")
+    jobs.handle_messages(spark, given("messages", str(sent), out, str(tmp_path / "log2"), "--every", "once"))
+    assert [r.emp_id for r in spark.read.parquet(out).collect()] == [1]
+    assert [(r.value, r.reject_reason) for r in read_rejects(spark, f"{out}-rejects").collect()] == [("broken", "bad_json")]
+
+
+def test_job_looks_up_by_calls(spark, emp, tmp_path, monkeypatch, capsys):
+    def service(endpoint):
+        def connect():
+            return lambda key: (200 if key < 3 else 404, '{"exists": true}')
+
+        return connect
+
+    monkeypatch.setattr(jobs, "http_caller", service)
+    monkeypatch.setattr(jobs, "jdbc_extract", lambda spark, *place, **options: emp)
+    jobs.extract(spark, given("extract", "u", "me", "pw", "SELECT 1", str(tmp_path / "out"), "--endpoint", "http://x"))
+    assert "records=5, matched=2" in capsys.readouterr().out
+
+
 def test_answers_as_a_lookup_table(spark, emp, tmp_path):
     """Five exact answers; any other key gets the default of false and nulls."""
     path = tmp_path / "answers.json"
@@ -197,16 +269,16 @@ def test_answers_as_a_lookup_table(spark, emp, tmp_path):
 
 
 def test_land_and_look_up(spark, emp, tmp_path):
-    lookup = emp.where("emp_id <> 2").select("emp_id")
-    checked = land(emp, str(tmp_path / "out"), EMPLOYEE, "emp_id", lookup, order_by=["emp_id"], single_file=True)
+    check = lookup_check(emp.where("emp_id <> 2").select("emp_id"), "emp_id")
+    checked = land(emp, str(tmp_path / "out"), "emp_id", check, order_by=["emp_id"])
     assert {r.emp_id: r.exists for r in checked.collect()} == {i: i != 2 for i in range(1, 6)}
-    assert land(emp, str(tmp_path / "plain"), EMPLOYEE, "emp_id") is None
+    assert land(emp, str(tmp_path / "plain"), "emp_id") is None
 
 
 def test_five_records_through_all_stages(spark, emp, tmp_path):
     """Five records: five lookups at extraction, five as messages."""
     landed, sent = str(tmp_path / "landed"), str(tmp_path / "sent")
-    first = land(emp, landed, EMPLOYEE, "emp_id", emp.select("emp_id"))
+    first = land(emp, landed, "emp_id", lookup_check(emp.select("emp_id"), "emp_id"))
     published = publish_files(spark, landed, sent, EMPLOYEE, compat=True)
     assert result_line(published, "Published").first()["result"] == "Published 5 messages"
     second = process_messages(spark.read.text(sent), EMPLOYEE, "emp_id", emp.select("emp_id"), compat=True)
@@ -240,6 +312,18 @@ def test_reload_restarts_the_key(spark, emp, tmp_path):
     assert sorted(r.emp_id for r in second.collect()) == [1, 2, 3, 4]
 
 
+def test_failed_reload_keeps_the_old_rows(spark, emp, tmp_path):
+    people = emp.drop("emp_id")
+    reload_table(people, "staff", "emp_id", ["emp_name"], location=str(tmp_path / "staff"))
+    broken = people.withColumn("emp_name", F.when(F.col("emp_name") > "C", F.raise_error(F.lit("lost"))).otherwise("x"))
+    with pytest.raises(PySparkException, match="lost"):
+        reload_table(broken, "staff", "emp_id", ["department"])
+    assert spark.table("staff").count() == 5
+    again = reload_table(people.limit(2), "staff", "emp_id", ["emp_name"])
+    assert again.count() == spark.table("staff").count() == 2
+    assert str(tmp_path / "staff") in describe_table(spark, "staff")[0]
+
+
 def test_contract(spark):
     rows = [(1, "a", 1.0), (1, "b", 2.0), (1, "toolong", 99999999.995), (None, "c", None), (None, None, 1.0)]
     df = spark.createDataFrame(rows, "id int, name string, pay double")
@@ -277,6 +361,13 @@ def test_scratch_is_in_the_shared_folder(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
 
+    class Bare:
+        """A session that names no folder for checkpoints."""
+
+        conf = {"spark.sql.warehouse.dir": "file:/shared/tables/"}
+
+    assert scratch_path(Bare, "x").startswith("file:/shared/tables/scratch/x-")
+
 
 def test_materialized_rows_are_fixed(spark):
     fixed = materialize(spark.range(100).select(F.rand().alias("r")), "random")

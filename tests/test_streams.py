@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import time
 
 import pytest
@@ -12,7 +13,7 @@ from ledgerline.operators.records import parse_records, parse_rejects
 from ledgerline.operators.summary import watch
 from ledgerline.schemas import EMPLOYEE
 from ledgerline.sources.delimited import read_lines
-from ledgerline.streaming.files import read_parsed, stream_files, stream_publish
+from ledgerline.streaming.files import read_parsed, read_rejects, stream_files, stream_publish
 from ledgerline.streaming.messages import (
     PER_RECEIVE,
     arriving_messages,
@@ -28,7 +29,7 @@ KEYS = T.StructType([T.StructField("emp_id", T.LongType())])
 
 
 def drop(folder, name, *lines):
-    folder.mkdir(exist_ok=True)
+    folder.mkdir(exist_ok=True, parents=True)
     (folder / name).write_text("\n".join(["header", *lines]) + "\n")
 
 
@@ -110,7 +111,7 @@ def mail(spark, tmp_path):
 
 def test_messages_in_batches_of_ten_deliveries(spark, mail, tmp_path):
     out, log = str(tmp_path / "out"), str(tmp_path / "log")
-    query = stream_messages(arriving_messages(spark, mail), out, log, KEYS, trigger=ONCE)
+    query = stream_messages(arriving_messages(spark, mail, PER_RECEIVE), out, log, KEYS, trigger=ONCE)
     query.awaitTermination()
     assert PER_RECEIVE == 10
     assert len([p for p in query.recentProgress if p["numInputRows"]]) == 3
@@ -123,7 +124,77 @@ def test_duplicates_go_only_on_request(spark, mail, tmp_path):
     out, log = str(tmp_path / "out"), str(tmp_path / "log")
     arriving = arriving_messages(spark, mail, arrival=True)
     stream_messages(arriving, out, log, KEYS, dedupe=["emp_id"], trigger=ONCE).awaitTermination()
-    assert ids(read_messages(spark, out, KEYS)[0]) == list(range(25))
+    good, bad = read_messages(spark, out, KEYS)
+    assert ids(good) == list(range(25)) and bad.count() == 1
+
+
+def test_only_copies_of_keyed_messages_go(spark, tmp_path):
+    """Two equal good ones, three broken ones, two without a key; then the same once more."""
+    folder, out, log = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "log")
+    folder.mkdir()
+    fields = T.StructType([*KEYS.fields, T.StructField("n", T.LongType())])
+    texts = ['{"emp_id":1}', '{"emp_id":1}', "a", "b", "c", '{"n":1}', '{"n":2}']
+
+    def run(name):
+        (folder / name).write_text("\n".join(texts) + "\n")
+        arriving = arriving_messages(spark, str(folder), arrival=True)
+        stream_messages(arriving, out, log, fields, dedupe=["emp_id"], trigger=ONCE).awaitTermination()
+        return sorted(r.value for r in spark.read.parquet(out).collect())
+
+    assert run("1.txt") == sorted(texts[1:])
+    assert run("2.txt") == sorted([*texts[1:], *texts[2:]])
+
+
+def test_old_and_nested_files_are_taken_up(spark, tmp_path):
+    inbox, out, log = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "log")
+    drop(inbox, "a.csv", line(1))
+
+    def run():
+        stream_files(spark, str(inbox), out, log, SCHEMA, trigger=ONCE).awaitTermination()
+        return ids(read_parsed(spark, out, SCHEMA)[0])
+
+    assert run() == [1]
+    drop(inbox, "c.csv", line(3))
+    drop(inbox / "sub", "b.csv", line(2))
+    nine_days_ago = time.time() - 9 * 86_400
+    os.utime(inbox / "sub" / "b.csv", (nine_days_ago, nine_days_ago))
+    assert run() == [1, 2, 3]
+
+
+def test_files_that_are_done_can_be_moved(spark, tmp_path):
+    inbox, out, log, done = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "log"), tmp_path / "done"
+    for n in range(3):
+        drop(inbox, f"{n}.csv", line(n))
+        stream_publish(spark, str(inbox), out, log, SCHEMA, archive=str(done), trigger=ONCE).awaitTermination()
+    assert ids(parse_messages(spark.read.text(out), SCHEMA)) == [0, 1, 2]
+
+
+@pytest.mark.parametrize("on_error", ["reject", "stop_file"])
+def test_publishing_keeps_rejects(spark, tmp_path, on_error):
+    inbox, out, bad, log = tmp_path / "in", *(str(tmp_path / n) for n in ("out", "bad", "log"))
+    drop(inbox, "a.csv", line(1), "short", line(2, "x"), line(3))
+    stream_publish(
+        spark, str(inbox), out, log, SCHEMA, on_error=on_error, rejects=bad, trigger=ONCE
+    ).awaitTermination()
+    sent = ids(parse_messages(spark.read.text(out).select("value"), SCHEMA))
+    assert sent == ([1, 3] if on_error == "reject" else [1])
+    assert sorted(r.reject_reason for r in read_rejects(spark, bad).collect()) == ["bad_salary", "short"]
+
+
+def test_a_stream_measures_its_lookup_table_once(spark, tmp_path, monkeypatch):
+    from ledgerline.operators import lookup
+
+    measured = []
+    real = lookup.text_bytes
+    monkeypatch.setattr(lookup, "text_bytes", lambda df: measured.append(df) or real(df))
+    inbox, out, log = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "log")
+    spark.range(300).select(F.col("id").alias("k")).repartition(3).write.parquet(inbox)
+    arriving = spark.readStream.schema("k long").option("maxFilesPerTrigger", 1).parquet(inbox)
+    table = spark.range(100).select(F.col("id").alias("k"))
+    stream_lookup(arriving, table, "k", out, log, trigger=ONCE).awaitTermination()
+    found = spark.read.parquet(out)
+    assert found.select("batch_id").distinct().count() == 3 and found.where("exists").count() == 100
+    assert len(measured) == 1
 
 
 @pytest.mark.parametrize("limit", [1 << 20, 0])
