@@ -1,24 +1,13 @@
 from __future__ import annotations
 
 import os
-import random
 import sys
 
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-# Columns that operators use themselves; a table may have them with any content.
-CLASHING = (
-    "id", "ids", "copy", "chunk", "blob", "size", "bucket", "kind", "fp", "group", "component", "score", "lang_pred",
-    "held_out", "n_tokens", "posteriors", "rate", "n_removed", "kept", "spans", "node", "segment", "vector", "language",
-)
-SF = "/root/testdata/sf0.01"
-
-
-def sentences(seed: int, n: int) -> str:
-    r = random.Random(seed)
-    return " ".join("".join(r.choice("abcdeéñ") for _ in range(r.randint(1, 7))) for _ in range(n))
+from samples import CLASHING, SF, sentences  # noqa: E402
 
 
 @pytest.fixture(scope="session")

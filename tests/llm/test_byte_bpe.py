@@ -55,16 +55,20 @@ def test_caches_do_not_change_ids(theirs, monkeypatch, sf_rows):
 
 def test_table(edge_docs, edge_rows, no_docs, theirs):
     coded = encode_texts(edge_docs, PATH, PATTERN)
-    out = decode_ids(coded, PATH, PATTERN).select("doc_id", "text", "ids", "decoded").collect()
+    out = decode_ids(coded, PATH).select("doc_id", "text", "ids", "decoded").collect()
     assert len(out) == len(edge_rows)
     for row in out:
         assert row.ids == theirs.encode_ordinary(row.text or "")
         assert bytes(row.decoded) == (row.text or "").encode()
-    assert decode_ids(encode_texts(no_docs, PATH, PATTERN), PATH, PATTERN).count() == 0
+    both = encode_texts(edge_docs, PATH, PATTERN, decoded_column="decoded").select("text", "ids", "decoded").collect()
+    assert sorted((r.text or "", r.ids, bytes(r.decoded)) for r in both) == sorted(
+        (r.text or "", r.ids, bytes(r.decoded)) for r in out
+    )
+    assert decode_ids(encode_texts(no_docs, PATH, PATTERN), PATH).count() == 0
 
 
 def test_null_ids_decode_to_nothing(spark):
     df = spark.createDataFrame([(None,), ([],), ([0, 1],)], "ids array<int>").coalesce(1)
-    got = [bytes(r.decoded) for r in decode_ids(df, PATH, PATTERN).collect()]
+    got = [bytes(r.decoded) for r in decode_ids(df, PATH).collect()]
     by_id = {v: k for k, v in load_ranks(PATH).items()}
     assert got == [b"", b"", by_id[0] + by_id[1]]

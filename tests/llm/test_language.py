@@ -5,7 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
-from conftest import SF
+from samples import SF
 
 from ledgerline.llm.language import FEATURES, SMOOTHING, held_out, identify, language_id, ngrams, train
 from ledgerline.llm.repeats import text_bytes

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
-from conftest import SF
+from samples import SF
 
 from ledgerline.llm.mixing import (
     DOMAINS,

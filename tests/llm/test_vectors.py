@@ -3,7 +3,7 @@ from __future__ import annotations
 import brute
 import numpy as np
 import pytest
-from conftest import SF
+from samples import SF
 from pyspark.sql import functions as F
 
 from ledgerline.llm import lattice
