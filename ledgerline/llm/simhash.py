@@ -15,7 +15,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerline.llm.graph import components, spanning_stars
 from ledgerline.llm.repeats import mix, ranges, slices, split_words, text_bytes
@@ -25,7 +25,7 @@ SHINGLE = 4
 SEED = 42
 BITS = 64
 DISTANCE = 4
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 500_000
 COUNTED_BITS = 16  # of a part, in the table of counts
 KEY_ROWS = 1_000  # fingerprints of one key that are compared in one place
 PAIR_BLOCK = 2_000_000
@@ -391,7 +391,11 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     found = near_duplicates(docs, id_column, text_column)
     order = F.struct(F.col("id").isNull().alias("_absent"), "id", "copy")
     best = found.groupBy("group").agg(F.min(order).alias("s"))
-    stays = best.select(F.col("s.id").alias("__id"), F.col("s.copy").alias("__kept"))
-    keyed = docs.withColumn("__copy", F.xxhash64(text_column))
-    same = keyed[id_column].cast("long").eqNullSafe(stays["__id"]) & (keyed["__copy"] == stays["__kept"])
-    return keyed.join(stays, same, "left_semi").dropDuplicates([id_column, "__copy"]).select(*columns)
+    # One key for id and text: the join and the removal of repeated rows share its shuffle.
+    stays = best.select(_row_key(F.col("s.id"), F.col("s.copy")).alias("__key"))
+    keyed = docs.withColumn("__key", _row_key(F.col(id_column).cast("long"), F.xxhash64(text_column)))
+    return keyed.join(stays, "__key", "left_semi").dropDuplicates(["__key"]).select(*columns)
+
+
+def _row_key(row_id: Column, copy: Column) -> Column:
+    return F.concat(F.coalesce(row_id.cast("string"), F.lit("none")), F.lit("/"), copy.cast("string"))
