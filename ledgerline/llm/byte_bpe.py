@@ -19,9 +19,10 @@ from ledgerline.llm.suffix_array import binary_array
 from ledgerline.session import ship_package
 
 KEYS_PER_BUCKET = 2
-WORDS = 200_000  # words whose ids a worker remembers, the first that it meets
-PIECES = 500_000  # pre-tokens that it remembers, until there are more
-SLICE_BYTES = 2_000_000
+WORDS = 80_000  # words whose ids a worker remembers, the first that it meets
+PIECES = 200_000  # pre-tokens that it remembers, until there are more
+SLICE_BYTES = 500_000
+SLICE_ROWS = 1_000
 
 _MASK = (1 << 64) - 1
 
@@ -86,13 +87,6 @@ class Encoder:
         self.known: dict[str, bytes] = {}
         self.made: dict[str, bytes] = {}
         self.pairs = {tuple(key): rank for key, rank in self.ranks.items() if len(key) == 2}
-        size = max(self.ranks.values(), default=-1) + 1
-        by_id = [b""] * size
-        for token, rank in self.ranks.items():
-            by_id[rank] = token
-        self.sizes = np.array([len(t) for t in by_id], np.int64)
-        self.starts = np.cumsum(self.sizes) - self.sizes
-        self.bytes = np.frombuffer(b"".join(by_id), np.uint8)
 
     def pretoken(self, piece: bytes) -> list[int]:
         slot = self.whole.find(piece)
@@ -170,6 +164,19 @@ class Encoder:
             out.append(ids)
         return b"".join(out)
 
+
+class Decoder:
+    """The bytes of all tokens, one after the other, and where each is."""
+
+    def __init__(self, path: str) -> None:
+        ranks = load_ranks(path)
+        by_id = [b""] * (max(ranks.values(), default=-1) + 1)
+        for token, rank in ranks.items():
+            by_id[rank] = token
+        self.sizes = np.array([len(t) for t in by_id], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.bytes = np.frombuffer(b"".join(by_id), np.uint8)
+
     def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The bytes of all ids, one after the other, and how many each has."""
         sizes = self.sizes[ids]
@@ -182,54 +189,68 @@ def encoder(path: str, pattern: str) -> Encoder:
     return Encoder(path, pattern)
 
 
-def _with_column(docs: DataFrame, name: str, like: Column, make) -> DataFrame:
-    """Add a column made from each batch; a column of that name is replaced."""
+@lru_cache(maxsize=4)
+def decoder(path: str) -> Decoder:
+    return Decoder(path)
+
+
+def _with_columns(docs: DataFrame, likes: dict[str, Column], make) -> DataFrame:
+    """Add columns made from each batch, some rows at a time; columns of those names are replaced."""
     ship_package(docs.sparkSession)
-    docs = docs.drop(name)
-    names = docs.columns
+    docs = docs.drop(*likes)
+    names = [*docs.columns, *likes]
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, make(batch)], [*names, name])
+            for lo in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(lo, SLICE_ROWS)
+                yield pa.RecordBatch.from_arrays([*part.columns, *make(part)], names)
+
+    return docs.mapInArrow(apply, docs.withColumns(likes).schema)
 
-    return docs.mapInArrow(apply, docs.withColumn(name, like).schema)
+
+def _encoded(texts: pa.Array, coder: Encoder) -> pa.ListArray:
+    found = [coder.encode(text or "") for text in texts.to_pylist()]
+    offsets = np.cumsum([0, *map(len, found)]) // 4
+    return pa.ListArray.from_arrays(offsets.astype(np.int32), np.frombuffer(b"".join(found), np.int32))
+
+
+def _decoded(lists: pa.ListArray, coder: Decoder) -> pa.Array:
+    ids, counts = lists.flatten().to_numpy(), lists.value_lengths().fill_null(0).to_numpy()
+    edges, parts, sizes = np.concatenate([[0], np.cumsum(counts)]), [], []
+    for _, lo, hi in slices(edges[:-1] // (SLICE_BYTES // 4)):
+        data, size = coder.decode(ids[edges[lo] : edges[hi]])
+        total = np.concatenate([[0], np.cumsum(size)])
+        parts.append(data)
+        sizes.append(np.diff(total[edges[lo : hi + 1] - edges[lo]]))
+    if not parts:
+        return pa.array([], pa.binary())
+    return binary_array(np.concatenate(parts), np.concatenate(sizes))
 
 
 def encode_texts(
-    docs: DataFrame, path: str, pattern: str, text_column: str = "text", ids_column: str = "ids"
+    docs: DataFrame,
+    path: str,
+    pattern: str,
+    text_column: str = "text",
+    ids_column: str = "ids",
+    decoded_column: str | None = None,
 ) -> DataFrame:
     """Add the token ids of each whole text; a null or empty text has none.
 
     Every match of ``pattern`` is encoded by itself and special tokens are ordinary text. Nothing is
-    shuffled. ``path`` must be readable where tasks run.
+    shuffled. ``path`` must be readable where tasks run. ``decoded_column`` also adds what the ids decode
+    to, in the same pass.
     """
+    likes = {ids_column: F.array(F.lit(0))} | ({decoded_column: F.lit(b"")} if decoded_column else {})
 
-    def make(batch: pa.RecordBatch) -> pa.Array:
-        coder = encoder(path, pattern)
-        found = [coder.encode(text or "") for text in batch.column(text_column).to_pylist()]
-        offsets = np.cumsum([0, *map(len, found)]) // 4
-        return pa.ListArray.from_arrays(offsets.astype(np.int32), np.frombuffer(b"".join(found), np.int32))
+    def make(batch: pa.RecordBatch) -> list[pa.Array]:
+        ids = _encoded(batch.column(text_column), encoder(path, pattern))
+        return [ids, _decoded(ids, decoder(path))] if decoded_column else [ids]
 
-    return _with_column(docs, ids_column, F.array(F.lit(0)), make)
+    return _with_columns(docs, likes, make)
 
 
-def decode_ids(
-    docs: DataFrame, path: str, pattern: str, ids_column: str = "ids", bytes_column: str = "decoded"
-) -> DataFrame:
+def decode_ids(docs: DataFrame, path: str, ids_column: str = "ids", bytes_column: str = "decoded") -> DataFrame:
     """Add the bytes that the ids stand for; null ids give none. An unknown id is an error."""
-
-    def make(batch: pa.RecordBatch) -> pa.Array:
-        coder = encoder(path, pattern)
-        lists = batch.column(ids_column)
-        ids, counts = lists.flatten().to_numpy(), lists.value_lengths().fill_null(0).to_numpy()
-        edges, parts, sizes = np.concatenate([[0], np.cumsum(counts)]), [], []
-        for _, lo, hi in slices(edges[:-1] // (SLICE_BYTES // 4)):
-            data, size = coder.decode(ids[edges[lo] : edges[hi]])
-            total = np.concatenate([[0], np.cumsum(size)])
-            parts.append(data)
-            sizes.append(np.diff(total[edges[lo : hi + 1] - edges[lo]]))
-        if not parts:
-            return pa.array([], pa.binary())
-        return binary_array(np.concatenate(parts), np.concatenate(sizes))
-
-    return _with_column(docs, bytes_column, F.lit(b""), make)
+    return _with_columns(docs, {bytes_column: F.lit(b"")}, lambda batch: [_decoded(batch.column(ids_column), decoder(path))])

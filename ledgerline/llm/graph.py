@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerline.session import materialize, ship_package
+from ledgerline.session import materialize
 
 
 def spanning_stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -30,12 +27,6 @@ def spanning_stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return nodes[member], nodes[label[member]]
 
 
-def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        member, root = spanning_stars(batch.column("a").to_numpy(), batch.column("b").to_numpy())
-        yield pa.RecordBatch.from_pydict({"a": member, "b": root})
-
-
 def components(links: DataFrame) -> DataFrame:
     """Columns ``node`` and ``component`` (the smallest node reached) for every node of ``links`` (a, b).
 
@@ -44,9 +35,8 @@ def components(links: DataFrame) -> DataFrame:
     aggregation and joins them back, so a node with any number of links is never held as a group.
     Each round is written. Self-links, repeated and reversed links do no harm.
     """
-    ship_package(links.sparkSession)
-    links = links.where("a <> b").mapInArrow(_contract, "a long, b long").distinct()
-    links, state = _written(links)
+    turned = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    links, state = _written(turned.distinct())
     while True:
         links, after = _written(_small_star(_large_star(links)))
         if after == state:

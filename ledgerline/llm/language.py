@@ -19,7 +19,7 @@ ORDERS = (1, 2, 3)
 FEATURES = 1 << 16
 SMOOTHING = 0.5
 UNKNOWN = "und"
-SLICE_BYTES = 1_000_000
+SLICE_BYTES = 250_000
 PARTS = 16  # a language's counts are added in so many pieces
 SUMS = 64  # and each piece first in so many groups of tasks
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerline.llm.byte_bpe import decode_ids, encode_texts
+from ledgerline.llm.byte_bpe import encode_texts
 from ledgerline.llm.chat import conversation_digests, format_turns
 from ledgerline.llm.language import language_id
 from ledgerline.llm.lattice import near_duplicate_vectors
@@ -60,11 +60,9 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    with_ids = encode_texts(
-        _table(spark, sf_dir, "documents").select("doc_id", "text"), _tokenizer(BYTE_RANKS), public_tokenizers.PATTERN
-    )
-    decoded = decode_ids(with_ids.select("doc_id", "ids"), _tokenizer(BYTE_RANKS), public_tokenizers.PATTERN)
-    return decoded.select(
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = encode_texts(docs, _tokenizer(BYTE_RANKS), public_tokenizers.PATTERN, decoded_column="decoded")
+    return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),

@@ -34,7 +34,7 @@ from ledgerline.session import materialize, ship_package
 
 CHUNK_BYTES = 1_000_000
 SLICE_TOKENS = 1 << 16
-BUCKET_BYTES = 64_000_000
+BUCKET_BYTES = 6_000_000
 HOT = 2_000
 
 LAST_ID = np.iinfo(np.int64).max
