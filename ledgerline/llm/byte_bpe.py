@@ -19,8 +19,8 @@ from ledgerline.llm.suffix_array import binary_array
 from ledgerline.session import ship_package
 
 KEYS_PER_BUCKET = 2
-WORDS = 80_000  # words whose ids a worker remembers, the first that it meets
-PIECES = 200_000  # pre-tokens that it remembers, until there are more
+WORDS = 200_000  # words whose ids a worker remembers, the first that it meets
+PIECES = 400_000  # pre-tokens that it remembers, until there are more
 SLICE_BYTES = 500_000
 SLICE_ROWS = 1_000
 
