@@ -137,17 +137,18 @@ class Encoder:
         """
         if not text:
             return b""
-        words = text.replace("\n", " \n").split(" ")
-        words[0] = "\r" + words[0]  # marks that no space comes first
-        known, found = self.known, []
+        first, *words = text.replace("\n", " \n").split(" ")
+        if not first or self.blank_edge(first):
+            return self.pieces(text)
+        known, found = self.known, [self.pieces(first)]  # no space comes before it, so it is not in ``known``
         add = found.append
         for word in words:
             ids = known.get(word)
             if ids is None:
-                bare = word.removeprefix("\n").removeprefix("\r")
+                bare = word.removeprefix("\n")
                 if not bare or self.blank_edge(bare):
                     return self.pieces(text)
-                ids = self.pieces(bare if word[0] == "\r" else word if word[0] == "\n" else " " + word)
+                ids = self.pieces(word if word[0] == "\n" else " " + word)
                 if len(known) < WORDS:
                     known[word] = ids
             add(ids)

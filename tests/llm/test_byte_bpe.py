@@ -45,6 +45,20 @@ def test_ids_are_the_library_s(theirs, parts):
     assert ours(text) == theirs.encode_ordinary(text)
 
 
+@pytest.mark.parametrize("text", ["hello \rworld", "hello \rworld world", "\rworld \rworld", "a\n\rb", "a \r b\r", "world \r\rworld"])
+def test_carriage_returns_stay(theirs, text):
+    encoder.cache_clear()
+    for _ in range(2):
+        assert ours(text) == theirs.encode_ordinary(text)
+        assert ours("world hello") == theirs.encode_ordinary("world hello")
+
+
+@settings(max_examples=300, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(parts=st.lists(st.sampled_from([" \r", "\r", "\rword", " ", "\n", "word", "\r\n", " word", "\t"]), max_size=10))
+def test_ids_beside_carriage_returns(theirs, parts):
+    assert ours("".join(parts)) == theirs.encode_ordinary("".join(parts))
+
+
 def test_caches_do_not_change_ids(theirs, monkeypatch, sf_rows):
     monkeypatch.setattr("ledgerline.llm.byte_bpe.WORDS", 50)
     monkeypatch.setattr("ledgerline.llm.byte_bpe.PIECES", 50)
