@@ -5,7 +5,8 @@ and (q, 0) are closest where q.x is largest. Each shard builds a tree: a node ha
 halves its points by their distance to it, and knows the least and largest distance of each half.
 By the triangle inequality a half holds nothing nearer than the gap between the query's
 distance and that interval. A half is skipped if ``factor`` times the gap reaches the distance of
-the best so far: factor one never loses a neighbour, a larger one skips more and may.
+the best so far: factor one never loses a neighbour and is the default. A larger one skips more and may,
+by far too many where norms differ, since distances grow with M.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from ledgerline.llm.lattice import _vectors, usable_vector
 from ledgerline.session import materialize, ship_package
 
 K = 20
-FACTOR = 3.0
+FACTOR = 1.0
 SHARD_ROWS = 8_192
 QUERY_ROWS = 32_768  # queries that one task answers
 LEAF = 64

@@ -6,7 +6,7 @@ import pytest
 from samples import SF
 from pyspark.sql import functions as F
 
-from ledgerline.llm import lattice
+from ledgerline.llm import lattice, vp_trees
 from ledgerline.llm.lattice import near_duplicate_vectors, nearest_e8, shortest_e8
 from ledgerline.llm.vp_trees import Search, Tree, nearest
 
@@ -112,6 +112,31 @@ def test_recall_of_the_relaxed_search(spark):
     assert len(got) == len(expected) and len(got & expected) / len(expected) >= 0.95
 
 
+def unequal_norms(r):
+    x = r.standard_normal((vp_trees.SHARD_ROWS, 64))
+    return x * r.lognormal(0, 0.5, (len(x), 1))
+
+
+def clusters(r):
+    centres = 3 * r.standard_normal((40, 64))
+    return centres[r.integers(0, 40, vp_trees.SHARD_ROWS)] + 0.3 * r.standard_normal((vp_trees.SHARD_ROWS, 64))
+
+
+def low_rank(r):
+    return r.standard_normal((vp_trees.SHARD_ROWS, 4)) @ r.standard_normal((4, 64))
+
+
+@pytest.mark.parametrize("make", [unequal_norms, clusters, low_rank])
+def test_recall_at_the_default_factor(make):
+    """Unequal norms and clusters, in a whole shard."""
+    x = make(np.random.default_rng(11))
+    largest = np.sqrt((x * x).sum(1).max())
+    tree = Tree(np.hstack([x, np.sqrt(np.maximum(largest**2 - (x * x).sum(1), 0))[:, None]]))
+    search = Search(tree, x, np.arange(len(x)), largest, vp_trees.K + 1, vp_trees.FACTOR)
+    scores, _ = search.run(x[:100])
+    assert np.allclose(scores, -np.sort(-(x[:100] @ x.T), axis=1)[:, : vp_trees.K + 1])
+
+
 def test_larger_factors_look_at_less():
     r = np.random.default_rng(8)
     x = np.concatenate([c + 0.1 * r.standard_normal((200, 4)) for c in 3 * r.standard_normal((8, 4))])
