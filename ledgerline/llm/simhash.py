@@ -9,7 +9,7 @@ that each part would bring at each threshold.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -111,8 +111,8 @@ def majority(hashes: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
     return out
 
 
-def fingerprint(data: np.ndarray, offsets: np.ndarray, shingle: int = SHINGLE) -> np.ndarray:
-    """SimHash of each text, over hashes of its shingles of words, repeats included."""
+def shingle_hashes(data: np.ndarray, offsets: np.ndarray, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the shingles of words of each text, repeats included, and the rows that they are of."""
     rows = len(offsets) - 1
     data = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
     words = split_words(data, offsets)
@@ -126,7 +126,12 @@ def fingerprint(data: np.ndarray, offsets: np.ndarray, shingle: int = SHINGLE) -
     row = np.repeat(np.arange(rows), n)
     last = np.minimum(start + shingle, words.offsets[1:][row]) - 1
     first = (end - size)[start]
-    return majority(xxh64_spans(joined, first, end[last] - 1 - first), row, rows)
+    return xxh64_spans(joined, first, end[last] - 1 - first), row
+
+
+def fingerprint(data: np.ndarray, offsets: np.ndarray, shingle: int = SHINGLE) -> np.ndarray:
+    """SimHash of each text, over hashes of its shingles of words, repeats included."""
+    return majority(*shingle_hashes(data, offsets, shingle), len(offsets) - 1)
 
 
 def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -381,21 +386,26 @@ def near_duplicates(
     return rows.join(by_class, "fp").select("id", "copy", "fp", "group", "component")
 
 
-def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def one_of_each(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    find: Callable[[DataFrame, str, str], DataFrame] = near_duplicates,
+) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each component the smallest id stays.
 
-    Of rows that share that id the one with the smallest text hash stays; rows with the same id and
+    ``find`` gives ``id``, ``copy`` and ``group`` of each row. Of rows that share that id the one with the smallest text hash stays; rows with the same id and
     text count once. If no row of a component has an id, the smallest text hash decides.
     """
     columns = docs.columns
-    found = near_duplicates(docs, id_column, text_column)
+    found = find(docs, id_column, text_column)
     order = F.struct(F.col("id").isNull().alias("_absent"), "id", "copy")
     best = found.groupBy("group").agg(F.min(order).alias("s"))
     # One key for id and text: the join and the removal of repeated rows share its shuffle.
-    stays = best.select(_row_key(F.col("s.id"), F.col("s.copy")).alias("__key"))
-    keyed = docs.withColumn("__key", _row_key(F.col(id_column).cast("long"), F.xxhash64(text_column)))
+    stays = best.select(row_key(F.col("s.id"), F.col("s.copy")).alias("__key"))
+    keyed = docs.withColumn("__key", row_key(F.col(id_column).cast("long"), F.xxhash64(text_column)))
     return keyed.join(stays, "__key", "left_semi").dropDuplicates(["__key"]).select(*columns)
 
 
-def _row_key(row_id: Column, copy: Column) -> Column:
+def row_key(row_id: Column, copy: Column) -> Column:
     return F.concat(F.coalesce(row_id.cast("string"), F.lit("none")), F.lit("/"), copy.cast("string"))
