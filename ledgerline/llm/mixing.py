@@ -301,13 +301,15 @@ def mixed(
     """The rows of ``docs``, each as often as its rate says.
 
     The fraction of a rate decides by the hash of id and text, so that the expected number of copies is the
-    rate; but a document that most likely belongs to the first domain stays at least once. Columns
-    are those of ``docs``.
+    rate; but a document that most likely belongs to the first domain stays at least once, and one
+    that is most likely toxic goes, however rare these are. Columns are those of ``docs``.
     """
     rates = mixing_rates(docs, labels, weights, id_column, text_column)
     chance = F.pmod(F.xxhash64(F.lit("mix"), "id", "copy"), F.lit(1 << 30)) / float(1 << 30)
     first = F.col("posteriors")[0] >= F.array_max("posteriors")
+    toxic = ~first & (F.col("posteriors")[DOMAINS.index("toxic")] >= F.array_max("posteriors"))
     copies = F.greatest(F.floor(F.col("rate") + chance).cast("int"), first.cast("int"))
+    copies = F.when(toxic, 0).otherwise(copies)
     wanted = rates.select(F.col("id").alias("__id"), F.col("copy").alias("__copy"), copies.alias("__n"))
     wanted = wanted.groupBy("__id", "__copy").agg(F.max("__n").alias("__n")).where("__n > 0")
     keyed = docs.withColumn("__hash", F.xxhash64(text_column))

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import numpy as np
 import pytest
 from samples import SF
@@ -75,6 +77,21 @@ def test_mixture(spark):
     assert 2 not in counts or kept.join(by_domain.where("domain = 2"), "doc_id").count() <= 0.2 * toxic  # learned from a few hundred labels
 
 
+def test_a_handful_of_toxic_documents_goes(spark):
+    """Their tokens are fewer than the target share, so that the fit raises their rates above one."""
+    r = random.Random(3)
+    words = {0: ["alpha", "bread", "cloud"], 1: ["dummy", "empty", "fuzzy"], 2: ["grime", "havoc", "idiot"]}
+    domains = [0] * 3_000 + [1] * 150 + [2] * 6
+    texts = [" ".join(r.choice(words[d]) for _ in range(40)) for d in domains]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    flags = [(k, int(d == 0), int(d == 2)) for k, d in enumerate(domains)]
+    labels = spark.createDataFrame(flags, "doc_id long, quality int, toxic int")
+    rates = {x.id: x.rate for x in mixing_rates(docs, labels).collect()}
+    assert np.mean([rates[k] for k, d in enumerate(domains) if d == 2]) > 1
+    kept = [domains[x.doc_id] for x in mixed(docs, labels).collect()]
+    assert 2 not in kept and 0 in kept and 1 in kept
+
+
 @pytest.mark.parametrize("labelled", [True, False])
 def test_edges(spark, edge_docs, edge_rows, no_docs, labelled):
     rows = [(8, 1, 0), (9, 0, 0), (14, 0, 1), (14, 1, 1), (None, 1, 0), (12, None, None), (99, 1, 1)] if labelled else []
