@@ -76,9 +76,73 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
 FROM sized GROUP BY conv_id
 """
 
+_MERKLE = """
+WITH RECURSIVE fields AS (
+  SELECT doc_id, lang,
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+    n_chars, coalesce(strlen(text) || ':' || text, '-') AS tail,
+    list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),
+      lambda c, d: list_reduce(
+        list_prepend(xor(c, d), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+        lambda r, z: xor(r >> 1, (r & 1) * 3988292384))) AS register
+  FROM documents
+),
+hashed AS (
+  SELECT doc_id, lang, sha256(head || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || tail) AS leaf,
+    sha256(head || coalesce(strlen((n_chars + t)::VARCHAR) || ':' || (n_chars + t), '-') || tail) AS changed
+  FROM (SELECT *, CASE WHEN xor(register, 4294967295) % 7 = 0 THEN 1 ELSE 0 END AS t FROM fields)
+),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM hashed
+),
+grown AS (
+  SELECT lang, 0 AS level, list(leaf ORDER BY place) AS nodes FROM leaves GROUP BY lang
+  UNION ALL
+  SELECT lang, level + 1, list_transform(range(0, (len(nodes) + 1) // 2),
+    lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], '')))
+  FROM grown WHERE len(nodes) > 1
+),
+subroots AS (
+  SELECT lang, nodes[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS rank
+  FROM grown WHERE len(nodes) = 1
+),
+over_grown AS (
+  SELECT 0 AS level, list(subroot ORDER BY rank) AS nodes FROM subroots
+  UNION ALL
+  SELECT level + 1, list_transform(range(0, (len(nodes) + 1) // 2),
+    lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], '')))
+  FROM over_grown WHERE len(nodes) > 1
+),
+steps AS (
+  SELECT l.doc_id, l.lang, l.place, g.level, (l.place >> g.level) & 1 AS side,
+    g.nodes[xor(l.place >> g.level, 1) + 1] AS sibling
+  FROM leaves l JOIN grown g ON l.lang IS NOT DISTINCT FROM g.lang AND len(g.nodes) > 1
+  UNION ALL
+  SELECT l.doc_id, l.lang, l.place, 100 + o.level, (s.rank >> o.level) & 1, o.nodes[xor(s.rank >> o.level, 1) + 1]
+  FROM leaves l JOIN subroots s ON l.lang IS NOT DISTINCT FROM s.lang JOIN over_grown o ON len(o.nodes) > 1
+),
+paths AS (
+  SELECT lang, place, string_agg(coalesce(sibling, ''), '' ORDER BY level) AS siblings,
+    list(CASE WHEN sibling IS NULL THEN '-' WHEN side = 1 THEN 'L' || sibling ELSE 'R' || sibling END ORDER BY level) AS path
+  FROM steps GROUP BY lang, place
+),
+folded AS (
+  SELECT l.doc_id, l.leaf, s.subroot, (SELECT nodes[1] FROM over_grown WHERE len(nodes) = 1) AS root,
+    sha256(coalesce(p.siblings, '')) AS proof_sha256,
+    list_reduce(list_prepend(l.changed, coalesce(p.path, [])), lambda h, x: sha256(
+      CASE x[1] WHEN 'L' THEN x[2:] || h WHEN 'R' THEN h || x[2:] ELSE h END)) AS folded_root
+  FROM leaves l JOIN subroots s ON l.lang IS NOT DISTINCT FROM s.lang
+    LEFT JOIN paths p ON l.lang IS NOT DISTINCT FROM p.lang AND l.place = p.place
+)
+SELECT *, folded_root = root AS verified FROM folded
+"""
+
 ORACLES = {
     "op1_chat": _CHAT,
     "op2_repeated_words": _WORDS,
     "op7_repeated_bytes": _BYTES,
     "op10_lattice": _LATTICE,
+    "op11_merkle": _MERKLE,
 }

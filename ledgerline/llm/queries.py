@@ -8,6 +8,7 @@ from ledgerline.llm.byte_bpe import encode_texts
 from ledgerline.llm.chat import conversation_digests, format_turns
 from ledgerline.llm.language import language_id
 from ledgerline.llm.lattice import near_duplicate_vectors
+from ledgerline.llm.merkle import check_documents
 from ledgerline.llm.mixing import DOMAINS, mixing_rates
 from ledgerline.llm.simhash import near_duplicates
 from ledgerline.llm.suffix_array import drop_repeated_bytes
@@ -103,6 +104,11 @@ def op10_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    return check_documents(_table(spark, sf_dir, "documents"), tampered)
+
+
 QUERIES = {
     "op1_chat": op1_chat,
     "op2_repeated_words": op2_repeated_words,
@@ -114,4 +120,5 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_token_files": op9_token_files,
     "op10_lattice": op10_lattice,
+    "op11_merkle": op11_merkle,
 }
