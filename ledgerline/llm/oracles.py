@@ -1,5 +1,9 @@
 """The registered queries as DuckDB SQL, where SQL can express them."""
 
+from __future__ import annotations
+
+from ledgerline.llm.licenses import PHRASES, TEMPLATES, parse_template
+
 _WORDS = r"""
 WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 words AS (
@@ -139,10 +143,116 @@ folded AS (
 SELECT *, folded_root = root AS verified FROM folded
 """
 
+
+
+def _pattern(parts: list) -> str:
+    """A template's parts as a pattern over words that each end in a space."""
+    out = ""
+    for part in parts:
+        if isinstance(part, bytes):
+            out += part.decode() + " "
+        elif part[0] == "optional":
+            out += f"({_pattern(part[1])})?"
+        else:
+            out += f"([^ ]+ ){{{part[1]},{part[2]}}}"
+    return out
+
+
+_RULES = ", ".join(
+    f"('{label}', {base}, '{markup.split()[0]}', '^{_pattern(parse_template(markup))}')"
+    for base, entries in (("true", PHRASES), ("false", TEMPLATES))
+    for label, markup in entries
+)
+_LICENSES = rf"""
+WITH rules(label, base, opening, pattern) AS (VALUES {_RULES}),
+words AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
+  FROM documents
+),
+starts AS (
+  SELECT doc_id, s, w[s + 1] AS opening, list_slice(w, s + 1, s + 80) AS rest
+  FROM (SELECT doc_id, w, unnest(range(0, len(w))) AS s FROM words)
+),
+met AS (
+  SELECT doc_id, s, label, base, regexp_extract(array_to_string(rest, ' ') || ' ', pattern) AS wording
+  FROM starts JOIN rules USING (opening)
+),
+places AS (
+  SELECT doc_id, s, label, base, len(wording) - len(replace(wording, ' ', '')) AS n FROM met WHERE wording <> ''
+),
+lying AS (SELECT DISTINCT doc_id, unnest(range(s, s + n)) AS i FROM places),
+found AS (
+  SELECT doc_id, count(*) FILTER (base) AS n_base, min(s) FILTER (base) AS first_word, max(s) FILTER (base) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+    string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM places GROUP BY doc_id
+),
+covered AS (SELECT doc_id, count(*) AS n_covered FROM lying GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+       last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       coalesce(n_covered / len(w), 0)::DOUBLE AS score
+FROM words LEFT JOIN found USING (doc_id) LEFT JOIN covered USING (doc_id)
+"""
+
+
+
+def _codes(rounds: int) -> str:
+    """Products are exact: the squares of these integers add up to less than 2^53."""
+
+    def assigned(k: int) -> str:
+        return f"""
+a{k} AS (
+  SELECT vec_id, label, p, any_value(x.part) AS part,
+    min((list_dot_product(x.part, x.part) - 2 * list_dot_product(x.part, c.part)
+         + list_dot_product(c.part, c.part))::BIGINT * 256 + e) AS best
+  FROM parts x JOIN c{k} c USING (p) GROUP BY vec_id, label, p
+)"""
+
+    def replaced(k: int) -> str:
+        return f"""
+m{k} AS (
+  SELECT p, best % 256 AS e, i, sum(part[i + 1]::BIGINT)::BIGINT AS total, count(*) AS n
+  FROM (SELECT p, best, part, unnest(range(0, len(part))) AS i FROM a{k}) GROUP BY ALL
+),
+n{k} AS (SELECT p, e, list(((total - ((total % n) + n) % n) // n)::DOUBLE ORDER BY i) AS part FROM m{k} GROUP BY p, e),
+c{k + 1} AS (SELECT p, e, coalesce(n.part, c.part) AS part FROM c{k} c LEFT JOIN n{k} n USING (p, e))"""
+
+    steps = ",".join(f"{assigned(k)},{replaced(k)}" for k in range(rounds))
+    return f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+),
+parts AS (
+  SELECT vec_id, label, p, list_slice(v, p * len(v) // 4 + 1, (p + 1) * len(v) // 4) AS part
+  FROM kept, range(0, 4) AS r(p)
+),
+c0 AS (
+  SELECT p, e, part
+  FROM (SELECT p, part, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e FROM parts) WHERE e < 256
+),{steps},{assigned(rounds)},
+coded AS (
+  SELECT vec_id, label, string_agg(lower(lpad(to_hex(best % 256), 2, '0')), '' ORDER BY p) AS code,
+    sum(best // 256)::BIGINT AS error
+  FROM a{rounds} GROUP BY vec_id, label
+),
+books AS (
+  SELECT sha256(string_agg(value::BIGINT::VARCHAR, ',' ORDER BY p, e, i)) AS codebooks_sha256
+  FROM (SELECT p, e, unnest(range(0, len(part))) AS i, unnest(part) AS value FROM c{rounds})
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM coded, books
+"""
+
+
 ORACLES = {
     "op1_chat": _CHAT,
     "op2_repeated_words": _WORDS,
     "op7_repeated_bytes": _BYTES,
     "op10_lattice": _LATTICE,
     "op11_merkle": _MERKLE,
+    "op12_licenses": _LICENSES,
+    "op13_codes": _codes(4),
 }

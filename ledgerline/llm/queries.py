@@ -8,12 +8,14 @@ from ledgerline.llm.byte_bpe import encode_texts
 from ledgerline.llm.chat import conversation_digests, format_turns
 from ledgerline.llm.language import language_id
 from ledgerline.llm.lattice import near_duplicate_vectors
+from ledgerline.llm.licenses import license_summary, scan_licenses
 from ledgerline.llm.merkle import check_documents
 from ledgerline.llm.mixing import DOMAINS, mixing_rates
 from ledgerline.llm.simhash import near_duplicates
 from ledgerline.llm.suffix_array import drop_repeated_bytes
 from ledgerline.llm.suffix_trees import drop_repeated_words
 from ledgerline.llm.token_files import encode_documents, read_token_files, write_token_files
+from ledgerline.llm.vector_codes import codebooks_digest, vector_codes
 from ledgerline.llm.vp_trees import nearest
 from ledgerline.session import materialize, scratch_path
 
@@ -109,6 +111,16 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check_documents(_table(spark, sf_dir, "documents"), tampered)
 
 
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_summary(scan_licenses(_table(spark, sf_dir, "documents"))).withColumnRenamed("id", "doc_id")
+
+
+def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes(_table(spark, sf_dir, "embeddings"))
+    digest = F.lit(codebooks_digest(books)).alias("codebooks_sha256")
+    return coded.select(F.col("id").alias("vec_id"), "code", "error", "label_error", digest)
+
+
 QUERIES = {
     "op1_chat": op1_chat,
     "op2_repeated_words": op2_repeated_words,
@@ -121,4 +133,6 @@ QUERIES = {
     "op9_token_files": op9_token_files,
     "op10_lattice": op10_lattice,
     "op11_merkle": op11_merkle,
+    "op12_licenses": op12_licenses,
+    "op13_codes": op13_codes,
 }

@@ -22,7 +22,7 @@ COLUMNS = {
 def test_names():
     assert set(QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
     assert set(QUERIES) == set(ORACLES) | set(COLUMNS)
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
