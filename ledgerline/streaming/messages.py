@@ -10,8 +10,10 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerline.operators.lookup import lookup_exists, prepare_lookup
 from ledgerline.operators.messages import decode_messages
 from ledgerline.operators.records import REASON
+from ledgerline.operators.rows import keep_rows
 from ledgerline.session import materialize
 from ledgerline.streaming.files import arrival_options
+from ledgerline.streaming.state import keyed_state
 
 # Fixed value: how many deliveries a receive hands over at most where a cap is wanted.
 PER_RECEIVE = 10
@@ -44,47 +46,42 @@ def stream_messages(
     strict_fields: bool = False,
     compat: bool = False,
     dedupe: Sequence[str] = (),
+    dedupe_within: str | None = None,
     trigger: Mapping[str, object] | None = None,
 ) -> StreamingQuery:
     """Append every message to the table at ``out``, with its fields and ``reject_reason``.
 
     A bad message does not stop the others. The checkpoint is the acknowledgement: a batch is
     committed after its rows are, and one that is repeated replaces itself. Repeated messages stay
-    unless ``dedupe`` names the key: then of the good messages with equal keys (none of it null) only the
-    first is kept, against all that earlier batches wrote. Rejected messages and messages
-    without a key are never copies of each other, and no message is too late.
+    unless ``dedupe`` names the key (see :func:`drop_copies`).
     """
-    if not dedupe:
-        decoded = decode_messages(messages, schema, strict_fields, compat)
-        writer = decoded.writeStream.format("parquet").option("path", out)
+    decoded = decode_messages(messages, schema, strict_fields, compat)
+    if dedupe:
+        decoded = drop_copies(decoded, dedupe, dedupe_within)
+    writer = decoded.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+    with keyed_state(messages.sparkSession):
+        return (writer.trigger(**trigger) if trigger else writer).start()
+
+
+def drop_copies(decoded: DataFrame, keys: Sequence[str], within: str | None = None) -> DataFrame:
+    """Of the good messages with equal keys, none of it null, one: from the first batch that has the key.
+
+    The keys that came are keyed state: a batch reads its own messages and looks up their keys, however many
+    came before. Rejected messages and messages without a key are never copies of each other and do not
+    enter the state. ``within`` (such as ``"2 days"``) forgets a key that long after it came, by column
+    ``arrived``, which bounds the state; messages that are later than that are then left out. Without it
+    no key is forgotten and no message is too late.
+    """
+    keyed = F.col(REASON).isNull()
+    for key in keys:
+        keyed &= F.col(key).isNotNull()
+    columns = decoded.columns
+    once = keep_rows(decoded, keyed, *columns)
+    if within is None:
+        once = once.dropDuplicates(list(keys))
     else:
-        keys = list(dedupe)
-
-        def write_batch(batch: DataFrame, batch_id: int) -> None:
-            spark = batch.sparkSession
-            decoded = materialize(decode_messages(batch, schema, strict_fields, compat), "decoded")
-            keyed = F.col(REASON).isNull()
-            for key in keys:
-                keyed &= F.col(key).isNotNull()
-            order = F.struct(*[c for c in ("arrived",) if c in decoded.columns], "value")
-            everything = F.struct(*decoded.columns)
-            firsts = decoded.where(keyed).groupBy(*keys).agg(F.min_by(everything, order).alias("m")).select("m.*")
-            earlier = earlier_batches(spark, out, decoded.schema, batch_id)
-            if earlier is not None:
-                firsts = firsts.join(earlier.where(keyed).select(*keys), keys, "left_anti").select(*decoded.columns)
-            firsts.union(decoded.where(~keyed)).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
-
-        writer = messages.writeStream.foreachBatch(write_batch)
-    writer = writer.option("checkpointLocation", checkpoint)
-    return (writer.trigger(**trigger) if trigger else writer).start()
-
-
-def earlier_batches(spark: SparkSession, out: str, schema: T.StructType, batch_id: int) -> DataFrame | None:
-    """What batches before this one have written, by folder; None for the first."""
-    if batch_id == 0:
-        return None
-    with_batch = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-    return spark.read.schema(with_batch).parquet(out).where(F.col("batch_id") < batch_id)
+        once = once.withWatermark("arrived", within).dropDuplicatesWithinWatermark(list(keys))
+    return once.union(keep_rows(decoded, ~keyed, *columns))
 
 
 def read_messages(spark: SparkSession, out: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
