@@ -7,8 +7,10 @@ The subroots, by group (null first), give the root in the same way.
 
 A stored level spans several hash levels, at most ``BLOCK`` nodes to a parent: its rows link a node to
 its parent and hold the siblings on the way there. Blocks are cut by place, so a group of any size is
-never held in one place. The climb is a recursive query: per leaf it joins the row of the node it stands
-on, appends that row's siblings, folds the hash through them and goes on from the parent.
+never held in one place. The climb is a recursive query: a leaf starts with its own row, and each step joins
+the row of the node it stands on, appends that row's siblings, folds the hash through them and goes on from the
+parent. Nodes that more than a block of leaves come by are few; each lies in ``LANES`` places, and a leaf has
+its lane.
 
 Null ids come first. An empty table has no root and gives no rows. Texts of any length are hashed
 where they are read and go no further.
@@ -23,19 +25,26 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ledgerline.operators.joins import BROADCAST_BYTES, text_bytes
 from ledgerline.operators.numbering import number_rows
 from ledgerline.session import materialize
 
 ARITY = 2
-BLOCK = 64  # nodes that share a stored parent, at most
+BLOCK = 1024  # nodes that share a stored parent, at most
+LANES = 64
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 _ROW_LIMIT = "spark.sql.cteRecursionRowLimit"
+_PATH = "array<struct<before: array<binary>, after: array<binary>>>"
 
 
 @dataclass
 class Manifest:
-    """``leaves`` (id, node, leaf, changed), the linked ``nodes``, and the ``root`` (hex; None if empty)."""
+    """The tree as tables, and its root.
+
+    ``leaves``: ``id``, ``leaf``, ``changed``, ``lane``, the ``node`` above and the ``path`` there. ``nodes``: ``node``
+    and ``spot``, ``parent`` and the ``path`` there, and the ``subroot`` if the node is one. ``root`` is hex, None if empty.
+    """
 
     leaves: DataFrame
     nodes: DataFrame
@@ -73,30 +82,33 @@ def manifest(
     hashed = materialize(hashed, "merkle-leaves")
     numbered = number_rows(hashed, ["id", "hash", "changed"], ["tree"], "place").withColumn("place", F.col("place") - 1)
     sizes = hashed.groupBy("tree").agg(F.count(F.lit(1)).alias("size"))
+    if text_bytes(sizes) <= BROADCAST_BYTES:
+        sizes = F.broadcast(sizes)
     sized = numbered.alias("n").join(sizes.alias("s"), F.col("n.tree").eqNullSafe(F.col("s.tree")))
-    node = _node("g", F.lit(0), F.col("place"), F.col("tree"))
-    leaves = sized.select("id", "n.tree", "place", "hash", "changed", "size").withColumn("node", node)
-    leaves = materialize(leaves, "merkle-placed")
-    nodes, subroots = _levels(leaves.select("tree", "place", "hash", "size"), "g", arity)
+    kept = F.struct("id", "changed", F.pmod("place", F.lit(LANES)).cast("int").alias("lane")).alias("kept")
+    rows = sized.select("n.tree", "place", "hash", "size", _node("g", 0, F.col("place"), F.col("n.tree")), kept)
+    below, nodes, subroots = _levels(rows, "g", arity)
+    leaves = below.select("kept.id", F.col("hash").alias("leaf"), "kept.changed", "kept.lane", "node", "path")
     if subroots is None:
-        return Manifest(leaves.select("id", "node", F.col("hash").alias("leaf"), "changed"), nodes, None, None)
-    subroots = materialize(number_rows(subroots, ["tree"], name="rank", unique=True), "merkle-subroots")
-    over = subroots.select(F.lit(None).cast("string").alias("tree"), (F.col("rank") - 1).alias("place"), "hash")
-    above, roots = _levels(over.withColumn("size", F.lit(subroots.count())), "t", arity)
-    links = subroots.select(
+        return Manifest(leaves, nodes, None, None)
+    subroots = materialize(number_rows(subroots, ["tree"], name="place", unique=True), "merkle-subroots")
+    over = subroots.select(
+        F.lit(None).cast("string").alias("tree"),
+        (F.col("place") - 1).alias("place"),
+        "hash",
+        F.lit(subroots.count()).alias("size"),
         "node",
-        _node("t", F.lit(0), F.col("rank") - 1, F.lit(None)).alias("parent"),
-        _no_steps().alias("path"),
-        F.col("hash").alias("subroot"),
+        F.struct("node", "dealt").alias("kept"),
     )
-    linked = [t.withColumn("subroot", F.lit(None).cast("binary")) for t in (nodes, above)]
-    top = roots.first()  # one row
-    return Manifest(
-        leaves.select("id", "node", F.col("hash").alias("leaf"), "changed"),
-        linked[0].unionByName(links).unionByName(linked[1]),
-        top["node"],
-        bytes(top["hash"]).hex(),
+    first, above, last = _levels(over, "t", arity)
+    first = first.where("kept.node <> node").select(
+        "kept.node", "kept.dealt", F.col("node").alias("parent"), "path", F.col("hash").alias("subroot")
     )
+    linked = nodes.unionByName(above).withColumn("subroot", F.lit(None).cast("binary")).unionByName(first)
+    lanes = F.when(F.col("dealt"), F.sequence(F.lit(1), F.lit(LANES))).otherwise(F.array(F.lit(0)))
+    linked = linked.select("node", F.explode(lanes).alias("spot"), "parent", "path", "subroot")
+    top = last.first()  # one row
+    return Manifest(leaves, materialize(linked, "merkle-nodes"), top["node"], bytes(top["hash"]).hex())
 
 
 def prove(tree: Manifest) -> DataFrame:
@@ -113,21 +125,25 @@ def prove(tree: Manifest) -> DataFrame:
     leaves, nodes = (f"merkle_{name}_{uuid.uuid4().hex}" for name in ("leaves", "nodes"))
     tree.leaves.createOrReplaceTempView(leaves)
     tree.nodes.createOrReplaceTempView(nodes)
+    hint = "/*+ BROADCAST(n) */" if text_bytes(tree.nodes) <= BROADCAST_BYTES else ""
+    siblings = "flatten(transform({0}, s -> concat(s.before, s.after)))"
+    folded = "aggregate({0}, {1}, (h, s) -> " + _joined("concat(s.before, array(h), s.after)") + ")"
     before = spark.conf.get(_ROW_LIMIT, None)
     spark.conf.set(_ROW_LIMIT, "-1")
     try:
         climbed = spark.sql(
             f"""
-            WITH RECURSIVE climb (id, leaf, node, subroot, siblings, folded) AS (
-                SELECT id, leaf, node, cast(NULL AS binary), cast(array() AS array<binary>), changed FROM {leaves}
+            WITH RECURSIVE climb (id, leaf, lane, node, spot, subroot, siblings, folded) AS (
+                SELECT id, leaf, lane, node, 0, cast(NULL AS binary),
+                       {siblings.format("path")}, {folded.format("path", "changed")}
+                FROM {leaves}
                 UNION ALL
-                SELECT c.id, c.leaf, n.parent, coalesce(c.subroot, n.subroot),
-                       concat(c.siblings, flatten(transform(n.path, s -> concat(s.before, s.after)))),
-                       aggregate(n.path, c.folded, (h, s) -> {_joined("concat(s.before, array(h), s.after)")})
-                FROM climb c JOIN {nodes} n ON c.node = n.node
+                SELECT {hint} c.id, c.leaf, c.lane, n.parent, c.lane + 1, coalesce(c.subroot, n.subroot),
+                       concat(c.siblings, {siblings.format("n.path")}), {folded.format("n.path", "c.folded")}
+                FROM climb c JOIN {nodes} n ON c.node = n.node AND c.spot = n.spot
             )
-            SELECT id, leaf, subroot, unhex('{tree.root}') AS root, siblings, folded
-            FROM climb WHERE node = '{tree.root_node}'
+            SELECT id, leaf, coalesce(subroot, unhex('{tree.root}')) AS subroot, unhex('{tree.root}') AS root, siblings, folded
+            FROM climb WHERE node = {_quoted(tree.root_node)}
             """
         )
         return materialize(climbed, "merkle-proofs")
@@ -155,15 +171,14 @@ def check_documents(docs: DataFrame, tampered: Column, arity: int = ARITY) -> Da
     )
 
 
-def _node(kind: str, level: Column, place: Column, tree: Column) -> Column:
+def _node(kind: str, level: int, place: Column, tree: Column) -> Column:
     """The name of a node: no two have the same, since its numbers come first."""
-    name = F.concat(level.cast("string"), F.lit("."), place.cast("string"))
-    named = F.concat(F.lit(kind), name, F.lit("."), tree.cast("string"))
-    return F.coalesce(named, F.concat(F.lit(kind), name))
+    name = F.concat(F.lit(f"{kind}{level}."), place.cast("string"))
+    return F.coalesce(F.concat(name, F.lit("."), tree.cast("string")), name).alias("node")
 
 
-def _no_steps() -> Column:
-    return F.expr("cast(array() AS array<struct<before: array<binary>, after: array<binary>>>)")
+def _quoted(text: str) -> str:
+    return f"decode(unhex('{text.encode().hex()}'), 'UTF-8')"
 
 
 def _joined(hashes: str) -> str:
@@ -171,34 +186,42 @@ def _joined(hashes: str) -> str:
     return f"unhex(sha2(array_join(transform({hashes}, x -> lower(hex(x))), ''), 256))"
 
 
-def _levels(rows: DataFrame, kind: str, arity: int) -> tuple[DataFrame, DataFrame | None]:
-    """Links of all stored levels over ``rows`` (tree, place, hash, size), and the last node of each tree.
+def _levels(rows: DataFrame, kind: str, arity: int) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """The tree over ``rows`` (tree, place, hash, size, node, kept).
 
-    As many rounds as the largest tree has stored levels; each is written and an ``arity``-to-``BLOCK``
-    part of the one below.
+    The rows again, with the ``path`` up and ``node`` as the node it leads to; the linked nodes above them (``dealt``:
+    more than a block of rows come by); and the last node of each tree. As many rounds as the largest
+    tree has stored levels; each is written and an ``arity``-to-``BLOCK`` part of the one below.
     """
     steps = max(1, next(n for n in range(64) if arity ** (n + 1) > BLOCK))
     block = arity**steps
-    links, tops, level = [], [], 0
+    # Trees of one row: no path, and the row is the last node.
+    lone = rows.where("size = 1").withColumn("path", F.expr(f"cast(array() AS {_PATH})"))
+    start, links, tops = [lone.select("hash", "kept", "node", "path")], [], []
+    tops.append(lone.select("tree", "node", "hash", F.lit(False).alias("dealt")))
     largest = rows.agg(F.max("size")).first()[0]
-    while largest is not None:
-        named = rows.withColumn("node", _node(kind, F.lit(level), F.col("place"), F.col("tree")))
-        tops.append(named.where("size = 1").select("tree", "node", "hash"))
-        if largest == 1:
-            break
+    level = 0
+    while largest is not None and largest > 1:
         level += 1
-        built = materialize(_blocks(named.where("size > 1"), kind, level, arity, steps), "merkle-level")
-        links.append(built.select("node", "parent", "path"))
+        built = materialize(_blocks(rows.where("size > 1"), kind, level, arity, steps), "merkle-level")
+        if level == 1:
+            start.append(built.select("hash", "kept", F.col("parent").alias("node"), "path"))
+        else:
+            links.append(built.select("node", "parent", "path", F.lit(kind == "t" or level > 2).alias("dealt")))
         rows = built.where(F.col("place") % block == 0).select(
             "tree",
             F.floor(F.col("place") / block).cast("long").alias("place"),
             F.col("up").alias("hash"),
             F.ceil(F.col("size") / block).cast("long").alias("size"),
+            F.col("parent").alias("node"),
+            F.lit(None).alias("kept"),
         )
+        tops.append(rows.where("size = 1").select("tree", "node", "hash", F.lit(level > 1).alias("dealt")))
         largest = -(-largest // block)
-    # Without a row where no tree has two nodes.
-    none = rows.where("false").select(F.lit("").alias("node"), F.lit("").alias("parent"), _no_steps().alias("path"))
-    return reduce(DataFrame.union, links or [none]), reduce(DataFrame.union, tops) if tops else None
+    if not links:
+        links = [lone.where("false").select("node", F.col("node").alias("parent"), "path", F.lit(False).alias("dealt"))]
+    nodes = reduce(DataFrame.union, links)
+    return reduce(DataFrame.union, start), nodes, reduce(DataFrame.union, tops) if largest is not None else None
 
 
 def _blocks(rows: DataFrame, kind: str, level: int, arity: int, steps: int) -> DataFrame:
@@ -207,9 +230,9 @@ def _blocks(rows: DataFrame, kind: str, level: int, arity: int, steps: int) -> D
     above = F.floor(F.col("place") / block).cast("long")
     grouped = rows.groupBy("tree", above.alias("above")).agg(
         F.max("size").alias("size"),
-        F.array_sort(F.collect_list(F.struct("place", "node", "hash"))).alias("members"),
+        F.sort_array(F.collect_list(F.struct("place", F.struct("node", "hash", "kept").alias("is")))).alias("members"),
     )
-    held = grouped.withColumn("l0", F.col("members.hash"))
+    held = grouped.withColumn("l0", F.col("members.is.hash"))
     path = []
     for j in range(steps):
         fold = _joined(f"slice(l{j}, cast(i * {arity} + 1 AS int), {arity})")
@@ -224,9 +247,9 @@ def _blocks(rows: DataFrame, kind: str, level: int, arity: int, steps: int) -> D
         )
         path.append(f"CASE WHEN {there} THEN {step} END")
     member = (
-        "transform(members, (m, k) -> named_struct('place', m.place, 'node', m.node, 'path', "
+        "transform(members, (m, k) -> named_struct('place', m.place, 'is', m.is, 'path', "
         f"filter(array({', '.join(path)}), s -> s IS NOT NULL)))"
     )
     each = held.select("tree", "above", "size", F.col(f"l{steps}")[0].alias("up"), F.explode(F.expr(member)).alias("m"))
-    parent = _node(kind, F.lit(level), F.col("above"), F.col("tree"))
-    return each.select("tree", "m.place", "size", "m.node", parent.alias("parent"), "up", "m.path")
+    parent = _node(kind, level, F.col("above"), F.col("tree")).alias("parent")
+    return each.select("tree", "m.place", "size", "m.is.node", "m.is.hash", "m.is.kept", parent, "up", "m.path")

@@ -75,9 +75,10 @@ def test_edges(spark, edge_docs, arity):
     assert sorted((tuple(r) for r in found.collect()), key=str) == expected(rows_of(docs), arity)
 
 
-@pytest.mark.parametrize("n", [1, 2, 63, 64, 65, 129, 4097])
-def test_sizes(spark, n):
-    """One group alone, up to and beyond the blocks of a stored level."""
+@pytest.mark.parametrize("n, block", [(1, 4), (2, 4), (4, 4), (5, 4), (16, 4), (17, 4), (70, 4), (1025, 1024), (300, 1)])
+def test_sizes(spark, monkeypatch, n, block):
+    """One group alone, up to and beyond the blocks of some stored levels."""
+    monkeypatch.setattr("ledgerline.llm.merkle.BLOCK", block)
     docs = spark.range(n).select(
         F.col("id").alias("doc_id"), F.lit("s").alias("source"), F.lit("en").alias("lang"),
         F.col("id").alias("n_chars"), F.col("id").cast("string").alias("text"),
@@ -86,7 +87,10 @@ def test_sizes(spark, n):
     assert sorted((tuple(r) for r in found.collect()), key=str) == expected(rows_of(docs))
 
 
-def test_many_groups(spark):
+@pytest.mark.parametrize("block, limit", [(1024, 1 << 25), (4, 0)])
+def test_many_groups(spark, monkeypatch, block, limit):
+    monkeypatch.setattr("ledgerline.llm.merkle.BLOCK", block)
+    monkeypatch.setattr("ledgerline.llm.merkle.BROADCAST_BYTES", limit)
     docs = spark.range(300).select(
         F.col("id").alias("doc_id"), F.lit(None).cast("string").alias("source"),
         F.when(F.col("id") % 3 > 0, F.concat(F.lit("é."), (F.col("id") % 150).cast("string"))).alias("lang"),
@@ -110,5 +114,5 @@ def test_setting_is_put_back(spark, edge_docs, conf):
     assert spark.conf.get("spark.sql.cteRecursionRowLimit") == "5"
     # Links lead from every node but the root to one parent.
     nodes = tree.nodes.collect()
-    assert len({r.node for r in nodes}) == len(nodes)
+    assert len({(r.node, r.spot) for r in nodes}) == len(nodes)
     assert {r.parent for r in nodes} - {r.node for r in nodes} == {tree.root_node}
