@@ -1,0 +1,116 @@
+"""Messages that fail are tried again by themselves, and receipts say how it ended."""
+
+from __future__ import annotations
+
+import time
+
+import pytest
+from pyspark.sql import functions as F, types as T
+
+from ledgerline.streaming.messages import arriving_messages
+from ledgerline.streaming.retry import await_settled, lookup_attempts, read_attempts, read_receipts, stream_retry
+
+SOON = {"processingTime": "0 seconds"}
+FIELDS = T.StructType([T.StructField("k", T.LongType())])
+
+
+def failing(times):
+    """An attempt that fails as often as ``times`` says, by id."""
+
+    def attempt(deliveries):
+        fails = F.coalesce(F.create_map(*[F.lit(x) for i, n in times.items() for x in (i, n)])[F.col("id")], F.lit(0))
+        ok = F.col("attempt") > fails
+        return deliveries.select("id", "attempt", ok.alias("ok"), F.when(~ok, F.lit("no answer")).alias("error"), "value")
+
+    return attempt
+
+
+def arriving(spark, folder):
+    return arriving_messages(spark, str(folder)).select(F.get_json_object("value", "$.i").alias("id"), "value")
+
+
+def drop(folder, name, *texts):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text("\n".join(texts) + "\n")
+
+
+def receipts(spark, out):
+    return {r.id: (r.status, r.attempts, r.copies, r.error) for r in read_receipts(spark, str(out)).collect()}
+
+
+@pytest.mark.parametrize("provider", ["RocksDBStateStoreProvider", "HDFSBackedStateStoreProvider"])
+def test_each_message_by_itself(spark, tmp_path, conf, provider):
+    conf(spark__sql__streaming__stateStore__providerClass=f"org.apache.spark.sql.execution.streaming.state.{provider}")
+    inbox, out, log = (tmp_path / n for n in ("in", "out", "log"))
+    drop(inbox, "1", *['{"i":"%d"}' % i for i in range(20)], '{"i":"3"}', "no id", "no id", "")
+    times = {"0": 1, "1": 2, "2": 9}
+    query = stream_retry(arriving(spark, inbox), failing(times), str(out), str(log), 3, 0.1, SOON)
+    await_settled(query, 120)
+    found = receipts(spark, out)
+    plain = ("acknowledged", 1, 1, None)
+    assert found.pop("0") == ("acknowledged", 2, 1, None) and found.pop("1") == ("acknowledged", 3, 1, None)
+    assert found.pop("2") == ("given_up", 3, 1, "no answer") and found.pop("3") == ("acknowledged", 1, 2, None)
+    unnamed = {k: v for k, v in found.items() if k.startswith("text ")}
+    assert sorted(v[2] for v in unnamed.values()) == [1, 2]
+    assert all(found[str(i)] == plain for i in range(4, 20)) and len(found) == 18
+    tried = read_attempts(spark, str(out))
+    # The others were tried once: a message that fails does not bring them again.
+    counts = {r.id: r["count"] for r in tried.groupBy("id").count().collect()}
+    assert {i: n for i, n in counts.items() if n > 1} == {"0": 2, "1": 3, "2": 3}
+    assert tried.count() == 22 + 1 + 2 + 2 and "value" in tried.columns
+
+
+def test_state_outlives_a_restart(spark, tmp_path):
+    """Stopped while a message waits: it is tried again when the stream runs again, and a new text joins in."""
+    inbox, out, log = (tmp_path / n for n in ("in", "out", "log"))
+    drop(inbox, "1", '{"i":"a"}', '{"i":"b"}')
+
+    def start(delay):
+        return stream_retry(arriving(spark, inbox), failing({"a": 1}), str(out), str(log), 3, delay, SOON)
+
+    query = start(3)
+    until = time.monotonic() + 60
+    while time.monotonic() < until and not list(out.glob("receipts/*/_SUCCESS")):
+        time.sleep(0.2)
+    query.stop()
+    assert set(receipts(spark, out)) == {"b"}
+    drop(inbox, "2", '{"i":"c"}')
+    await_settled(start(3), 120)
+    assert receipts(spark, out) == {
+        "a": ("acknowledged", 2, 1, None), "b": ("acknowledged", 1, 1, None), "c": ("acknowledged", 1, 1, None)
+    }
+
+
+def test_an_id_may_come_again(spark, tmp_path):
+    inbox, out, log = (tmp_path / n for n in ("in", "out", "log"))
+    for name in ("1", "2"):
+        drop(inbox, name, '{"i":"a"}')
+        await_settled(stream_retry(arriving(spark, inbox), failing({"-": 1}), str(out), str(log), 3, 1, SOON), 120)
+    rows = read_receipts(spark, str(out)).collect()
+    assert [(r.id, r.status, r.copies) for r in rows] == [("a", "acknowledged", 1)] * 2
+
+
+def test_lookup_attempts(spark):
+    def connect():
+        def call(key):
+            if key == 3:
+                raise OSError("down")
+            return (404 if key == 2 else 200), '{"exists": true}'
+
+        return call
+
+    rows = [("a", '{"k":1}', 1), ("b", '{"k":2}', 1), ("c", '{"k":3}', 2), ("d", "broken", 1), ("e", "{}", 1), ("f", None, 1)]
+    tried = lookup_attempts(FIELDS, "k", connect, tasks=2)(spark.createDataFrame(rows, "id string, value string, attempt int"))
+    assert sorted(tuple(r) for r in tried.collect()) == [
+        ("a", 1, True, None, True), ("b", 1, True, None, False), ("c", 2, False, "down", None),
+        ("d", 1, False, "bad_json", None), ("e", 1, True, None, False), ("f", 1, False, "bad_json", None),
+    ]
+
+
+def test_waiting_has_an_end(spark, tmp_path):
+    inbox, out, log = (tmp_path / n for n in ("in", "out", "log"))
+    drop(inbox, "1", '{"i":"a"}')
+    query = stream_retry(arriving(spark, inbox), failing({"a": 5}), str(out), str(log), 9, 60, SOON)
+    with pytest.raises(TimeoutError):
+        await_settled(query, 8)
+    assert not query.isActive
