@@ -129,7 +129,7 @@ ORACLES: dict[str, str] = {
     "lookup_request_count": """
         SELECT 'extract' AS stage, count(DISTINCT c_nationkey) AS records FROM customer
         UNION ALL
-        SELECT 'message', count(DISTINCT c_nationkey) FROM customer WHERE c_nationkey % 5 <> 0
+        SELECT 'message', count(DISTINCT c_nationkey) FROM customer
     """,
     "distinct_values": "SELECT DISTINCT c_mktsegment FROM customer",
     "first_record": f"{RECORDS} ORDER BY rec_id LIMIT 1",
@@ -205,6 +205,20 @@ ORACLES: dict[str, str] = {
         SELECT c_custkey, c_name, s_suppkey IS NOT NULL AS "exists", s_name
         FROM customer LEFT JOIN supplier ON c_custkey = s_suppkey
     """,
+    "stream_retry": """
+        SELECT event_id, CASE event_id % 10 WHEN 0 THEN 'given_up' ELSE 'acknowledged' END AS status,
+               CASE event_id % 10 WHEN 0 THEN 3 WHEN 1 THEN 2 WHEN 2 THEN 3 ELSE 1 END AS attempts,
+               CASE event_id % 10 WHEN 0 THEN 'no answer' ELSE 'none' END AS error
+        FROM events
+    """,
+    "stream_file_events": PARSED,
+    "stream_receives": """
+        WITH parts AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 0 ELSE 1 END AS part FROM events),
+        placed AS (SELECT *, row_number() OVER (PARTITION BY part ORDER BY event_id) - 1 AS i FROM parts)
+        SELECT part * (SELECT count(*) FROM parts WHERE part = 0) + i // 10 * 10 AS receive, count(*) AS records,
+               min(event_id) AS first_event, max(event_id) AS last_event
+        FROM placed GROUP BY 1
+    """,
     **USER_SQL,
     "sql_price_summary": """
         SELECT l_returnflag, l_linestatus, count(*) AS n_lines,

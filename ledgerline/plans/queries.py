@@ -17,6 +17,7 @@ from ledgerline.operators.numbering import message_batches, number_rows
 from ledgerline.operators.records import REASON, parse_records, parse_rejects
 from ledgerline.operators.summary import result_line, run_summary
 from ledgerline.plans.jobs import land, process_messages, publish_files, trace_lines
+from ledgerline.plans.stream_queries import STREAM_QUERIES
 from ledgerline.plans.views import (
     clean_line,
     faulty_line,
@@ -265,7 +266,7 @@ def lookup_request_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The calls that are made: one per distinct key when customers are landed, and when they come as messages."""
     ship_package(spark)
     landed = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    handled = parse_messages(to_messages(landed.where("c_nationkey % 5 <> 0")), landed.schema)
+    handled = parse_messages(to_messages(landed), landed.schema)
     calls = [
         ask_keys(records, "c_nationkey", nation_service, tasks=8).select(F.lit(stage).alias("stage"))
         for stage, records in (("extract", landed), ("message", handled))
@@ -574,5 +575,6 @@ QUERIES: dict[str, Query] = {
     "stream_dedupe": stream_dedupe,
     "stream_messages": stream_messages_summary,
     "stream_lookup": stream_lookup_customers,
+    **STREAM_QUERIES,
     **{name: user_sql(query) for name, query in USER_SQL.items()},
 }
