@@ -75,6 +75,58 @@ class PerfectHash:
         return slot if self.keys[slot] == key else -1
 
 
+# Classes whose members depend on the version of Unicode that a library knows.
+CLASSES = (r"\p{L}", r"\p{N}", r"\s", r"\S")
+
+
+def every_character() -> str:
+    return "".join(map(chr, (*range(0xD800), *range(0xE000, 0x110000))))
+
+
+def library_class(name: str, text: str) -> str:
+    """The characters of ``text`` that the tokenizer library takes as members of a class.
+
+    The library encodes what its pattern matches and passes over the rest; with the 256 bytes as its only tokens
+    the ids are the bytes of the members.
+    """
+    import tiktoken
+
+    bytes_only = {bytes([b]): b for b in range(256)}
+    asked = tiktoken.Encoding("members", pat_str=name, mergeable_ranks=bytes_only, special_tokens={})
+    return bytes(asked.encode_ordinary(text)).decode()
+
+
+def class_ranges(members: str) -> str:
+    """Members in ascending order as ranges, to stand between brackets."""
+    codes = np.array([ord(c) for c in members], np.int64)
+    cut = np.nonzero(np.diff(codes, prepend=-2) != 1)[0]
+    ends = np.append(cut[1:], len(codes)) - 1
+    return "".join(f"\\U{codes[a]:08x}-\\U{codes[b]:08x}" for a, b in zip(cut, ends))
+
+
+@lru_cache(maxsize=1)
+def unicode_differences() -> tuple[dict[str, str], frozenset[str]]:
+    """The library's classes as ranges, and all characters that belong to a class here but not there or the reverse."""
+    text, ranges_of, odd = every_character(), {}, set()
+    for name in CLASSES:
+        theirs = library_class(name, text)
+        ranges_of[name] = class_ranges(theirs)
+        odd |= set(theirs) ^ set(regex.findall(name, text))
+    return ranges_of, frozenset(odd)
+
+
+def with_classes(pattern: str, ranges_of: dict[str, str]) -> str:
+    """``pattern`` with each class spelled out."""
+    out, inside = [], False
+    for part in regex.findall(r"\\p\{\w+\}|\\.|.", pattern, regex.DOTALL):
+        if part in ranges_of:
+            out.append(ranges_of[part] if inside else f"[{ranges_of[part]}]")
+            continue
+        inside = (inside or part == "[") and part != "]"
+        out.append(part)
+    return "".join(out)
+
+
 class Encoder:
     """Ids of pre-tokens: the whole pre-token by perfect hash, else by merging its bytes."""
 
@@ -83,6 +135,11 @@ class Encoder:
         self.whole = PerfectHash(list(self.ranks))
         self.ids = [self.ranks[key] for key in self.whole.keys]
         self.split = regex.compile(pattern).findall
+        # Most texts hold no character that another version of Unicode sees otherwise, and single classes are fast.
+        ranges_of, self.odd = unicode_differences()
+        self.split_odd = regex.compile(with_classes(pattern, ranges_of)).findall if self.odd else self.split
+        lowest = min(map(ord, self.odd), default=0x10FFFF)
+        self.may_be_odd = regex.compile(f"[\\U{lowest:08x}-\\U0010ffff]").search
         self.blank_edge = regex.compile(r"\A\s|\s\Z").search
         self.known: dict[str, bytes] = {}
         self.made: dict[str, bytes] = {}
@@ -137,6 +194,8 @@ class Encoder:
         """
         if not text:
             return b""
+        if not text.isascii() and self.may_be_odd(text) and not self.odd.isdisjoint(text):
+            return self.pieces(text, self.split_odd)
         first, *words = text.replace("\n", " \n").split(" ")
         if not first or self.blank_edge(first):
             return self.pieces(text)
@@ -154,9 +213,9 @@ class Encoder:
             add(ids)
         return b"".join(found)
 
-    def pieces(self, text: str) -> bytes:
+    def pieces(self, text: str, split=None) -> bytes:
         made, out = self.made, []
-        for piece in self.split(text):
+        for piece in (split or self.split)(text):
             ids = made.get(piece)
             if ids is None:
                 if len(made) >= PIECES:

@@ -21,6 +21,20 @@ def ours(text: str) -> list[int]:
     return np.frombuffer(encoder(PATH, PATTERN).encode(text), np.int32).tolist()
 
 
+def test_every_character_in_every_place(theirs):
+    """All code points, where it shows whether they are letters, numbers, blanks or none of these."""
+    for chunk in range(0, 0x110000, 4096):
+        chars = [chr(c) for c in range(chunk, chunk + 4096) if not 0xD800 <= c < 0xE000]
+        for text in ("".join(f"{c}'s" for c in chars), "".join(f"a{c}b1{c}2 {c}" for c in chars)):
+            assert ours(text) == theirs.encode_ordinary(text)
+
+
+@pytest.mark.parametrize("char", ["\u0558", "\u058b", "\u088f", "\U0003d000"])
+def test_characters_of_a_later_unicode(theirs, char):
+    for text in (f"{char}'s", f"word {char} word", f"{char}1 a{char}b {char}{char}\n\n{char} x"):
+        assert ours(text) == theirs.encode_ordinary(text)
+
+
 def test_perfect_hash_is_minimal():
     keys = [f"k{n}".encode() for n in range(5_000)]
     table = PerfectHash(keys)
