@@ -84,18 +84,30 @@ def projections(dim: int, tables: int) -> np.ndarray:
 
 
 class Cells:
-    """Per table: the own cell of each vector and the cells that it asks for besides, labels included."""
-
-    def __init__(self, unit: np.ndarray, label: np.ndarray, tables: int, probes: int, cell: float) -> None:
-        steps, salt = shortest_e8(), mix(label.astype(_U) + _U(7))
-        self.own, self.near = [], []
-        for table, matrix in enumerate(projections(unit.shape[1], tables)):
-            x = unit @ matrix / cell
-            own = nearest_e8(x)
-            # |gap - step|^2 = |gap|^2 - 2 gap.step + 8: the nearest cells have the largest product.
-            closest = np.argsort(-((2 * x - own) @ steps.T), axis=1, kind="stable")[:, :probes]
-            self.own.append(cell_hash(own, table) ^ salt)
-            self.near.append(cell_hash(own[:, None, :] + steps[closest], table) ^ salt[:, None])
+    """Per table: the own cell of each vector and the cells that it asks for besides, labels and lengths included.
+
+    Nothing here depends on the other vectors at hand, so every task finds the same cells for a vector:
+    lengths are taken one by one, without padding, and products are summed row by row.
+    """
+
+    def __init__(
+        self, vector: np.ndarray, size: np.ndarray, label: np.ndarray, tables: int, probes: int, cell: float
+    ) -> None:
+        n, steps = len(vector), shortest_e8()
+        salt = mix(mix(label.astype(_U) + _U(7)) + size.astype(_U))
+        self.own = [np.zeros(n, _U) for _ in range(tables)]
+        self.near = [np.zeros((n, probes), _U) for _ in range(tables)]
+        for dim in np.unique(size):
+            rows = np.nonzero(size == dim)[0]
+            unit = np.ascontiguousarray(vector[rows, :dim])
+            unit /= np.sqrt((unit * unit).sum(1))[:, None]
+            for table, matrix in enumerate(projections(int(dim), tables)):
+                x = np.einsum("ij,jk->ik", unit, matrix) / cell
+                own = nearest_e8(x)
+                # |gap - step|^2 = |gap|^2 - 2 gap.step + 8: the nearest cells have the largest product.
+                closest = np.argsort(-np.einsum("ij,kj->ik", 2 * x - own, steps), axis=1, kind="stable")[:, :probes]
+                self.own[table][rows] = cell_hash(own, table) ^ salt[rows]
+                self.near[table][rows] = cell_hash(own[:, None, :] + steps[closest], table) ^ salt[rows, None]
 
     def meet(self, table: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether a asks for the cell of b or b for the cell of a."""
@@ -119,6 +131,10 @@ def _vectors(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, usable
 
 
+def _sizes(column: pa.Array) -> np.ndarray:
+    return column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def usable_vector(name: str) -> Column:
     """Whether a vector can be compared: not null, not zero, all components there and finite."""
     finite = ~F.exists(name, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
@@ -192,8 +208,8 @@ def _compared(classes: DataFrame, cosine: float, tables: int, probes: int, cell:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            unit, label = _unit(batch)
-            code, n = np.unique(np.concatenate(Cells(unit, label, tables, 0, cell).own), return_counts=True)
+            at = Cells(*_filed(batch), tables, 0, cell)
+            code, n = np.unique(np.concatenate(at.own), return_counts=True)
             yield pa.RecordBatch.from_pydict({"cell": code.view(np.int64), "n": n})
 
     total = classes.count()
@@ -214,9 +230,8 @@ def _compared(classes: DataFrame, cosine: float, tables: int, probes: int, cell:
 
     def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            unit, label = _unit(batch)
             node = batch.column("node").to_numpy()
-            at = Cells(unit, label, tables, probes, cell)
+            at = Cells(*_filed(batch), tables, probes, cell)
             own = np.concatenate(at.own)
             who = np.tile(np.arange(len(node)), tables)
             asked = np.concatenate([own, *(n.ravel() for n in at.near)])
@@ -257,7 +272,8 @@ def _entries(place: int, batch: pa.RecordBatch, code: np.ndarray, asks: np.ndarr
 def _met(table: pa.Table, cosine: float, tables: int, probes: int, cell: float) -> pa.Table:
     counts = [len(x) for x in table.column("node").to_pylist()]
     node, label, copies = (np.concatenate([c.values.to_numpy() for c in table.column(n).chunks]) for n in _CARRIED[:3])
-    vector, _ = _vectors(pa.concat_arrays([c.values for c in table.column("vector").chunks]))
+    vectors = pa.concat_arrays([c.values for c in table.column("vector").chunks])
+    vector, size = _vectors(vectors)[0], _sizes(vectors)
     code, asks, at = (
         np.concatenate([np.frombuffer(b, kind) for b in table.column(name).to_pylist()])
         for name, kind in (("cells", _U), ("asks", bool), ("at", np.int64))
@@ -265,7 +281,7 @@ def _met(table: pa.Table, cosine: float, tables: int, probes: int, cell: float)
     sizes = [len(b) // 8 for b in table.column("cells").to_pylist()]
     at = at + np.repeat(np.cumsum(counts) - counts, sizes)
     norm = (vector * vector).sum(1)
-    where = Cells(vector / np.sqrt(norm)[:, None], label, tables, probes, cell)
+    where = Cells(vector, size, label, tables, probes, cell)
     others = np.zeros(len(node), np.int64)
     stars: list[tuple[np.ndarray, np.ndarray]] = []
     order = np.lexsort((asks, code))
@@ -276,7 +292,8 @@ def _met(table: pa.Table, cosine: float, tables: int, probes: int, cell: float)
             for b0 in range(0, len(filed), BLOCK):
                 a, b = asking[a0 : a0 + BLOCK], filed[b0 : b0 + BLOCK]
                 cosines = (vector[a] @ vector[b].T) / np.sqrt(norm[a][:, None] * norm[b][None, :])
-                i, j = np.nonzero((cosines >= cosine) & (label[a][:, None] == label[b][None, :]))
+                alike = (label[a][:, None] == label[b][None, :]) & (size[a][:, None] == size[b][None, :])
+                i, j = np.nonzero((cosines >= cosine) & alike)
                 a, b = a[i], b[j]
                 first = _first_meeting(where, a, b, node, code[some[0]])
                 a, b = a[first], b[first]
@@ -311,6 +328,6 @@ def _first_meeting(where: Cells, a: np.ndarray, b: np.ndarray, node: np.ndarray,
     return counts & ((node[a] < node[b]) | ~same & ~where.asks(table, b, a))
 
 
-def _unit(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    vectors, _ = _vectors(batch.column("vector"))
-    return vectors / np.linalg.norm(vectors, axis=1)[:, None], batch.column("label").to_numpy()
+def _filed(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    vectors = batch.column("vector")
+    return _vectors(vectors)[0], _sizes(vectors), batch.column("label").to_numpy()

@@ -158,3 +158,19 @@ def test_empty(vectors):
     none = vectors.limit(0)
     assert nearest(none, F.col("vec_id") % 20 == 0).count() == 0
     assert near_duplicate_vectors(none).count() == 0
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_lengths_never_meet(spark, conf, adaptive):
+    """A vector of another length changes nothing for the others, in whichever task it is."""
+    conf(spark__sql__adaptive__enabled=adaptive)
+    r = np.random.default_rng(9)
+    rows = [(k, r.standard_normal(16).astype(np.float32).tolist(), k % 2) for k in range(400)]
+    rows += [(1_000 + k, rows[k][1], k % 2) for k in range(30)]
+    rows += [(2_000, r.standard_normal(24).tolist(), 0), (2_001, [1, 0.5, *[0.0] * 6], 0), (2_002, [1, 0.5, *[0.0] * 10], 0)]
+    rows += [(2_003, [2.0, 1.0, *[0.0] * 6], 0)]
+    rows = [(i, [float(np.float32(x)) for x in v], p) for i, v, p in rows]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(7)
+    got = {r.id: (r.n_links, r.component) for r in near_duplicate_vectors(table).collect()}
+    assert got == {i: (n, c) for i, n, c, _ in brute.linked_vectors(rows)}
+    assert got[2_001] == (1, 2_001) and got[2_003] == (1, 2_001) and got[2_002] == (0, 2_002)
