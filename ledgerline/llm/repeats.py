@@ -26,6 +26,7 @@ from dataclasses import dataclass, replace
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
@@ -36,6 +37,7 @@ CHUNK_BYTES = 1_000_000
 SLICE_TOKENS = 1 << 16
 BUCKET_BYTES = 6_000_000
 HOT = 2_000
+LONG_WORD = 64
 
 LAST_ID = np.iinfo(np.int64).max
 
@@ -141,6 +143,9 @@ def split_words(data: np.ndarray, offsets: np.ndarray) -> Tokens:
     ends[edges - 1] = inside[edges - 1]
     first, end = np.nonzero(starts)[0], np.nonzero(ends)[0] + 1
     codes = SpanHash(BYTE_CODES[data])(first, end)
+    # Sums modulo a power of two can be made equal by words of a thousand bytes: long ones get another hash.
+    for k in np.nonzero(end - first > LONG_WORD)[0].tolist():
+        codes[k] = xxhash.xxh64_intdigest(data[first[k] : end[k]].tobytes(), _BASE)
     return Tokens(codes, np.searchsorted(first, offsets), first, end)
 
 

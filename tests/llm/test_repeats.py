@@ -110,3 +110,14 @@ def test_gram_must_fit():
 
 def test_task_is_replaceable():
     assert replace(byte_task("doc_id", "text", 50, 16), buckets=7).buckets == 7
+
+
+def test_words_made_to_have_equal_sums(spark):
+    """Two words of 1,024 characters by the Thue-Morse rule, whose sums modulo 2**64 are equal in any base."""
+    bits = [bin(k).count("1") % 2 for k in range(1_024)]
+    one, other = ("".join("ab"[b ^ flip] for b in bits) for flip in (0, 1))
+    start = " ".join(f"w{k}" for k in range(34))
+    rows = [(1, f"{start} {one}"), (2, f"{start} {other}"), (3, f"{start} {one} x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert by_words(drop_repeated_words(docs)) == sorted(brute.repeated_words(rows, 35), key=repr)
+    assert [r.n_removed for r in drop_repeated_words(docs).orderBy("doc_id").collect()] == [35, 0, 35]
