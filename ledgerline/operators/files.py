@@ -14,4 +14,5 @@ def path_filter(files: DataFrame, column: str, prefix: str = "", suffix: str = "
 
 def unseen(files: DataFrame, seen: DataFrame, key: str, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Rows of ``files`` whose ``key`` is not among those of ``seen``."""
-    return keyed_join(files, seen.select(key).distinct(), key, "left_anti", broadcast_bytes)
+    names = seen.select(key)
+    return keyed_join(files, names.distinct(), key, "left_anti", broadcast_bytes, measure=names)

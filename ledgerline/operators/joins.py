@@ -70,13 +70,13 @@ def keyed_join(
         return left.join(right.hint("shuffle_merge"), key, how)
     dealt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
     everywhere = F.sequence(F.lit(0), F.lit(SALTS - 1))
-    salted = left.withColumn(_SALT, F.when(_one_of(F.col(key), hot), dealt).otherwise(0))
-    places = F.when(_one_of(F.col(key), hot), everywhere).otherwise(F.array(F.lit(0)))
+    salted = left.withColumn(_SALT, F.when(one_of(F.col(key), hot), dealt).otherwise(0))
+    places = F.when(one_of(F.col(key), hot), everywhere).otherwise(F.array(F.lit(0)))
     repeated = right.withColumn(_SALT, F.explode(places))
     return salted.join(repeated.hint("shuffle_merge"), [key, _SALT], how).drop(_SALT)
 
 
-def _one_of(key: Column, values: list) -> Column:
+def one_of(key: Column, values: list) -> Column:
     """Never null, also for a null key."""
     named = [v for v in values if v is not None]
     among = F.coalesce(key.isin(named), F.lit(False)) if named else F.lit(False)

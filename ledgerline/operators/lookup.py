@@ -53,35 +53,50 @@ class Lookup:
         return joined.select(*records.columns, F.coalesce("exists", F.lit(False)).alias("exists"), *self.answers)
 
 
-def prepare_lookup(
+def one_per_key(
     table: DataFrame,
     key: str,
     table_key: str | None = None,
     answers: Sequence[str] = (),
     exists_column: str | None = None,
     status_column: str | None = None,
-    broadcast_bytes: int = BROADCAST_BYTES,
-    keep: bool = False,
-) -> Lookup:
-    """One row per key of ``table``, measured once; ``keep`` writes it, for many uses."""
+) -> DataFrame:
+    """``key``, ``exists`` and the answers of each key of ``table``, once; the row that wins as in :func:`lookup_exists`."""
+    entries = _entries(table, key, table_key, answers, exists_column, status_column)
+    if not answers:
+        return entries.groupBy(key).agg(F.bool_or("exists").alias("exists"))
+    best = F.min(F.struct((~F.col("exists")).alias("absent"), *answers)).alias("best")
+    taken = [F.col(f"best.{a}").alias(a) for a in answers]
+    return entries.groupBy(key).agg(best).select(key, (~F.col("best.absent")).alias("exists"), *taken)
+
+
+def _entries(
+    table: DataFrame, key: str, table_key: str | None, answers: Sequence[str], exists_column: str | None, status_column: str | None
+) -> DataFrame:
     exists = F.col(exists_column) if exists_column else F.lit(True)
     if status_column:
         exists = F.when(F.col(status_column) == 200, exists).otherwise(F.lit(False))
     exists = F.coalesce(exists, F.lit(False))
     entries = table.select(F.col(table_key or key).alias(key), exists.alias("exists"), *answers)
-    entries = entries.where(F.col(key).isNotNull())
-    if answers:
-        best = F.min(F.struct((~F.col("exists")).alias("absent"), *answers)).alias("best")
-        one_each = (
-            entries.groupBy(key)
-            .agg(best)
-            .select(key, (~F.col("best.absent")).alias("exists"), *[F.col(f"best.{a}").alias(a) for a in answers])
-        )
-    else:
-        one_each = entries.groupBy(key).agg(F.bool_or("exists").alias("exists"))
+    return entries.where(F.col(key).isNotNull())
+
+
+def prepare_lookup(
+    table: DataFrame,
+    key: str,
+    table_key: str | None = None,
+    answers: Sequence[str] = (),
+    exists_column: str | None = None,
+    status_column: str | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    keep: bool = False,
+) -> Lookup:
+    """One row per key of ``table``, measured once; ``keep`` writes it, for many uses."""
+    form = (table, key, table_key, answers, exists_column, status_column)
+    one_each = one_per_key(*form)
     if keep:
         one_each = materialize(one_each, "lookup")
-    return Lookup(one_each, key, answers, text_bytes(one_each if keep else entries) <= broadcast_bytes)
+    return Lookup(one_each, key, answers, text_bytes(one_each if keep else _entries(*form)) <= broadcast_bytes)
 
 
 def http_caller(endpoint: str) -> Callable[[], Call]:

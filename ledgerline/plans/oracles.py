@@ -219,6 +219,38 @@ ORACLES: dict[str, str] = {
                min(event_id) AS first_event, max(event_id) AS last_event
         FROM placed GROUP BY 1
     """,
+    "stream_lookup_large": """
+        SELECT o_orderkey, o_custkey, c_custkey IS NOT NULL AS "exists", c_name
+        FROM orders LEFT JOIN customer ON o_orderkey = c_custkey
+    """,
+    "stream_lookup_versions": """
+        SELECT c_custkey, c_name, s_suppkey IS NOT NULL AS "exists", s_name, c_custkey % 2 + 1 AS version
+        FROM customer LEFT JOIN supplier ON c_custkey = s_suppkey AND (c_custkey % 2 = 1 OR s_acctbal > 0)
+    """,
+    "stream_progress": """
+        WITH kinds AS (SELECT CASE WHEN event_id % 3 = 0 THEN 0 ELSE 1 END AS batch_id, event_id % 50 <> 0 AS good FROM events)
+        SELECT batch_id, 'received' AS stage, 'records' AS "count", count(*) AS "value" FROM kinds GROUP BY 1
+        UNION ALL
+        SELECT batch_id, 'received', 'handled', count(*) FILTER (good) FROM kinds GROUP BY 1
+    """,
+    "lookup_rules": """
+        WITH fitting AS (
+            SELECT c_custkey, s_nationkey % 8 AS priority, s_suppkey % 3 AS kind, s_acctbal > 0 AS found, s_name AS answer
+            FROM customer JOIN supplier ON CASE s_suppkey % 3
+                WHEN 0 THEN c_custkey = s_suppkey
+                WHEN 1 THEN c_custkey BETWEEN s_suppkey * 7 AND s_suppkey * 7 + s_nationkey * 5
+                ELSE starts_with(CAST(c_custkey AS VARCHAR), CAST(s_suppkey AS VARCHAR)) END
+            UNION ALL SELECT c_custkey, 6, 3, false, 'nobody' FROM customer
+        ),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY c_custkey
+                ORDER BY priority, CASE kind WHEN 0 THEN 0 WHEN 2 THEN 1 WHEN 1 THEN 2 ELSE 3 END, found, answer) AS place
+            FROM fitting
+        )
+        SELECT c_custkey, found AS "exists", CASE kind WHEN 0 THEN 'exact' WHEN 1 THEN 'range' WHEN 2 THEN 'prefix' ELSE 'any' END AS rule,
+               answer
+        FROM ranked WHERE place = 1
+    """,
     **USER_SQL,
     "sql_price_summary": """
         SELECT l_returnflag, l_linestatus, count(*) AS n_lines,

@@ -11,6 +11,7 @@ from ledgerline.operators.lookup import lookup_exists, prepare_lookup
 from ledgerline.operators.messages import decode_messages
 from ledgerline.operators.records import REASON
 from ledgerline.operators.rows import keep_rows
+from ledgerline.operators.summary import watch
 from ledgerline.session import materialize
 from ledgerline.streaming.files import arrival_options
 from ledgerline.streaming.state import keyed_state
@@ -53,9 +54,11 @@ def stream_messages(
 
     A bad message does not stop the others. The checkpoint is the acknowledgement: a batch is
     committed after its rows are, and one that is repeated replaces itself. Repeated messages stay
-    unless ``dedupe`` names the key (see :func:`drop_copies`).
+    unless ``dedupe`` names the key (see :func:`drop_copies`). Each batch reports its counts ``received``: the
+    messages and how many of them were handled, copies included.
     """
     decoded = decode_messages(messages, schema, strict_fields, compat)
+    decoded = watch(decoded, "received", {"handled": F.col(REASON).isNull()})
     if dedupe:
         decoded = drop_copies(decoded, dedupe, dedupe_within)
     writer = decoded.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
