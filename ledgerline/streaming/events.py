@@ -45,7 +45,7 @@ def named_files(events: DataFrame, place=object_place, prefix: str = "", suffix:
 
 
 def _element() -> T.DataType:
-    return T._parse_datatype_string(NOTICE)["Records"].dataType.elementType
+    return T.StructType.fromDDL(NOTICE)["Records"].dataType.elementType
 
 
 def present(spark: SparkSession, paths: Sequence[str], calls: int = 32) -> list[bool]:

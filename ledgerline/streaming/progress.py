@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 SCHEMA = "query string, run string, batch_id long, at string, stage string, count string, value long"
@@ -13,7 +13,7 @@ SCHEMA = "query string, run string, batch_id long, at string, stage string, coun
 class ProgressLog(StreamingQueryListener):
     """Appends the counts that batches report (see ``watch``) to the table at ``path``.
 
-    One small file per batch that reports; :func:`read_progress` takes the last report of a batch. Only numbers pass
+    One small file per batch that reports; :func:`read_progress` counts a repeated batch once. Only numbers pass
     through here, whatever the batch held. Register it with ``spark.streams.addListener``.
     """
 
@@ -52,8 +52,10 @@ class ProgressLog(StreamingQueryListener):
 
 
 def read_progress(spark: SparkSession, path: str) -> DataFrame:
-    """``query``, ``batch_id``, ``stage``, ``count`` and ``value``, once for each batch even if it was repeated."""
+    """``query``, ``batch_id``, ``stage``, ``count`` and ``value``, once for each batch.
+
+    A batch that was repeated reports again: the same counts, or none if its rows were there already and it
+    did not run.
+    """
     reports = spark.read.schema(SCHEMA).parquet(path)
-    latest = Window.partitionBy("query", "batch_id", "stage", "count").orderBy(F.desc("at"), F.desc("run"))
-    last = reports.withColumn("_place", F.row_number().over(latest)).where("_place = 1")
-    return last.select("query", "batch_id", "stage", "count", "value")
+    return reports.groupBy("query", "batch_id", "stage", "count").agg(F.max("value").alias("value"))

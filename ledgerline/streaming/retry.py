@@ -55,7 +55,7 @@ def stream_retry(
     """
     spark = messages.sparkSession
     outcomes = f"{out}/attempts"
-    shape = T._parse_datatype_string("id string, attempt int, ok boolean, error string")
+    shape = T.StructType.fromDDL("id string, attempt int, ok boolean, error string")
     spark.createDataFrame([], shape).write.mode("overwrite").parquet(f"{outcomes}/batch_id=-1")
     nothing = {name: F.lit(None).cast(kind) for name, kind in (("attempt", "int"), ("ok", "boolean"), ("error", "string"))}
     named = F.coalesce(F.col("id").cast("string"), F.concat(F.lit("text "), F.sha2(F.coalesce("value", F.lit("")), 256)))
