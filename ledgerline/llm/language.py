@@ -17,6 +17,7 @@ from ledgerline.session import ship_package
 
 ORDERS = (1, 2, 3)
 FEATURES = 1 << 16
+SPREAD = 4.0  # standard errors by which a text may differ from what is usual in its language
 SMOOTHING = 0.5
 UNKNOWN = "und"
 SLICE_BYTES = 250_000
@@ -48,6 +49,12 @@ class Model:
     features: np.ndarray
     priors: np.ndarray
 
+    def expected(self) -> tuple[np.ndarray, np.ndarray]:
+        """Mean and standard deviation of the log-probability of a feature, by language."""
+        share = np.exp(self.features)
+        mean = (share * self.features).sum(0)
+        return mean, np.sqrt(np.maximum((share * self.features**2).sum(0) - mean**2, 0))
+
 
 def ngrams(data: np.ndarray, offsets: np.ndarray) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
     """For each order the features and the first feature of each text; and which texts have a letter.
@@ -158,47 +165,62 @@ def identify(
     text_column: str = "text",
     language_name: str = "lang_pred",
     score_name: str = "score",
+    fit_name: str | None = None,
 ) -> DataFrame:
     """Add the predicted language and the probability of that language to ``docs``.
 
     ``und`` and 0 for a text that is null or has no letter, or if the model knows no language. Ties
-    go to the language that sorts first. Columns that have one of the two names are replaced.
+    go to the language that sorts first. The probability is one among the learned languages, so a text in none
+    of them has a high one too. ``fit_name`` adds a column that tells these: by how much the log-probability of the
+    text's n-grams in its language falls short, on average, of what all rows that taught the language
+    lead to expect, beyond ``SPREAD`` standard errors for its length (0 or less; 0 for ``und``). Columns that have
+    one of the names are replaced.
     """
     spark = docs.sparkSession
     ship_package(spark)
     shared = spark.sparkContext.broadcast(model)
-    docs = docs.drop(language_name, score_name)
+    added = [language_name, score_name, *([fit_name] if fit_name else [])]
+    docs = docs.drop(*added)
     names = docs.columns
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
+        usual = model.expected()
         for batch in batches:
             data, offsets = text_bytes(batch.column(text_column))
-            best, score = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
+            best, score, fit = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows), np.zeros(batch.num_rows)
             for lo, hi in _cut(offsets):
                 part = offsets[lo : hi + 1]
-                best[lo:hi], score[lo:hi] = _predict(data[part[0] : part[-1]], part - part[0], model)
+                best[lo:hi], score[lo:hi], fit[lo:hi] = _predict(data[part[0] : part[-1]], part - part[0], model, usual)
             table = pa.array([*model.languages, UNKNOWN])
-            columns = [*batch.columns, table.take(pa.array(best)), pa.array(score)]
-            yield pa.RecordBatch.from_arrays(columns, [*names, language_name, score_name])
+            columns = [*batch.columns, table.take(pa.array(best)), pa.array(score), pa.array(fit)]
+            yield pa.RecordBatch.from_arrays(columns[: len(names) + len(added)], [*names, *added])
 
-    schema = docs.select("*", F.lit("").alias(language_name), F.lit(0.0).alias(score_name)).schema
-    return docs.mapInArrow(apply, schema)
+    likes = [F.lit("").alias(language_name), *[F.lit(0.0).alias(n) for n in added[1:]]]
+    return docs.mapInArrow(apply, docs.select("*", *likes).schema)
 
 
-def _predict(data: np.ndarray, offsets: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray]:
+def _predict(
+    data: np.ndarray, offsets: np.ndarray, model: Model, usual: tuple[np.ndarray, np.ndarray]
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     found, has_letter = ngrams(data, offsets)
     rows, unknown = len(offsets) - 1, len(model.languages)
     if not unknown:
-        return np.full(rows, unknown), np.zeros(rows)
+        return np.full(rows, unknown), np.zeros(rows), np.zeros(rows)
     total = np.tile(model.priors, (rows, 1))
+    size = np.zeros(rows)
     for feature, edges in found:
+        size += np.diff(edges)
         some = np.nonzero(np.diff(edges))[0]
         for k in range(unknown if len(some) else 0):
             total[some, k] += np.add.reduceat(model.features[:, k][feature], edges[some])
     best = total.argmax(1)
     score = 1 / np.exp(total - total.max(1)[:, None]).sum(1)
-    return np.where(has_letter, best, unknown), np.where(has_letter, score, 0.0)
+    mean, spread = usual
+    size = np.maximum(size, 1)
+    short = (total[np.arange(rows), best] - model.priors[best]) / size - mean[best] + SPREAD * spread[best] / np.sqrt(size)
+    fit = np.where(has_letter, np.minimum(short, 0), 0.0)
+    return np.where(has_letter, best, unknown), np.where(has_letter, score, 0.0), fit
 
 
 def held_out(id_column: str = "doc_id") -> Column:

@@ -84,3 +84,20 @@ def test_edges(edge_docs, edge_rows, no_docs):
     assert [rows[k].lang_pred for k in (0, 1, 2, 13)] == ["und"] * 4
     assert not any(r.held_out for r in out.collect() if r.doc_id is None)
     assert language_id(no_docs).count() == 0
+
+
+def test_texts_in_no_learned_language_do_not_fit(spark):
+    """One language is not learned, and junk is none: both fall short, clean texts of the others do not."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    junk = spark.range(20).selectExpr("10000 + id", "translate(repeat(sha2(cast(id as string), 256), 8), '0123456789abcdef', 'qzxjvkwpbgmfyhuc')", "'junk'")
+    model = train(docs.where(~held_out() & (docs.lang != "es")), "text", "lang")
+    assert "es" not in model.languages
+    rows = identify(docs.union(junk.toDF(*docs.columns)), model, fit_name="fit").collect()
+    assert all(r.fit <= 0 for r in rows)
+    gone = [r for r in rows if r.fit < -1.0]
+    learned = [r for r in rows if r.lang in model.languages]
+    assert sum(r.lang in model.languages for r in gone) <= 0.002 * len(learned)
+    assert sum(r.lang == "es" for r in gone) >= 0.95 * sum(r.lang == "es" for r in rows)
+    assert sum(r.lang == "junk" for r in gone) == 20
+    # The probability among the learned languages does not tell them.
+    assert np.mean([r.score > 0.99 for r in gone]) > 0.9
