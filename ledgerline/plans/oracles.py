@@ -60,6 +60,9 @@ ORACLES: dict[str, str] = {
         SELECT o_totalprice, o_orderstatus, o_custkey, o_orderkey, s_suppkey IS NOT NULL AS "exists"
         FROM orders LEFT JOIN supplier ON o_orderkey = s_suppkey
     """,
+    "split_extract": """
+        SELECT o_orderkey, CASE WHEN o_orderkey % 10 < 9 THEN o_custkey ELSE o_orderkey * o_orderkey END AS k FROM orders
+    """,
     "document_lines": r"""
         SELECT doc_id, CAST(len(string_split_regex(text, '\r\n|\r|\n')) AS BIGINT) AS n_lines,
                array_to_string(string_split_regex(text, '\r\n|\r|\n'), chr(10)) AS joined

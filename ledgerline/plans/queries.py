@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -33,7 +34,7 @@ from ledgerline.schemas import ORDER_RECORD
 from ledgerline.session import scratch_path, ship_package
 from ledgerline.sources.catalog import catalog_table, create_table, reload_table
 from ledgerline.sources.delimited import read_delimited, read_lines, write_delimited
-from ledgerline.sources.extract import distinct_values, sql_extract, top_n
+from ledgerline.sources.extract import distinct_values, even_predicates, sql_extract, top_n
 from ledgerline.streaming.files import read_parsed, read_rejects, stream_files, stream_publish
 from ledgerline.streaming.messages import (
     arriving_messages,
@@ -115,6 +116,16 @@ def land_reordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return land(records, scratch_path(spark, "reordered"), "o_orderkey", check, ["o_orderkey"], unique_order=True)
 
 
+def split_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A query read by ranges of an uneven key: every row comes in one of them."""
+    orders = table(spark, sf_dir, "orders")
+    keyed = orders.selectExpr("o_orderkey", "CASE WHEN o_orderkey % 10 < 9 THEN o_custkey ELSE o_orderkey * o_orderkey END AS k")
+    ask = lambda query: sql_extract(spark, query, {"uneven": keyed})
+    parts = even_predicates(ask, "SELECT * FROM uneven", "k", 8)
+    rows = [ask(f"SELECT o_orderkey, k FROM uneven WHERE {part}") for part in parts or ["true"]]
+    return reduce(DataFrame.union, rows)
+
+
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = split_lines(F.col("text"))
     return table(spark, sf_dir, "documents").select(
@@ -536,6 +547,7 @@ QUERIES: dict[str, Query] = {
     "run_summary": landed_summary,
     "land_and_check": land_and_check,
     "land_reordered": land_reordered,
+    "split_extract": split_extract,
     "document_lines": document_lines,
     "lines_roundtrip": lines_roundtrip,
     "parse_records": parse_default,

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerline.schemas import LOOKUP_ANSWER
 
+# Counts that come back from the database at a time, and how often it is asked for them.
+CELLS, ROUNDS = 1000, 8
+
 
 def sql_extract(
     spark: SparkSession,
@@ -63,13 +67,24 @@ def jdbc_extract(
     bounds: tuple[object, object] | None = None,
     num_partitions: int | None = None,
     predicates: Sequence[str] | None = None,
+    even: bool = False,
 ) -> DataFrame:
     """Load the result of ``query`` from a database.
 
-    With ``partition_column`` the read is split into ``num_partitions`` key ranges; bounds that are
-    not given are asked from the database. ``predicates`` split it by hand instead, for a column
-    whose values are too uneven for equal ranges. A split read has no order: sort afterwards.
+    With ``partition_column`` the read is split into ``num_partitions`` key ranges of equal length; bounds that are
+    not given are asked from the database. ``even`` makes them ranges of about equally many rows (see
+    :func:`even_predicates`), for a column whose values are uneven. ``predicates`` split it by hand
+    instead. A split read has no order: sort afterwards.
     """
+    if even and not predicates:
+        if not partition_column or not num_partitions:
+            raise ValueError("an even split needs partition_column and num_partitions")
+
+        def ask(question: str) -> DataFrame:
+            return spark.read.format("jdbc").options(**jdbc_options(url, user, password, question, driver)).load()
+
+        predicates = even_predicates(ask, query, partition_column, num_partitions)
+        partition_column = None
     if predicates:
         properties = jdbc_options(url, user, password, query, driver, fetch_size)
         for name in ("url", "query"):
@@ -87,6 +102,51 @@ def jdbc_extract(
     return spark.read.format("jdbc").options(**options).load()
 
 
+def even_predicates(
+    ask: Callable[[str], DataFrame], query: str, column: str, num_partitions: int, cells: int = CELLS, rounds: int = ROUNDS
+) -> list[str]:
+    """Conditions on the numbers in ``column`` that part the rows of ``query`` into ranges of about equally many.
+
+    ``ask`` runs SQL where the data is. Rows are counted per range of equal length, and ranges that hold much
+    are counted again by finer ones, up to ``rounds`` times; each time at most ``cells`` counts come back. Ranges
+    are then put together in order. A single value that holds more than its part stays whole. Each row fits
+    exactly one condition, also if it came after the counting; null keys fit the first. No rows, or all keys
+    equal or null: no conditions.
+    """
+    named = f"(SELECT {column} AS k FROM ({query}) q) q"
+    low, high, rows = ask(f"SELECT min(k) AS lo, max(k) AS hi, count(k) AS n FROM {named}").first()
+    if not rows:
+        return []
+    if isinstance(low, bool) or not isinstance(low, (int, float, Decimal)):
+        raise ValueError(f"{column} holds no numbers")
+    part = rows / num_partitions
+    spans = [(low, high, rows)]
+    for _ in range(rounds):
+        full = [s for s in spans if s[2] > part / 4 and s[0] < s[1]]  # 4 x num_partitions at most
+        if not full or len(full) * 2 > cells:
+            break
+        each = cells // len(full)
+        cell = " ".join(
+            f"WHEN k BETWEEN {lo} AND {hi} THEN {i * each} + floor((k - {lo}) * {each - 0.5} / ({hi} - {lo}))"
+            for i, (lo, hi, _) in enumerate(full)
+        )
+        inside = " OR ".join(f"k BETWEEN {lo} AND {hi}" for lo, hi, _ in full)
+        counted = f"SELECT k, CASE {cell} END AS cell FROM {named} WHERE {inside}"
+        finer = ask(f"SELECT min(k) AS lo, max(k) AS hi, count(*) AS n FROM ({counted}) c GROUP BY cell").collect()
+        spans = sorted([s for s in spans if s not in full] + [tuple(r) for r in finer])
+    cuts, seen, place = [], 0, 0
+    for lo, _, n in spans:
+        # A range goes to the part that its middle row belongs to.
+        now = min(int((seen + n / 2) / part), num_partitions - 1)
+        if now > place and seen:
+            cuts.append(lo)
+        place, seen = now, seen + n
+    if not cuts:
+        return []
+    between = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(cuts, cuts[1:])]
+    return [f"{column} < {cuts[0]} OR {column} IS NULL", *between, f"{column} >= {cuts[-1]}"]
+
+
 def read_answers(spark: SparkSession, path: str) -> DataFrame:
     """A lookup table from its answers, one JSON object per line."""
     return spark.read.schema(LOOKUP_ANSWER).json(path)
