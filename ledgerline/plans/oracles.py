@@ -146,6 +146,10 @@ ORACLES: dict[str, str] = {
         SELECT 'data/' || c_custkey || '.csv' AS path FROM customer
         WHERE NOT EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = c_custkey)
     """,
+    "unseen_index": """
+        SELECT 'data/' || c_custkey || '.csv' AS path, way FROM customer, (VALUES ('segments'), ('merged')) AS ways(way)
+        WHERE NOT EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = c_custkey)
+    """,
     "path_filter": """
         SELECT page_id, url FROM pages WHERE starts_with(url, 'https://') AND ends_with(url, '.html')
     """,

@@ -16,6 +16,7 @@ from ledgerline.operators.lookup import Call, ask_keys, lookup_exists, lookup_ex
 from ledgerline.operators.messages import message_rejects, parse_messages, to_messages
 from ledgerline.operators.numbering import message_batches, number_rows
 from ledgerline.operators.records import REASON, parse_records, parse_rejects
+from ledgerline.operators.seen import add_seen, merge_seen, unseen_by_index
 from ledgerline.operators.summary import result_line, run_summary
 from ledgerline.plans.jobs import land, process_messages, publish_files, trace_lines
 from ledgerline.plans.stream_queries import STREAM_QUERIES
@@ -311,6 +312,21 @@ def unseen_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unseen(listing, paths(table(spark, sf_dir, "supplier"), "s_suppkey"), "path")
 
 
+def unseen_by_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through an index of seen names in two segments, then merged."""
+
+    def paths(df: DataFrame, key: str) -> DataFrame:
+        return df.select(F.concat(F.lit("data/"), F.col(key).cast("string"), F.lit(".csv")).alias("path"))
+
+    index, suppliers = scratch_path(spark, "seen-index"), table(spark, sf_dir, "supplier")
+    for part in ("s_nationkey < 10", "s_nationkey >= 10"):
+        add_seen(paths(suppliers.where(part), "s_suppkey"), index, "path", parts=8)
+    listing = paths(table(spark, sf_dir, "customer"), "c_custkey")
+    by_segments = unseen_by_index(listing, index, "path").withColumn("way", F.lit("segments"))
+    merge_seen(spark, index)
+    return by_segments.union(unseen_by_index(listing, index, "path").withColumn("way", F.lit("merged")))
+
+
 def page_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return path_filter(pages, "url", prefix="https://", suffix=".html")
@@ -572,6 +588,7 @@ QUERIES: dict[str, Query] = {
     "top_n": top_amounts,
     "message_batches": event_batches,
     "unseen_files": unseen_files,
+    "unseen_index": unseen_by_filters,
     "path_filter": page_paths,
     "contract_check": contract_lines,
     "contract_check_text": contract_documents,
