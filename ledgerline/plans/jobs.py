@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import argparse
+import math
+import re
 import sys
 from collections.abc import Callable, Sequence
 
@@ -16,8 +18,11 @@ from ledgerline.schemas import EMPLOYEE
 from ledgerline.session import resolve_option
 from ledgerline.sources.delimited import read_delimited, read_lines, write_delimited
 from ledgerline.sources.extract import jdbc_extract
+from ledgerline.streaming.events import stream_file_events
 from ledgerline.streaming.files import POLL, stream_publish
 from ledgerline.streaming.messages import arriving_messages, lookup_check, stream_process
+from ledgerline.streaming.progress import ProgressLog
+from ledgerline.streaming.retry import DELAY_SECONDS, await_settled, lookup_attempts, stream_retry
 
 
 def land(
@@ -103,6 +108,7 @@ def extract(spark: SparkSession, given: argparse.Namespace) -> None:
         fetch_size=given.fetch_size,
         partition_column=given.split_column,
         num_partitions=given.splits,
+        even=given.even,
     )
     checked = land(records, given.output, given.key, _check(spark, given), given.order_by)
     if checked is not None:
@@ -112,6 +118,7 @@ def extract(spark: SparkSession, given: argparse.Namespace) -> None:
 
 def handle_files(spark: SparkSession, given: argparse.Namespace) -> None:
     """Publish the records of each file that arrives, up to the first malformed number in it."""
+    _keep_counts(spark, given)
     stream_publish(
         spark,
         given.folder,
@@ -122,15 +129,44 @@ def handle_files(spark: SparkSession, given: argparse.Namespace) -> None:
         compat=True,
         rejects=given.rejects or f"{given.messages.rstrip('/')}-rejects",
         max_files_per_trigger=given.most_files,
+        archive=given.archive,
+        trigger=_trigger(given.every),
+    ).awaitTermination()
+
+
+def handle_events(spark: SparkSession, given: argparse.Namespace) -> None:
+    """Parse the files that arriving notifications name."""
+    _keep_counts(spark, given)
+    stream_file_events(
+        arriving_messages(spark, given.folder, given.most_files, archive=given.archive),
+        given.output,
+        given.checkpoint,
+        EMPLOYEE,
+        on_error=given.on_error,
+        compat=True,
+        place=_place(given.place),
+        prefix=given.prefix,
         trigger=_trigger(given.every),
     ).awaitTermination()
 
 
 def handle_messages(spark: SparkSession, given: argparse.Namespace) -> None:
-    """Check the record of each message that arrives."""
+    """Check the record of each message that arrives; with --attempts each by itself until its call is answered."""
+    _keep_counts(spark, given)
+    arriving = arriving_messages(spark, given.folder, given.most_files, archive=given.archive)
+    if given.attempts:
+        if not given.endpoint:
+            raise ValueError("attempts need an endpoint that can fail")
+        attempt = lookup_attempts(EMPLOYEE, given.key, http_caller(given.endpoint), compat=True, calls_per_task=given.calls)
+        named = arriving.select(F.concat_ws(" ", F.col("_metadata.file_path"), F.sha2("value", 256)).alias("id"), "value")
+        once = given.every == "once"  # until all that is there is settled
+        trigger = {"processingTime": "0 seconds"} if once else _trigger(given.every)
+        query = stream_retry(named, attempt, given.output, given.checkpoint, given.attempts, given.retry_after, trigger)
+        await_settled(query, math.inf) if once else query.awaitTermination()
+        return
     check = _check(spark, given) or lookup_check(None, given.key, enabled=False)
     stream_process(
-        arriving_messages(spark, given.folder, given.most_files),
+        arriving,
         check,
         given.output,
         given.rejects or f"{given.output.rstrip('/')}-rejects",
@@ -141,6 +177,17 @@ def handle_messages(spark: SparkSession, given: argparse.Namespace) -> None:
     ).awaitTermination()
 
 
+def _place(pattern: str) -> Callable[[Column, Column], Column]:
+    """Where the object with a bucket and a key is."""
+    before, between, after = re.fullmatch(r"(.*)\{bucket\}(.*)\{key\}(.*)", pattern).groups()
+    return lambda bucket, key: F.concat(F.lit(before), bucket, F.lit(between), key, F.lit(after))
+
+
+def _keep_counts(spark: SparkSession, given: argparse.Namespace) -> None:
+    if given.counts:
+        spark.streams.addListener(ProgressLog(spark, given.counts))
+
+
 def _check(spark: SparkSession, given: argparse.Namespace) -> Callable[[DataFrame], DataFrame] | None:
     """By calls if an endpoint is named, else by a table if one is, else none."""
     if given.endpoint:
@@ -178,19 +225,29 @@ def arguments_of() -> argparse.ArgumentParser:
         made.add_argument("--every", help="seconds between polls, or once")
         made.add_argument("--most-files", type=int, help="files of one batch; all by default")
         made.add_argument("--rejects", help="folder for what is no record")
+        made.add_argument("--archive", help="folder for arrived files that are done")
+        made.add_argument("--counts", help="table of what each batch counted")
 
     made = job("extract", extract, "database", "user", "password", "query", "output")
     checking(made)
     made.add_argument("--split-column", help="key whose ranges are read side by side")
     made.add_argument("--splits", type=int, help="number of such ranges")
+    made.add_argument("--even", action="store_true", help="ranges of about equally many rows instead of equal length")
     made.add_argument("--fetch-size", type=int)
     made.add_argument("--order-by", nargs="*", default=[])
     made = job("files", handle_files, "folder", "messages", "checkpoint")
     streaming(made)
     made.add_argument("--on-error", choices=["stop_file", "reject"], default="stop_file")
+    made = job("events", handle_events, "folder", "output", "checkpoint")
+    streaming(made)
+    made.add_argument("--on-error", choices=["stop_file", "reject"], default="stop_file")
+    made.add_argument("--place", default="s3a://{bucket}/{key}", help="where an object with a bucket and a key is")
+    made.add_argument("--prefix", default="", help="keys that are looked at begin so")
     made = job("messages", handle_messages, "folder", "output", "checkpoint")
     checking(made)
     streaming(made)
+    made.add_argument("--attempts", type=int, help="how often a message is tried; without it a failed call means no")
+    made.add_argument("--retry-after", type=float, default=DELAY_SECONDS, help="seconds until a message is tried again")
     return parser
 
 

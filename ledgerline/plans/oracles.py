@@ -121,6 +121,7 @@ ORACLES: dict[str, str] = {
                    WHEN 3 THEN '{{"exists": false}}' ELSE '{{"exists": true}}' END AS log_line
         FROM customer
     """,
+    "lookup_address": f"SELECT c_custkey, '{ENDPOINT}/employee/' || c_custkey AS url FROM customer",
     "lookup_external": """
         SELECT c_custkey, c_nationkey, c_nationkey < 10 AS "exists",
                CASE WHEN c_nationkey < 15 THEN '200' WHEN c_nationkey < 20 THEN '404' END AS status,

@@ -32,7 +32,7 @@ from ledgerline.plans.views import (
     table,
 )
 from ledgerline.schemas import ORDER_RECORD
-from ledgerline.session import scratch_path, ship_package
+from ledgerline.session import resolve_option, scratch_path, ship_package
 from ledgerline.sources.catalog import catalog_table, create_table, reload_table
 from ledgerline.sources.delimited import read_delimited, read_lines, write_delimited
 from ledgerline.sources.extract import distinct_values, even_predicates, sql_extract, top_n
@@ -256,6 +256,12 @@ def lookup_answer_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lookup_address(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses of lookups at the place that a parameter names, or its default where it is not set."""
+    place = resolve_option(spark, "spark.ledgerline.endpoint", default=ENDPOINT)
+    return table(spark, sf_dir, "customer").select("c_custkey", lookup_url(place, F.col("c_custkey")).alias("url"))
+
+
 def nation_service() -> Call:
     """Stands in for a service: some nations exist, some are not found, some calls fail."""
 
@@ -581,6 +587,7 @@ QUERIES: dict[str, Query] = {
     "lookup_large_table": lookup_large_table,
     "lookup_status": lookup_status,
     "lookup_answer_text": lookup_answer_text,
+    "lookup_address": lookup_address,
     "lookup_external": lookup_by_call,
     "lookup_request_count": lookup_request_count,
     "distinct_values": distinct_segments,

@@ -4,12 +4,18 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_passing = threading.local()
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
     """A session for tests and benchmarks; a cluster brings its own."""
     builder = (
@@ -45,10 +51,31 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     Fixes the rows, so later reads agree with each other whatever executors are lost.
     """
     path = scratch_path(df.sparkSession, name)
+    for paths in getattr(_passing, "paths", ()):
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def passing_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables that are materialized inside, by this thread, are removed at the end.
+
+    For work that is done with its tables when it ends, such as one batch of a stream; what is read from them
+    must be written by then. Only folders made in here are touched, each by its own unused name.
+    """
+    paths: list[str] = []
+    _passing.paths = [*getattr(_passing, "paths", ()), paths]
+    try:
+        yield
+    finally:
+        _passing.paths = _passing.paths[:-1]
+        hadoop = spark._jsc.hadoopConfiguration()
+        for path in paths:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(hadoop).delete(at, True)
+
+
 def resolve_option(
     spark: SparkSession,
     key: str,

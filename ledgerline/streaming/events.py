@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline.operators.records import REASON, parse_files
 from ledgerline.operators.rows import keep_rows
+from ledgerline.session import passing_tables
 from ledgerline.sources.delimited import read_lines
 from ledgerline.streaming.state import keyed_state
 
@@ -99,10 +100,10 @@ def stream_file_events(
         finally:
             batch.unpersist()
         if there:
-            lines = read_lines(spark, there, position=True)
-            good, bad = parse_files(lines, schema, on_error, compat)
-            put(good, "records")
-            put(bad.select("line", REASON, "file"), "rejects")
+            with passing_tables(spark):
+                good, bad = parse_files(read_lines(spark, there, position=True), schema, on_error, compat)
+                put(good, "records")
+                put(bad.select("line", REASON, "file"), "rejects")
 
     writer = arriving.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     with keyed_state(spark):

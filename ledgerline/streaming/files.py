@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline.operators.messages import to_messages
 from ledgerline.operators.records import REASON, parse_files, parse_lines, parse_records
+from ledgerline.session import passing_tables
 from ledgerline.sources.delimited import LINE_OPTIONS, add_sequence, file_columns
 
 # Fixed value: how often a folder is looked at.
@@ -63,23 +64,25 @@ def stream_files(
     compat: bool = False,
     glob: str = "*.csv",
     max_files_per_trigger: int | None = None,
+    archive: str | None = None,
     trigger: Mapping[str, object] = POLL,
 ) -> StreamingQuery:
     """Parse every file once, also over restarts, and append its records to the table at ``out``.
 
     With ``reject`` the table also holds the rejected lines with their reason, so one pass serves
     both (see :func:`read_parsed`); the file sink's log makes a repeated batch replace itself.
-    ``stop_file`` compares the lines of a file, which a stream cannot, so each batch is parsed as a
+    ``archive`` is a folder for the files that are done. ``stop_file`` compares the lines of a file, which a stream cannot, so each batch is parsed as a
     table and overwrites its own folder; a file is never spread over batches.
     """
-    lines = arriving_lines(spark, path, glob, max_files_per_trigger=max_files_per_trigger)
+    lines = arriving_lines(spark, path, glob, max_files_per_trigger=max_files_per_trigger, archive=archive)
     if on_error == "reject":
         writer = parse_lines(lines, schema, compat).writeStream.format("parquet").option("path", out)
     else:
 
         def write_batch(batch: DataFrame, batch_id: int) -> None:
-            records = parse_records(add_sequence(batch), schema, on_error, compat)
-            records.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+            with passing_tables(batch.sparkSession):
+                records = parse_records(add_sequence(batch), schema, on_error, compat)
+                records.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
         writer = lines.writeStream.foreachBatch(write_batch)
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
@@ -113,10 +116,11 @@ def stream_publish(
     else:
 
         def write_batch(batch: DataFrame, batch_id: int) -> None:
-            good, bad = parse_files(add_sequence(batch), schema, on_error, compat)
-            to_messages(good).write.mode("overwrite").text(f"{out}/batch_id={batch_id}")
-            if rejects is not None:
-                bad.select("line", REASON, "file").write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
+            with passing_tables(batch.sparkSession):
+                good, bad = parse_files(add_sequence(batch), schema, on_error, compat)
+                to_messages(good).write.mode("overwrite").text(f"{out}/batch_id={batch_id}")
+                if rejects is not None:
+                    bad.select("line", REASON, "file").write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
 
         writer = lines.writeStream.foreachBatch(write_batch)
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()

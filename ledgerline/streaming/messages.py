@@ -12,7 +12,7 @@ from ledgerline.operators.messages import decode_messages
 from ledgerline.operators.records import REASON
 from ledgerline.operators.rows import keep_rows
 from ledgerline.operators.summary import watch
-from ledgerline.session import materialize
+from ledgerline.session import materialize, passing_tables
 from ledgerline.streaming.files import arrival_options
 from ledgerline.streaming.state import keyed_state
 
@@ -112,7 +112,8 @@ def stream_checked(
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            check(batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+            with passing_tables(batch.sparkSession):
+                check(batch).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
         finally:
             batch.unpersist()
 
@@ -161,11 +162,12 @@ def stream_process(
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        decoded = materialize(decode_messages(batch, schema, strict_fields, compat), "decoded")
-        good = F.col(REASON).isNull()
-        decoded.where(~good).select("value", REASON).write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
-        records = decoded.where(good).select(*schema.names)
-        check(records).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        with passing_tables(batch.sparkSession):
+            decoded = materialize(decode_messages(batch, schema, strict_fields, compat), "decoded")
+            good = F.col(REASON).isNull()
+            decoded.where(~good).select("value", REASON).write.mode("overwrite").parquet(f"{rejects}/batch_id={batch_id}")
+            records = decoded.where(good).select(*schema.names)
+            check(records).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     writer = messages.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     return (writer.trigger(**trigger) if trigger else writer).start()

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerline.session import ship_package
+from ledgerline.session import passing_tables, ship_package
 from ledgerline.sources.message_log import log_end, read_log
 from ledgerline.streaming.messages import PER_RECEIVE
 
@@ -71,7 +71,8 @@ def stream_receives(
         for first, end in batch.collect():  # one row
             place = F.col("offset") - (F.col("offset") - first) % size
             messages = read_log(spark, log, first, end).select("offset", place.alias("receive"), "value")
-            handle(messages).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+            with passing_tables(spark):
+                handle(messages).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     writer = ends.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     return (writer.trigger(**trigger) if trigger else writer).start()

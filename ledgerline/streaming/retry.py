@@ -19,6 +19,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from ledgerline.operators.lookup import Call, lookup_external
 from ledgerline.operators.messages import decode_messages
 from ledgerline.operators.records import REASON
+from ledgerline.session import passing_tables
 from ledgerline.streaming.files import arrival_options
 from ledgerline.streaming.state import keyed_state
 
@@ -83,8 +84,9 @@ def stream_retry(
                 receipts = receipts.selectExpr("id", "kind AS status", "attempt AS attempts", "copies", "error")
                 receipts.write.mode("overwrite").parquet(f"{out}/receipts/batch_id={batch_id}")
             if DELIVERY in kinds:
-                tried = attempt(batch.where(F.col("kind") == DELIVERY).select("id", "value", "attempt"))
-                tried.write.mode("overwrite").parquet(f"{outcomes}/batch_id={batch_id}")
+                with passing_tables(spark):
+                    tried = attempt(batch.where(F.col("kind") == DELIVERY).select("id", "value", "attempt"))
+                    tried.write.mode("overwrite").parquet(f"{outcomes}/batch_id={batch_id}")
         finally:
             batch.unpersist()
 
