@@ -117,8 +117,10 @@ def learn(
     named = labels.select(F.col(id_column).alias("_id"), domain.cast("int").alias("domain")).dropna()
     named = named.groupBy("_id").agg(F.min("domain").alias("domain"))
     chosen = named.orderBy(F.xxhash64("_id"), "_id").limit(sample)
-    rows = docs.join(F.broadcast(chosen), docs[id_column] == F.col("_id")).select("domain", text_column)
-    found = _feature_rows(rows, text_column, ["domain"]).limit(2 * sample).toPandas()
+    rows = docs.join(F.broadcast(chosen), docs[id_column] == F.col("_id"))
+    # Rows of one id count once, by the smallest text: the same rows teach in every run, ``sample`` at most.
+    rows = rows.groupBy("_id", "domain").agg(F.min(text_column).alias(text_column))
+    found = _feature_rows(rows, text_column, ["domain"]).toPandas()
     found = found.sort_values(["domain", "words", "shares"], ignore_index=True)
     words = [np.frombuffer(w, np.uint32) for w in found["words"]]
     row = np.repeat(np.arange(len(words)), [len(w) for w in words])

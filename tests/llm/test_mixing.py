@@ -102,3 +102,12 @@ def test_edges(spark, edge_docs, edge_rows, no_docs, labelled):
     assert {r.n_tokens for r in found if r.id in (0, 1, 2)} == {0}
     assert mixed(edge_docs, labels).columns == edge_docs.columns
     assert mixed(no_docs, labels).count() == 0
+
+
+def test_rows_of_one_id_teach_once(spark):
+    """Whatever order the rows come in, the classifier is the same."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    twice = docs.union(docs.withColumn("text", docs.text.substr(1, 300))).union(docs)
+    one = learn(twice, labels, label_domain(), 3, sample=200)
+    other = learn(twice.repartition(7, "text"), labels, label_domain(), 3, sample=200)
+    assert np.array_equal(one.codes, other.codes) and np.allclose(one.words, other.words) and np.allclose(one.bytes, other.bytes)
