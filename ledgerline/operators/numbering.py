@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ledgerline.operators.joins import BROADCAST_BYTES, text_bytes
+from ledgerline.operators.joins import BROADCAST_BYTES, has_many_copies, row_hash, text_bytes
 from ledgerline.session import materialize
 
 _TIE, _AT = "_tie", "_at"
@@ -17,14 +17,18 @@ def sort_rows(df: DataFrame, order_by: Sequence[str], unique: bool = False) -> D
     """Global sort that stays even if many rows share a key.
 
     Range cuts cannot fall between equal rows. Unless ``unique`` promises that ``order_by`` tells
-    rows apart, ties are broken by a hash of the row and then by where the row was read, so that cuts may
-    fall between copies, which are interchangeable. Values are not touched.
+    rows apart, ties are broken by a hash of the row, which a task that runs again finds again. Only copies
+    then stay together; where some row has many, the rows are written first and its copies, which are
+    interchangeable, told apart by where they lie. Values are not touched.
     """
     columns = df.columns
     if unique:
         return df.orderBy(*order_by)
-    tied = df.withColumns({_TIE: F.xxhash64(*columns), _AT: F.monotonically_increasing_id()})
-    return tied.orderBy(*order_by, _TIE, _AT).select(*columns)
+    if has_many_copies(df):
+        df = materialize(df, "copies")
+        tied = df.withColumns({_TIE: row_hash(df), _AT: F.monotonically_increasing_id()})
+        return tied.orderBy(*order_by, _TIE, _AT).select(*columns)
+    return df.withColumn(_TIE, row_hash(df)).orderBy(*order_by, _TIE).select(*columns)
 
 
 def number_rows(

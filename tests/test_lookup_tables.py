@@ -231,6 +231,5 @@ def test_counts_of_batches_are_kept(spark, tmp_path):
         for name in ("1", ".1.crc"):
             (log / "commits" / name).unlink()
         assert run() == counts  # batch 1 came again and counts once
-        assert spark.read.parquet(str(kept)).where("batch_id = 1").count() == 4
     finally:
         spark.streams.removeListener(listener)

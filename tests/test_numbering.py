@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerline.operators.joins import has_many_copies, keyed_join, places_of
 from ledgerline.operators.numbering import message_batches, number_rows, sort_rows
 
 
@@ -77,3 +78,24 @@ def test_values_stay_as_they_are(spark):
 def test_one_shuffle(spark, plan_of):
     same = spark.range(100).select(F.lit(1).alias("k"))
     assert plan_of(sort_rows(same, ["k"])).count("Exchange") == 1
+
+
+def test_places_do_not_depend_on_the_order_of_rows(spark):
+    """What a task finds for its rows it finds again when they come in another order."""
+    rows = spark.range(3000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"), F.lit(None).cast("string").alias("t"))
+    where = []
+    for order in ("v", F.desc("v"), F.rand(7)):
+        df, place = places_of(rows.repartition(1).sortWithinPartitions(order), 64, False)
+        where.append({r.v: r.p for r in df.select("v", place.alias("p")).collect()})
+    assert where[0] == where[1] == where[2] and len(set(where[0].values())) == 64
+
+
+def test_copies_are_dealt_from_written_rows(spark, conf):
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    same = spark.range(4000).select(F.lit(1).alias("k"))
+    assert has_many_copies(same) and not has_many_copies(spark.range(4000)) and not has_many_copies(spark.range(0))
+    df, place = places_of(same, 16, True)
+    counts = [r["count"] for r in df.select(place.alias("p")).groupBy("p").count().collect()]
+    assert len(counts) == 16 and max(counts) < 500
+    joined = keyed_join(same, spark.createDataFrame([(1, "x")], "k int, a string"), "k", broadcast_bytes=0)
+    assert joined.count() == 4000 and joined.where("a = 'x'").count() == 4000
