@@ -1,6 +1,8 @@
 """Delivery by message: each is tried until it succeeds or has been tried too often, without the others.
 
-Each message that is not settled is keyed state: its text, how often it was tried, and when it is due again.
+Each message that is not settled is state: its text, how often it was tried, and when it is due again. Messages lie
+in buckets by a hash of their id, and a bucket is one entry of keyed state: a batch calls Python once per bucket
+that it touches, not once per message.
 The state emits deliveries; a batch tries them and writes the outcomes to a table, which is a second source of
 the same stream, so an outcome reaches the state of its message in a later batch. What is settled leaves
 the state with a receipt.
@@ -8,6 +10,7 @@ the state with a receipt.
 
 from __future__ import annotations
 
+import pickle
 import time
 from collections.abc import Callable, Iterator, Mapping
 
@@ -25,11 +28,11 @@ from ledgerline.streaming.state import keyed_state
 
 MOST_ATTEMPTS = 3
 DELAY_SECONDS = 30.0
+BUCKETS = 1024
 
 DELIVERY, ACKNOWLEDGED, GIVEN_UP = "delivery", "acknowledged", "given_up"
 
-_INPUT = "id string, value string, attempt int, ok boolean, error string"
-_STATE = "value string, attempt int, copies long, due long"
+_STATE = "messages binary"
 _EMITTED = "id string, kind string, value string, attempt int, copies long, error string"
 
 
@@ -41,6 +44,7 @@ def stream_retry(
     most_attempts: int = MOST_ATTEMPTS,
     delay_seconds: float = DELAY_SECONDS,
     trigger: Mapping[str, object] | None = None,
+    buckets: int = BUCKETS,
 ) -> StreamingQuery:
     """Try each message (``id``, ``value``) until its attempt succeeds, ``most_attempts`` times at most.
 
@@ -53,6 +57,9 @@ def stream_retry(
     Messages of one id are one message, ``copies`` of it, as long as it is not settled; after that the id
     is a new message. A null id is taken from the text. A message is tried at least once: if a batch is
     repeated, so are its attempts.
+
+    A batch writes the buckets that it touches anew, each with its messages that are not settled. A checkpoint
+    stays with the number of ``buckets`` it was made with.
     """
     spark = messages.sparkSession
     outcomes = f"{out}/attempts"
@@ -65,7 +72,8 @@ def stream_retry(
     told = told.select("id", F.lit(None).cast("string").alias("value"), "attempt", "ok", "error")
     emitted = (
         fresh.union(told)
-        .groupBy("id")
+        .withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)))
+        .groupBy("bucket")
         .applyInPandasWithState(
             _settle(most_attempts, max(1, int(delay_seconds * 1000))),
             _EMITTED,
@@ -96,41 +104,51 @@ def stream_retry(
 
 
 def _settle(most: int, delay: int) -> Callable:
-    """What the state of one message does: at a text or an outcome, or when the message is due again."""
+    """What the state of one bucket does: at texts and outcomes, and when a message of it is due again."""
 
     # Runs on the executors, which need not have this package: it refers to nothing outside but names.
     def settle(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         out = []
-
-        def emit(kind: str, value: str | None, tried: int, copies: int, error: str | None = None) -> None:
-            out.append((key[0], kind, value, tried, copies, error))
-
-        value, tried, copies, due = state.getOption or (None, 0, 0, 0)
+        # Each message's text, attempts, copies, and when it is due; 0 while an attempt is under way.
+        held = pickle.loads(state.get[0]) if state.exists else {}
         now = state.getCurrentProcessingTimeMs()
-        if state.hasTimedOut:
-            tried, due = tried + 1, 0
-            emit("delivery", value, tried, copies)
-        for frame in frames if not state.hasTimedOut else ():
-            texts = frame[frame["attempt"].isna()]
-            if len(texts) and not tried:
-                value, tried = min((t for t in texts["value"] if t is not None), default=None), 1
-                emit("delivery", value, tried, len(texts))
-            copies += len(texts)
-            for outcome in frame[frame["attempt"].notna()].itertuples():
-                if outcome.attempt != tried or due:
-                    continue  # told before
-                if outcome.ok is not None and bool(outcome.ok):
-                    emit("acknowledged", None, tried, copies)
-                    value, tried, copies = None, 0, 0
-                elif tried >= most:
-                    emit("given_up", None, tried, copies, outcome.error)
-                    value, tried, copies = None, 0, 0
-                else:
-                    due = now + delay
-        if tried:
-            state.update((value, tried, copies, due))
-            if due:
-                state.setTimeoutDuration(max(1, due - now))
+
+        def emit(name: str, kind: str, value: str | None, tried: int, copies: int, error: str | None = None) -> None:
+            out.append((name, kind, value, tried, copies, error))
+
+        for name, (value, tried, copies, due) in held.items():
+            if due and due <= now:
+                held[name] = (value, tried + 1, copies, 0)
+                emit(name, "delivery", value, tried + 1, copies)
+        texts, outcomes = {}, []
+        for frame in () if state.hasTimedOut else frames:
+            told = frame["attempt"].notna()
+            for name, value in zip(frame["id"][~told].tolist(), frame["value"][~told].tolist()):
+                texts.setdefault(name, []).append(value)
+            outcomes.extend(frame.loc[told, ["id", "attempt", "ok", "error"]].itertuples(index=False, name=None))
+        for name, values in texts.items():
+            value, tried, copies, due = held.get(name, (None, 0, 0, 0))
+            if not tried:
+                value, tried = min((t for t in values if t is not None), default=None), 1
+                emit(name, "delivery", value, tried, len(values))
+            held[name] = (value, tried, copies + len(values), due)
+        for name, attempt, ok, error in outcomes:
+            value, tried, copies, due = held.get(name, (None, 0, 0, 0))
+            if attempt != tried or due:
+                continue  # told before
+            if ok is not None and bool(ok):
+                emit(name, "acknowledged", None, tried, copies)
+                del held[name]
+            elif tried >= most:
+                emit(name, "given_up", None, tried, copies, error)
+                del held[name]
+            else:
+                held[name] = (value, tried, copies, now + delay)
+        if held:
+            state.update((pickle.dumps(held),))
+            waiting = min((due for *_, due in held.values() if due), default=0)
+            if waiting:
+                state.setTimeoutDuration(max(1, waiting - now))
         elif state.exists:
             state.remove()
         yield pd.DataFrame(out, columns=["id", "kind", "value", "attempt", "copies", "error"])

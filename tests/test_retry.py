@@ -114,3 +114,17 @@ def test_waiting_has_an_end(spark, tmp_path):
     with pytest.raises(TimeoutError):
         await_settled(query, 8)
     assert not query.isActive
+
+
+def test_state_is_called_by_bucket_not_by_message(spark, tmp_path):
+    """Many messages are few entries of state, and those of one bucket still go their own ways."""
+    inbox, out, log = (tmp_path / n for n in ("in", "out", "log"))
+    drop(inbox, "1", *['{"i":"%d"}' % i for i in range(500)], *['{"i":"%d"}' % i for i in range(0, 500, 5)])
+    times = {"0": 1, "1": 2, "2": 9, "3": 9}
+    query = stream_retry(arriving(spark, inbox), failing(times), str(out), str(log), 3, 0.1, SOON, buckets=4)
+    await_settled(query, 120)
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress) == 4
+    expected = {str(i): ("acknowledged", 1, 2 - bool(i % 5), None) for i in range(500)}
+    expected |= {"0": ("acknowledged", 2, 2, None), "1": ("acknowledged", 3, 1, None)}
+    expected |= {i: ("given_up", 3, 1, "no answer") for i in ("2", "3")}
+    assert receipts(spark, out) == expected
