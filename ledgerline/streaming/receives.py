@@ -12,8 +12,8 @@ from ledgerline.session import passing_tables, ship_package
 from ledgerline.sources.message_log import log_end, read_log
 from ledgerline.streaming.messages import PER_RECEIVE
 
-# Receives that one batch handles side by side.
-RECEIVES = 1000
+# Receives that one batch handles side by side. Each batch has a cost of its own, so a backlog wants few of them.
+RECEIVES = 100_000
 
 
 class _Ranges(SimpleDataSourceStreamReader):

@@ -165,3 +165,14 @@ def test_a_repeated_receive_is_the_same(spark, tmp_path):
     found = receives(spark, out)
     assert {first: len(v) for first, v in found.items()} == {0: 10, 10: 3, 13: 9}
     assert sorted(o for v in found.values() for o in v) == list(range(22))
+
+
+def test_a_backlog_is_few_batches(spark, tmp_path):
+    """More messages than a batch once took are one batch, and its receives hold ten each."""
+    log, out, checkpoint = (str(tmp_path / n) for n in ("log", "out", "checkpoint"))
+    append_messages(spark.range(25_003).selectExpr("cast(id AS string) AS value", "id"), log, ["id"], unique=True)
+    take_receives(spark, log, lambda messages: messages, out, checkpoint)
+    assert [p.name for p in (tmp_path / "out").glob("batch_id=*")] == ["batch_id=0"]
+    found = receives(spark, out)
+    assert sorted(found) == list(range(0, 25_003, 10)) and all(len(found[k]) == 10 for k in found if k != 25_000)
+    assert sorted(o for offsets in found.values() for o in offsets) == list(range(25_003))
