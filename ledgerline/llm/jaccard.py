@@ -1,8 +1,10 @@
 """Near-duplicate documents by the Jaccard similarity of their sets of shingles.
 
-Texts with one set are one node. Nodes meet under each of ``BANDS`` keys made of ``BAND_ROWS`` minhashes, and those
-whose SimHashes differ in few bits are linked; two sets of similarity 0.8 share no key once in 14,000 times. The
-components of these links are clusters of candidates, each with all that its members may be similar to. The sets of
+Texts with one set are one node. Nodes whose SimHashes differ in ``FAR_BITS`` bits at most are found by the generalised
+pigeonhole (``simhash.near_pairs``), all of them, among the sets whose sizes allow the similarity. Of sets of similarity
+0.8, 95 % lie within these bits; for the others nodes also meet under ``BANDS`` keys made of ``BAND_ROWS`` minhashes,
+of which two such sets share none once in 14,000 times. The components of these links are clusters of
+candidates, each with all that its members may be similar to. The sets of
 a cluster then come to one place, where similarities are counted exactly, and its components are the groups.
 """
 
@@ -16,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerline.llm.graph import components, spanning_stars
 from ledgerline.llm.repeats import mix, ranges, slices, text_bytes
-from ledgerline.llm.simhash import majority, row_key, shingle_hashes
+from ledgerline.llm.simhash import majority, near_pairs, row_key, shingle_hashes
 from ledgerline.operators.joins import keyed_join
 from ledgerline.session import materialize, ship_package
 
@@ -25,6 +27,10 @@ SIMILARITY = 0.8
 BANDS = 24
 BAND_ROWS = 5
 NEAR_BITS = 24  # at 0.8 about 10 bits differ, and 24 are five standard deviations off
+FAR_BITS = 14  # radius of the search by fingerprint
+WIDE = 3  # more SimHashes of a node, which tell chance from similarity
+WIDE_BITS = 54  # of all of them: at 0.8 about 29 bits differ, of unlike sets 96
+BLOCK_NODES = 100_000  # fingerprints on one side of a place
 SLICE_BYTES = 500_000
 PLACE_NODES = 20_000  # nodes whose sets meet in one place, about
 
@@ -43,8 +49,8 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, shingle: int) -> tuple[n
     return hashes[new], row[new]
 
 
-def sketches(hashes: np.ndarray, row: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per row a hash of its set (0 if empty), its SimHash, and its keys (all 0 if empty)."""
+def sketches(hashes: np.ndarray, row: np.ndarray, rows: int) -> tuple[np.ndarray, ...]:
+    """Per row a hash of its set (0 if empty), its SimHash, its keys (all 0 if empty), and ``WIDE`` more SimHashes."""
     node, keys = np.zeros(rows, _U), np.zeros((rows, BANDS), _U)
     full, first = np.unique(row, return_index=True)
     if len(full):
@@ -52,7 +58,8 @@ def sketches(hashes: np.ndarray, row: np.ndarray, rows: int) -> tuple[np.ndarray
         for k, (flip, times) in enumerate(zip(_FLIP, _TIMES)):
             least = np.minimum.reduceat((hashes ^ flip) * times, first)
             keys[full, k // BAND_ROWS] = mix(keys[full, k // BAND_ROWS] ^ least) + _U(k // BAND_ROWS)
-    return node, majority(hashes, row, rows), keys
+    wide = [majority(mix(hashes ^ flip), row, rows) for flip in _FLIP[:WIDE]]
+    return node, majority(hashes, row, rows), keys, np.stack(wide, axis=1)
 
 
 def reach(n: int, near: Callable[[int, np.ndarray], np.ndarray]) -> np.ndarray:
@@ -94,17 +101,19 @@ def similar_documents(
             for _, lo, hi in slices(offsets[:-1] // SLICE_BYTES):
                 part = offsets[lo : hi + 1]
                 found = shingle_sets(data[part[0] : part[-1]], part - part[0], shingle)
-                node, fp, keys = sketches(*found, hi - lo)
+                node, fp, keys, wide = sketches(*found, hi - lo)
                 columns = [batch.column(c).slice(lo, hi - lo) for c in ("id", "copy")]
                 columns += [pa.array(x.view(np.int64)) for x in (node, fp)]
-                columns.append(pa.array([k.tobytes() for k in keys], pa.binary()))
-                yield pa.RecordBatch.from_arrays(columns, ["id", "copy", "node", "fp", "keys"])
+                columns += [pa.array([k.tobytes() for k in x], pa.binary()) for x in (keys, wide)]
+                columns.append(pa.array(np.bincount(found[1], minlength=hi - lo)))
+                yield pa.RecordBatch.from_arrays(columns, ["id", "copy", "node", "fp", "keys", "wide", "size"])
 
     text = F.col(text_column)
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.xxhash64(text).alias("copy"), text.alias("text"))
-    rows = materialize(rows.mapInArrow(sketch, "id long, copy long, node long, fp long, keys binary"), "sketches")
-    nodes = rows.where("node <> 0").groupBy("node").agg(F.min("fp").alias("fp"), F.min("keys").alias("keys"))
-    nodes = materialize(nodes, "nodes")
+    shape = "id long, copy long, node long, fp long, keys binary, wide binary, size long"
+    rows = materialize(rows.mapInArrow(sketch, shape), "sketches")
+    same = [F.min(c).alias(c) for c in ("fp", "keys", "wide", "size")]
+    nodes = materialize(rows.where("node <> 0").groupBy("node").agg(*same), "nodes")
     places = max(int(spark.conf.get("spark.sql.shuffle.partitions")), nodes.count() // PLACE_NODES + 1)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,6 +131,7 @@ def similar_documents(
         return pa.table({"a": a.view(np.int64), "b": b.view(np.int64)})
 
     met = nodes.mapInArrow(ask, "place long, blob binary").groupBy("place").applyInArrow(meet, "a long, b long")
+    met = met.union(_near_by_fingerprint(nodes, similarity))
     clusters = materialize(components(met), "clusters")
 
     # One text of each node of a cluster is read again; of most nodes none.
@@ -160,6 +170,57 @@ def similar_documents(
     return rows.join(groups, "node", "left").select("id", "copy", F.coalesce("group", "node").alias("group"))
 
 
+def _near_by_fingerprint(nodes: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) that join all nodes within ``FAR_BITS`` whose other SimHashes and sizes do not speak against it.
+
+    Nodes are classed by the size of their set, so that similar ones lie in one class or in two next to each other;
+    each class in blocks, and each block meets those of its class and of the next. Links are thinned to a
+    spanning forest in each place.
+    """
+    step = float(np.log(max(1 / similarity, 1.25)))
+    classed = nodes.select("node", "fp", "wide", F.floor(F.log("size") / step).cast("int").alias("class"))
+    blocks = {r["class"]: r["count"] // BLOCK_NODES + 1 for r in classed.groupBy("class").count().collect()}
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node, fp = (batch.column(c).to_numpy().view(_U) for c in ("node", "fp"))
+            wide = np.frombuffer(b"".join(batch.column("wide").to_pylist()), _U).reshape(-1, WIDE)
+            packed = np.column_stack([node, fp, wide])
+            kind = batch.column("class").to_numpy().astype(np.int64)
+            block = (mix(node) % np.array([blocks[k] for k in kind.tolist()], _U)).astype(np.int64)
+            order = np.lexsort((block, kind))
+            out = []
+            for _, lo, hi in slices((kind * (1 << 32) + block)[order]):
+                c, b, blob = int(kind[order[lo]]), int(block[order[lo]]), packed[order[lo:hi]].tobytes()
+                # What is asked: blocks of the class from this one on, and all of the next class.
+                out += [(f"{c} {other} {c} {b}", 1, blob) for other in range(b, blocks[c])]
+                out += [(f"{c + 1} {other} {c} {b}", 1, blob) for other in range(blocks.get(c + 1, 0))]
+                out += [(f"{c} {b} {c} {other}", 0, blob) for other in range(b + 1)]
+                out += [(f"{c} {b} {c - 1} {other}", 0, blob) for other in range(blocks.get(c - 1, 0))]
+            yield pa.RecordBatch.from_pydict(
+                {"place": [r[0] for r in out], "asks": pa.array([r[1] for r in out], pa.int32()), "blob": [r[2] for r in out]}
+            )
+
+    def meet(table: pa.Table) -> pa.Table:
+        asks, sides = table.column("asks").to_numpy(), []
+        for side in (0, 1):
+            some = [table.column("blob")[int(k)].as_py() for k in np.nonzero(asks == side)[0]]
+            sides.append(np.frombuffer(b"".join(some), _U).reshape(-1, 2 + WIDE))
+        own, asking = sides
+        a, b = [np.zeros(0, _U)], [np.zeros(0, _U)]
+        for mine, theirs in near_pairs(np.ascontiguousarray(own[:, 1]), np.ascontiguousarray(asking[:, 1]), FAR_BITS):
+            apart = np.bitwise_count(asking[mine, 2:] ^ own[theirs, 2:]).sum(1)
+            near = (apart <= WIDE_BITS) & (asking[mine, 0] != own[theirs, 0])
+            member, root = spanning_stars(asking[mine[near], 0], own[theirs[near], 0])
+            a.append(member)
+            b.append(root)
+        member, root = spanning_stars(np.concatenate(a), np.concatenate(b))
+        return pa.table({"a": member.view(np.int64), "b": root.view(np.int64)})
+
+    asked = classed.mapInArrow(ask, "place string, asks int, blob binary")
+    return asked.groupBy("place").applyInArrow(meet, "a long, b long")
+
+
 def _candidates(key: np.ndarray, node: np.ndarray, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Links that join all nodes of a key that are near by SimHash: to its first node, or to others."""
     order = np.lexsort((node, key))

@@ -29,6 +29,7 @@ SLICE_BYTES = 500_000
 COUNTED_BITS = 16  # of a part, in the table of counts
 KEY_ROWS = 1_000  # fingerprints of one key that are compared in one place
 PAIR_BLOCK = 2_000_000
+ASKING = 1_000  # fingerprints that ask at a time in one place
 LONGEST = 256
 
 _U = np.uint64
@@ -363,6 +364,43 @@ def _verified(where: np.ndarray, fp: np.ndarray, asks: np.ndarray, distance: int
     return np.concatenate(a), np.concatenate(b)
 
 
+def near_pairs(own: np.ndarray, asking: np.ndarray, distance: int, parts: int = 4) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places in ``asking`` and ``own`` of all their pairs within ``distance`` bits, in blocks; a pair may come more than once.
+
+    The same search in one place: the parts and the counts are those of ``own``, and no key is sent anywhere.
+    """
+    if not len(own):
+        return
+    x = np.unpackbits(np.ascontiguousarray(own).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(np.float32)
+    plan = Parts(group_bits(x.T @ x, len(own), parts), distance)
+    by_cell, first = [], []
+    for part in range(parts):
+        cell = plan.cell(part, plan.key(part, own))
+        plan.counts[part] += np.bincount(cell, minlength=len(plan.counts[part]))
+        by_cell.append(np.argsort(cell, kind="stable"))
+        first.append(np.cumsum(plan.counts[part]) - plan.counts[part])
+    plan.estimate()
+    flips = {}
+    for lo in range(0, len(asking), ASKING):
+        fp = asking[lo : lo + ASKING]
+        limit = plan.thresholds(fp)
+        for part, bits in enumerate(plan.bits):
+            key = plan.key(part, fp)
+            for radius in range(limit[part].max(initial=-1) + 1):
+                some = np.nonzero(limit[part] >= radius)[0]
+                shape = len(bits), radius
+                if shape not in flips:
+                    flips[shape] = np.array([sum(1 << b for b in c) for c in combinations(range(len(bits)), radius)], _U)
+                cells = plan.cell(part, (key[some][:, None] ^ flips[shape]).ravel())
+                askers, n = np.repeat(some, len(flips[shape])), plan.counts[part][cells]
+                cells, askers, n = cells[n > 0], askers[n > 0], n[n > 0]
+                for _, a, b in slices((np.cumsum(n) - n) // PAIR_BLOCK):
+                    mine = np.repeat(askers[a:b], n[a:b])
+                    theirs = by_cell[part][ranges(first[part][cells[a:b]], n[a:b])]
+                    near = np.bitwise_count(fp[mine] ^ own[theirs]) <= distance
+                    yield lo + mine[near], theirs[near]
+
+
 def near_duplicates(
     docs: DataFrame,
     id_column: str = "doc_id",
